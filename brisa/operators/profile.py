@@ -118,7 +118,8 @@ def _bin(value: Column, low: float, high: float, bins: int) -> Column:
     if low == high:
         return F.when(value.isNotNull(), F.lit(0))
     position = F.floor((value - F.lit(low)) * bins / F.lit(high - low))
-    return F.least(position, F.lit(bins - 1)).cast("int")
+    # least() skips nulls, so missing values are kept out by hand.
+    return F.when(value.isNotNull(), F.least(position, F.lit(bins - 1))).cast("int")
 
 
 def histogram(

@@ -279,7 +279,7 @@ def feature_record(spark, sf_dir):
     )
 
 
-_MESSY = "CASE WHEN event_id % 3 = 0 THEN lower(concat(' ', wd, ' ')) WHEN event_id % 7 = 0 THEN 'zz' ELSE wd END"
+_MESSY = "CASE WHEN event_id % 3 = 0 THEN lower(' ' || wd || ' ') WHEN event_id % 7 = 0 THEN 'zz' ELSE wd END"
 
 
 @query(
