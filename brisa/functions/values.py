@@ -10,8 +10,7 @@ from brisa import spec as S
 
 def to_number(c: Column) -> Column:
     """Double, or null where the text is no number. NaN counts as missing."""
-    d = c.try_cast("double")
-    return F.when(~F.isnan(d), d)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
 def lost_in_cast(c: Column) -> Column:

@@ -18,7 +18,7 @@ from brisa import spec as S
 from brisa.functions.values import known, to_number
 from brisa.operators.partitions import in_range, resolve
 from brisa.operators.ranks import bucket_starts, fit_splitters, long_values
-from brisa.operators.sizes import direct_limit, fits
+from brisa.operators.sizes import direct_limit
 
 REF, PROD = "in_ref", "in_prod"
 NO_DRIFT, DRIFT, ERROR = "NO_DRIFT", "DRIFT", "ERROR"
@@ -62,10 +62,11 @@ def ks(
     numbers = samples.select(
         REF, PROD, *[to_number(F.col(c)).alias(c) if c in text else F.col(c) for c in columns]
     )
-    if fits(numbers, direct_limit(numbers)):
+    rows = numbers.count()
+    if rows <= direct_limit(numbers):
         found = _ks_direct(numbers, columns)
     else:
-        found = _ks_bucketed(numbers, columns)
+        found = _ks_bucketed(numbers, columns, rows)
     listed = samples.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
     found = listed.join(found, "column", "left")
     enough = (F.coalesce("n_ref", F.lit(0)) >= 2) & (F.coalesce("n_prod", F.lit(0)) >= 2)
@@ -119,7 +120,7 @@ def _ks_direct(samples: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _ks_bucketed(samples: DataFrame, columns: list[str]) -> DataFrame:
+def _ks_bucketed(samples: DataFrame, columns: list[str], rows: int) -> DataFrame:
     """Exact KS that shuffles values only where the maximum can lie.
 
     Counts per bucket give both distribution functions at every bucket edge. The
@@ -128,7 +129,7 @@ def _ks_bucketed(samples: DataFrame, columns: list[str]) -> DataFrame:
     buckets whose bound does not beat the edges are settled without looking at
     their values.
     """
-    values = long_values(samples, columns, fit_splitters(samples, columns), keep=[REF, PROD])
+    values = long_values(samples, columns, fit_splitters(samples, columns, rows), keep=[REF, PROD])
     per_bucket = values.groupBy("column", "bucket").agg(*_counts())
     a0, b0 = F.col("a_before"), F.col("b_before")
     a1, b1 = a0 + F.col("a"), b0 + F.col("b")

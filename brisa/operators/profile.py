@@ -225,19 +225,39 @@ def mean_by_level(df: DataFrame, column: str, levels: tuple[str, ...], value: st
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson matrix over pairwise complete rows, as (a, b, r) for every pair."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    computed = df.agg(
-        *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"d{i}") for i, c in enumerate(columns)],
+    """Pearson matrix over pairwise complete rows, as (a, b, r) for every pair.
+
+    A row fans out to one row per column with the columns after it, so one small
+    aggregate serves all pairs and stays within compiled code.
+    """
+    columns = list(columns)
+    rest = len(columns) - 1
+    cells = [
+        F.struct(
+            F.lit(i).alias("i"),
+            F.col(a).cast("double").alias("x"),
+            F.array(*[F.col(b).cast("double") for b in columns[i + 1 :]]).cast("array<double>").alias("ys"),
+        )
+        for i, a in enumerate(columns)
+    ]
+    computed = (
+        df.select(F.inline(F.array(*cells)))
+        .groupBy("i")
+        .agg(
+            F.when(F.min("x") < F.max("x"), F.lit(1.0)).alias("own"),
+            *[F.corr("x", F.get("ys", F.lit(j))).alias(f"r{j}") for j in range(rest)],
+        )
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    a = F.get(names, F.col("i"))
+    entries = [F.struct(a.alias("a"), a.alias("b"), F.col("own").alias("r"))]
+    for j in range(rest):
+        b = F.get(names, F.col("i") + (j + 1))
+        entries.append(F.struct(a.alias("a"), b.alias("b"), F.col(f"r{j}").alias("r")))
+        entries.append(F.struct(b.alias("a"), a.alias("b"), F.col(f"r{j}").alias("r")))
+    return computed.select(F.inline(F.array(*entries))).filter(
+        F.col("a").isNotNull() & F.col("b").isNotNull()
     )
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            cells.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"r{i}").alias("r")))
-    for i, c in enumerate(columns):
-        cells.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(f"d{i}").alias("r")))
-    return computed.select(F.inline(F.array(*cells)))
 
 
 def correlations_with(df: DataFrame, target: str, columns: list[str]) -> DataFrame:

@@ -22,46 +22,41 @@ however skewed the groups are.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brisa.operators.sizes import direct_limit, fits, join_checked
+from brisa.operators.sizes import direct_limit, join_checked
 
-BUCKETS = 256
-MAX_BUCKETS = 65_536
+MIN_BUCKETS, MAX_BUCKETS = 256, 65_536
 ROWS_PER_BUCKET = 4_000_000
-
-
-@dataclass(frozen=True)
-class Splitters:
-    """Row count and inner bucket edges per column (at most MAX_BUCKETS each)."""
-
-    rows: int
-    edges: dict[str, list[float]]
+#: Rows per bucket that the splitters are fitted on.
+FITTED_ROWS = 800
 
 
 def fit_splitters(
-    df: DataFrame, columns: list[str], buckets: int = BUCKETS, grow: bool = True
-) -> Splitters:
-    """Approximate quantiles of all columns in one pass.
-
-    A value that fills more than one quantile gets a bucket of its own, so that
-    every other bucket stays small. ``grow`` refits with more buckets when the
-    row count asks for it.
+    df: DataFrame, columns: list[str], rows: int, max_buckets: int = MAX_BUCKETS
+) -> dict[str, list[float]]:
+    """Bucket edges per column for a table of ``rows`` rows, in one pass.
+
+    Approximate quantiles of a random share of the rows: edges only balance the
+    buckets, so neither the share nor the approximation touches a result. A value
+    that fills more than one quantile gets a bucket of its own, so that every
+    other bucket stays small.
     """
+    buckets = max(MIN_BUCKETS, min(max_buckets, math.ceil(rows / ROWS_PER_BUCKET)))
+    share = FITTED_ROWS * buckets / max(rows, 1)
+    fitted = df.select(*columns)
+    if share < 1:
+        fitted = fitted.sample(share, seed=1)
     probs = [i / buckets for i in range(1, buckets)]
-    aggregates = [
-        F.percentile_approx(F.col(c).cast("double"), probs, 8 * buckets).alias(f"e{i}")
-        for i, c in enumerate(columns)
-    ]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *aggregates).first()
-    wanted = min(MAX_BUCKETS, math.ceil(row["rows"] / ROWS_PER_BUCKET))
-    if grow and wanted > buckets:
-        return fit_splitters(df, columns, wanted)
-    return Splitters(row["rows"], {c: _edges(row[f"e{i}"] or []) for i, c in enumerate(columns)})
+    row = fitted.agg(
+        *[
+            F.percentile_approx(F.col(c).cast("double"), probs, 4 * buckets).alias(f"e{i}")
+            for i, c in enumerate(columns)
+        ]
+    ).first()
+    return {c: _edges(row[f"e{i}"] or []) for i, c in enumerate(columns)}
 
 
 def _edges(quantiles: list[float]) -> list[float]:
@@ -71,17 +66,20 @@ def _edges(quantiles: list[float]) -> list[float]:
 
 
 def long_values(
-    df: DataFrame, columns: list[str], splitters: Splitters | None = None, keep: list[str] = ()
+    df: DataFrame,
+    columns: list[str],
+    edges: dict[str, list[float]] | None = None,
+    keep: list[str] = (),
 ) -> DataFrame:
     """One row per non-null value: keep..., column, bucket, value."""
     numbers = {f"__v{i}": F.nanvl(F.col(c).cast("double"), F.lit(None)) for i, c in enumerate(columns)}
     wide = df.select(*keep, *[v.alias(n) for n, v in numbers.items()])
-    if splitters is None:
+    if edges is None:
         bucket = [F.lit(0) for _ in columns]
     else:
         inf = float("inf")
         wide = Bucketizer(
-            splitsArray=[[-inf, *(splitters.edges[c] or [0.0]), inf] for c in columns],
+            splitsArray=[[-inf, *(edges[c] or [0.0]), inf] for c in columns],
             inputCols=list(numbers),
             outputCols=[f"__b{i}" for i in range(len(columns))],
             handleInvalid="keep",
@@ -120,64 +118,64 @@ def exact_quantiles(
     Nulls and NaN are left out; a group without values has no row.
     """
     columns, by = list(columns), list(by)
-    if fits(df.select(*by, *columns), direct_limit(df)):
-        values = long_values(df, columns, keep=by)
-        return values.groupBy(*by, "column").agg(
-            F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("q")
-        )
-    return _bucketed_quantiles(df, columns, probs, by)
-
-
-def _bucketed_quantiles(
-    df: DataFrame, columns: list[str], probs: list[float], by: list[str]
-) -> DataFrame:
-    values = long_values(df, columns, fit_splitters(df, columns), keep=by)
     group = [*by, "column"]
+    rows = df.count()
+    if rows <= direct_limit(df):
+        return (
+            long_values(df, columns, keep=by)
+            .groupBy(*group)
+            .agg(F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("q"))
+        )
+    values = long_values(df, columns, fit_splitters(df, columns, rows), keep=by)
     counted = values.groupBy(*group, "bucket").agg(F.count(F.lit(1)).alias("n"))
     starts = bucket_starts(counted, group, ["n"])
-
-    def low(p: float) -> Column:
-        return F.floor(F.lit(p) * (F.col("n_total") - 1))
-
-    def high(p: float) -> Column:
-        return F.ceil(F.lit(p) * (F.col("n_total") - 1))
-
-    def inside(rank: Column, first: Column, count: Column) -> Column:
-        return (rank >= first) & (rank < first + count)
-
     wanted = F.lit(False)
     for p in probs:
-        for rank in (low(p), high(p)):
-            wanted = wanted | inside(rank, F.col("n_before"), F.col("n"))
-    needed = starts.filter(wanted).select(*group, "bucket", "n_before", "n_total")
-
+        for rank in _ranks(p):
+            wanted = wanted | _holds(rank, F.col("n_before"), F.col("n"))
+    needed = starts.filter(wanted).select(
+        *group, "bucket", F.col("n_before").alias("before"), "n_total"
+    )
     keys = [*group, "bucket"]
-    ranked = _null_safe_join(values, needed, keys)
-    per_value = ranked.groupBy(*keys, "n_before", "n_total", "value").agg(
+    if by:
+        inside = _null_safe_join(values, needed, keys)
+    else:  # at most two buckets per column and probability
+        inside = values.join(F.broadcast(needed), keys)
+    counted_values = inside.groupBy(*keys, "before", "n_total", "value").agg(
         F.count(F.lit(1)).alias("m")
     )
-    within = (
+    upto = (
         Window.partitionBy(*keys)
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = per_value.withColumn(
-        "first", F.col("n_before") + F.sum("m").over(within) - F.col("m")
+    placed = counted_values.withColumn(
+        "first", F.col("before") + F.sum("m").over(upto) - F.col("m")
     )
     picks = []
     for i, p in enumerate(probs):
-        for side, rank in (("lo", low(p)), ("hi", high(p))):
-            hit = inside(rank, F.col("first"), F.col("m"))
+        for side, rank in zip(("lo", "hi"), _ranks(p)):
+            hit = _holds(rank, F.col("first"), F.col("m"))
             picks.append(F.max(F.when(hit, F.col("value"))).alias(f"{side}{i}"))
     found = placed.groupBy(*group).agg(F.max("n_total").alias("n_total"), *picks)
-    parts = [
-        F.col(f"lo{i}")
-        + (F.lit(p) * (F.col("n_total") - 1) - low(p)) * (F.col(f"hi{i}") - F.col(f"lo{i}"))
-        for i, p in enumerate(probs)
-    ]
+    parts = []
+    for i, p in enumerate(probs):
+        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
+        between = F.lit(p) * (F.col("n_total") - 1) - _ranks(p)[0]
+        parts.append(low + between * (high - low))
     return found.select(*group, F.array(*parts).alias("q"))
 
 
+def _ranks(p: float) -> tuple[Column, Column]:
+    """The two 0-based ranks a quantile of ``n_total`` values lies between."""
+    at = F.lit(p) * (F.col("n_total") - 1)
+    return F.floor(at), F.ceil(at)
+
+
+def _holds(rank: Column, first: Column, count: Column) -> Column:
+    return (rank >= first) & (rank < first + count)
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Equi-join in which null group names meet: a struct around null is no null."""
 
@@ -253,9 +251,9 @@ def _value_at(values: DataFrame, rows: int, rank: int) -> tuple[float, int, int]
     """
     below, limit = 0, direct_limit(values)
     while rows > limit:
-        fitted = fit_splitters(values, ["value"], grow=False)
+        edges = fit_splitters(values, ["value"], rows, max_buckets=MIN_BUCKETS)
         counted = (
-            long_values(values, ["value"], fitted)
+            long_values(values, ["value"], edges)
             .groupBy("bucket")
             .agg(
                 F.count(F.lit(1)).alias("n"),

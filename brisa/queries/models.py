@@ -24,9 +24,9 @@ class EntityMean:
     entity: str
 
     @staticmethod
-    def fit(train: DataFrame, spec: S.ReadingSpec = S.READINGS) -> EntityMean:
+    def fit(train: DataFrame, fallback: float, spec: S.ReadingSpec = S.READINGS) -> EntityMean:
         means = train.groupBy(spec.entity).agg(F.avg(spec.target).alias("__mean"))
-        return EntityMean(means, Baseline.fit(train, spec.target).mean, spec.entity)
+        return EntityMean(means, fallback, spec.entity)
 
     def transform(self, df: DataFrame) -> DataFrame:
         joined = join_checked(df, self.means, [self.entity], "left")
@@ -42,7 +42,8 @@ def prepared(spark: SparkSession, sf_dir: str, label: str, validate: bool = Fals
 
 def fitted(spark: SparkSession, sf_dir: str) -> dict[str, object]:
     train = prepared(spark, sf_dir, "train")
-    return {"champion": Baseline.fit(train), "candidate": EntityMean.fit(train, Q.EVENTS)}
+    baseline = Baseline.fit(train)
+    return {"champion": baseline, "candidate": EntityMean.fit(train, baseline.mean, Q.EVENTS)}
 
 
 def scored(spark: SparkSession, sf_dir: str, label: str = "test") -> DataFrame:

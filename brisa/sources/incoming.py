@@ -20,40 +20,40 @@ def check_incoming(
     field the schema does not know is an error. Values are read as text first, so
     a number sent as text still counts. Other columns are kept.
     """
-    fields = F.from_json(F.col(text), "map<string,string>")
-    parsed = df.withColumn("__f", fields)
+    # Each step is generated from a one-element array: the optimizer does not merge
+    # a generator into later filters, so text is parsed and cast once per row.
+    others = df.drop(*spec.required)
+    parsed = others.select("*", _once(F.from_json(F.col(text), "map<string,string>")).alias("__f"))
 
     def field(c: str) -> Column:
-        return F.trim(F.col("__f")[c])
+        return F.col("__f")[c]
 
-    allowed = F.array(*[F.lit(c) for c in spec.required])
-    when = F.coalesce(field(spec.time).try_cast("timestamp_ntz"))
-    typed = {
-        spec.time: when,
-        spec.entity: F.when(
-            F.length(field(spec.entity)).between(1, MAX_ENTITY_LENGTH), field(spec.entity)
-        ),
+    entity = F.trim(field(spec.entity))
+    typed = {  # casts ignore blanks around a value by themselves
+        spec.time: field(spec.time).try_cast("timestamp_ntz"),
+        spec.entity: F.when(F.length(entity).between(1, MAX_ENTITY_LENGTH), entity),
         "wd": normalize_sector(field("wd")),
         **{c: to_number(field(c)) for c in spec.measures},
     }
-    out = parsed.withColumns(typed)
-    problems = [F.when(F.col("__f").isNull(), F.lit("malformed"))]
-    problems.append(
-        F.when(
-            F.size(F.array_except(F.map_keys("__f"), allowed)) > 0,
-            F.concat(
-                F.lit("unknown:"),
-                F.array_join(F.array_sort(F.array_except(F.map_keys("__f"), allowed)), ","),
-            ),
-        )
-    )
+    cells = F.struct(*[typed[c].alias(c) for c in spec.required])
+    out = parsed.select("*", F.inline(F.array(cells)))
+    allowed = F.array(*[F.lit(c) for c in spec.required])
+    unknown = F.array_sort(F.array_except(F.map_keys("__f"), allowed))
+    problems = [
+        F.when(F.col("__f").isNull(), F.lit("malformed")),
+        F.when(F.size(unknown) > 0, F.concat(F.lit("unknown:"), F.array_join(unknown, ","))),
+    ]
     for c in spec.required:
         problems.append(F.when(F.col("__f").isNotNull() & F.col(c).isNull(), F.lit(f"bad:{c}")))
     for c in spec.measures:
         low, high = spec.limits[c]
         problems.append(F.when(~F.col(c).between(low, high), F.lit(f"range:{c}")))
     reasons = F.filter(F.array(*problems), lambda x: x.isNotNull())
-    return out.withColumn("reasons", reasons).drop("__f")
+    return out.select("*", _once(reasons).alias("reasons")).drop("__f")
+
+
+def _once(c: Column) -> Column:
+    return F.explode(F.array(c))
 
 
 def split_incoming(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
