@@ -70,7 +70,7 @@ def impossible_times(raw: DataFrame) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table can be read there, on any file system Spark knows."""
+    """Whether a finished table lies there, on any file system Spark knows."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return files.exists(target) and (not files.isDirectory(target) or _complete(files, target, spark))
@@ -91,6 +91,7 @@ def write_snapshot(df: DataFrame, path: str, time: str = S.TIME) -> None:
         df.withColumn("part_month", F.date_format(time, "yyyy-MM"))
         .repartition(F.col("part_month"), spread)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")  # the whole snapshot, and its _SUCCESS mark
         .partitionBy("part_month")
         .parquet(path)
     )
