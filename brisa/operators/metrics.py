@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brisa import spec as S
@@ -99,19 +99,106 @@ def stack_models(df: DataFrame, predictions: dict[str, str], name: str = "model"
     return df.select(*rest, F.inline(F.array(*cells)))
 
 
-def evaluate(df: DataFrame, spec: S.ReadingSpec = S.READINGS, by: list[str] = ()) -> DataFrame:
-    """Global and subgroup metrics in long rows: by..., axis, grp, metric, value."""
-    total = global_metrics(df, by, spec.target)
-    rows = total.select(
-        *by,
-        F.lit("global").alias("axis"),
-        F.lit("all").alias("grp"),
-        F.inline(_metric_cells(["mae", "rmse", "r2"])),
+def error_cells(
+    df: DataFrame, keys: list, target: str = S.TARGET, prediction: str = PREDICTION
+) -> DataFrame:
+    """Error sums and target moments per group: all metrics follow from these rows."""
+    y, e = F.col(target).cast("double"), F.col(target) - F.col(prediction)
+    return df.groupBy(*keys).agg(
+        F.count(e).alias("c"),
+        F.sum(F.abs(e)).alias("abs"),
+        F.sum(e * e).alias("sq"),
+        F.avg(y).alias("m"),
+        F.var_pop(y).alias("v"),
+        F.min(y).alias("lo"),
+        F.max(y).alias("hi"),
+    )
+
+
+def combine_cells(cells: DataFrame, group: list[str]) -> DataFrame:
+    """n, mae, rmse and r2 of cells that carry the mean of their group in ``mean``.
+
+    Squared deviations are combined around that mean, which large targets need.
+    """
+    gap = F.col("m") - F.col("mean")
+    sst = F.sum(F.col("c") * (F.col("v") + gap * gap))
+    constant = F.when(F.sum("sq") == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    return cells.groupBy(*group).agg(
+        F.sum("c").alias("n"),
+        (F.sum("abs") / F.sum("c")).alias("mae"),
+        F.sqrt(F.sum("sq") / F.sum("c")).alias("rmse"),
+        F.when(F.min("lo") == F.max("hi"), constant)
+        .otherwise(1 - F.try_divide(F.sum("sq"), sst))
+        .alias("r2"),
+    )
+
+
+def measure(
+    df: DataFrame,
+    by: list[str] = (),
+    target: str = S.TARGET,
+    prediction: str = PREDICTION,
+    min_rows: int = S.MIN_GROUP_ROWS,
+) -> DataFrame:
+    """Global and subgroup metrics together: by..., axis, grp, n, mae, rmse, r2.
+
+    One pass over the predictions; both axes and the total share its (season, band)
+    cells. Subgroups below ``min_rows`` are left out, the row (global, all) never.
+    """
+    keys = [*by, F.col(S.SEASON).alias("s"), hour_band(F.col(S.HOUR)).alias("b")]
+    axes = F.inline(
+        F.array(
+            F.struct(F.lit("global").alias("axis"), F.lit("all").alias("grp")),
+            F.struct(F.lit("temporada").alias("axis"), F.col("s").alias("grp")),
+            F.struct(F.lit("hora").alias("axis"), F.col("b").alias("grp")),
+        )
+    )
+    group = [*by, "axis", "grp"]
+    whole = Window.partitionBy(*group)  # at most one row per season and band
+    cells = error_cells(df, keys, target, prediction).select("*", axes)
+    mean = F.sum(F.col("c") * F.col("m")).over(whole) / F.sum("c").over(whole)
+    return combine_cells(cells.withColumn("mean", mean), group).filter(
+        (F.col("n") >= min_rows) | (F.col("axis") == "global")
+    )
+
+
+def measure_entities(
+    df: DataFrame, split: str, spec: S.ReadingSpec = S.READINGS, prediction: str = PREDICTION
+) -> tuple[DataFrame, DataFrame]:
+    """Metrics per split with the worst entity's MAE, and MAE per split and entity.
+
+    One pass over the predictions. Its per-entity rows are kept, not the
+    predictions; the few splits are the small side of the join.
+    """
+    cells = error_cells(df, [split, spec.entity], spec.target, prediction).persist()
+    means = cells.groupBy(split).agg(
+        (F.sum(F.col("c") * F.col("m")) / F.sum("c")).alias("mean"),
+        F.max(F.col("abs") / F.col("c")).alias("worst_entity_mae"),
     )
-    groups = subgroup_metrics(df, by, spec.target)
-    return rows.unionByName(
-        groups.select(*by, "axis", "grp", F.inline(_metric_cells(["mae", "n"])))
+    total = combine_cells(cells.join(F.broadcast(means), split), [split, "worst_entity_mae"])
+    per_entity = cells.select(
+        split, spec.entity, (F.col("abs") / F.col("c")).alias("mae"), F.col("c").alias("n")
     )
+    return total, per_entity
+
+
+def split_measures(measured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Global rows and subgroup rows of ``measure``."""
+    total = measured.filter(F.col("axis") == "global").drop("axis", "grp")
+    groups = measured.filter(F.col("axis") != "global").drop("rmse", "r2")
+    return total, groups
+
+
+def evaluate(df: DataFrame, spec: S.ReadingSpec = S.READINGS, by: list[str] = ()) -> DataFrame:
+    """Global and subgroup metrics in long rows: by..., axis, grp, metric, value."""
+    measured = measure(df, by, spec.target)
+    whole = F.col("axis") == "global"
+    cells = [
+        F.struct(F.lit(m).alias("metric"), F.when(shown, F.col(m).cast("double")).alias("value"))
+        for m, shown in (("mae", F.lit(True)), ("rmse", whole), ("r2", whole), ("n", ~whole))
+    ]
+    long = measured.select(*by, "axis", "grp", F.inline(F.array(*cells)))
+    return long.filter(F.col("value").isNotNull())
 
 
 def _metric_cells(names: list[str]):

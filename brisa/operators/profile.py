@@ -137,46 +137,39 @@ def histogram(
     """
     scaled, spans = _bin_values(df, columns, log)
     live = [c for c in columns if spans[c][0] is not None]
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), _bin(scaled[c], *spans[c], bins).alias("bin"))
-            for c in live
-        ]
-    )
+    if not live:
+        raise ValueError(f"no values to bin in {columns}")
     keep = [by] if by else []
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(float(spans[c][0])).alias("first"),
+            F.lit(float(spans[c][1])).alias("last"),
+            _bin(scaled[c], *spans[c], bins).alias("bin"),
+        )
+        for c in live
+    ]
+    group = [*keep, "column", "first", "last"]
+    # Rows without a value count as bin null, so their group still shows up. A
+    # group's map holds at most one entry per bin.
+    found = F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))
     counted = (
-        df.select(*keep, F.inline(cells))
-        .filter(F.col("bin").isNotNull())
-        .groupBy(*keep, "column", "bin")
+        df.select(*keep, F.inline(F.array(*cells)))
+        .groupBy(*group, "bin")
         .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*group)
+        .agg(F.map_from_entries(found).alias("found"))
     )
-    edges = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.lit(float(spans[c][0])).alias("first"),
-                    F.lit(float(spans[c][1])).alias("last"),
-                )
-                for c in live
-            ]
-        )
-    )
-    groups = df.select(*keep).distinct() if by else df.sparkSession.range(1).drop("id")
+    listed = counted.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("last") - F.col("first")) / bins
-    spine = (
-        groups.select(*keep, edges)
-        .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-        .select(
-            *keep,
-            "column",
-            "bin",
-            (F.col("first") + F.col("bin") * width).alias("low"),
-            (F.col("first") + (F.col("bin") + 1) * width).alias("high"),
-        )
+    return listed.select(
+        *keep,
+        "column",
+        "bin",
+        (F.col("first") + F.col("bin") * width).alias("low"),
+        (F.col("first") + (F.col("bin") + 1) * width).alias("high"),
+        F.coalesce(F.col("found")[F.col("bin")], F.lit(0).cast("bigint")).alias("n"),
     )
-    joined = spine.join(counted, [*keep, "column", "bin"], "left")
-    return joined.withColumn("n", F.coalesce(F.col("n"), F.lit(0).cast("bigint")))
 
 
 def density(df: DataFrame, column: str, by: str, bins: int = 60) -> DataFrame:
@@ -209,13 +202,10 @@ def mean_by_level(df: DataFrame, column: str, levels: tuple[str, ...], value: st
     found = df.groupBy(F.col(column).alias("level")).agg(
         F.sum(value).alias("s"), F.count(value).alias("c")
     )
-    listed = level_series(levels, df.sparkSession)
-    everything = Window.partitionBy(F.lit(0))  # at most one row per level
-    joined = listed.join(found, "level", "full_outer").withColumn(
-        "global_mean", F.try_divide(F.sum("s").over(everything), F.sum("c").over(everything))
-    )
+    total = found.agg(F.try_divide(F.sum("s"), F.sum("c")).alias("global_mean"))
+    listed = level_series(levels, df.sparkSession).join(found, "level", "left")
     return (
-        joined.filter(F.col("pos").isNotNull())
+        listed.join(F.broadcast(total))  # a single row
         .select("pos", "level", F.try_divide("s", "c").alias("mean"), "global_mean")
         .orderBy("pos")
     )

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brisa.session import tune
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -14,7 +16,7 @@ def query(name: str, sql: str | None = None):
     def register(f):
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = f
+        QUERIES[name] = lambda spark, sf_dir: f(tune(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return f

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Split a skewed join partition even where a grouping follows on the same key.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -26,6 +28,15 @@ def get_session(app: str = "brisa", master: str | None = None, **extra: str) ->
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session somebody else made; its own choices stay."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive.") and spark.conf.get(key, None) != value:
+            if not spark.sparkContext.getConf().contains(key):
+                spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

@@ -173,3 +173,23 @@ def test_worst_entity_and_maps(spark):
     assert E.as_maps(per, "station", "mae").first()["values"] == {"a": 1.0, "b": 2.0}
     parts = E.as_maps(per, "station", "mae", rows_per_map=1).collect()
     assert {k: v for r in parts for k, v in r["values"].items()} == {"a": 1.0, "b": 2.0}
+
+
+def test_one_pass_metrics_agree_with_separate_ones(spark):
+    rows = [(f"s{i % 3}", "a" if i % 2 else "b", i % 24, 1e9 + i % 17, 1e9 + (i * 7) % 19) for i in range(400)]
+    df = spark.createDataFrame(
+        rows, "station string, temporada string, hora int, pm25 double, prediction double"
+    ).withColumn("split", F.lit("x"))
+    want = E.global_metrics(df).first()
+    total, groups = E.split_measures(E.measure(df))
+    split_total, per_entity = E.measure_entities(df, "split")
+    for got in (total.first(), split_total.first()):
+        for name in ("n", "mae", "rmse", "r2"):
+            # A mean near 1e9 is known to about 1e-7, so both sides carry some 1e-8.
+            assert got[name] == pytest.approx(want[name], rel=1e-7)
+    assert sorted(map(tuple, groups.select("axis", "grp", "n").collect())) == sorted(
+        map(tuple, E.subgroup_metrics(df).select("axis", "grp", "n").collect())
+    )
+    worst = E.worst_entity(E.entity_metrics(df)).first()["mae"]
+    assert split_total.first()["worst_entity_mae"] == pytest.approx(worst)
+    assert per_entity.count() == 3
