@@ -31,7 +31,7 @@ from brisa.operators.sizes import direct_limit, join_checked
 MIN_BUCKETS, MAX_BUCKETS = 256, 65_536
 ROWS_PER_BUCKET = 4_000_000
 #: Rows per bucket that the splitters are fitted on.
-FITTED_ROWS = 800
+FITTED_ROWS = 200
 
 
 def fit_splitters(

@@ -20,6 +20,7 @@ from brisa.session import scratch_path
 from brisa.sources import ledger as J
 from brisa.sources import readings as A
 from brisa.sources import sinks as K
+from brisa.sources.incoming import check_incoming, store_incoming
 
 MOMENT = dt.datetime(2024, 2, 1, 12, 0, 0)
 RAW_ROWS = (
@@ -365,10 +366,9 @@ VERDICT_SQL = (
     "CASE WHEN first_reason IS NULL THEN wd END AS wd, CASE WHEN first_reason IS NULL THEN CO END AS co, first_reason FROM t",
 )
 def quarantine_split(spark, sf_dir):
-    from brisa.sources.incoming import check_incoming, split_incoming
-
     records = json_records(Q.readings(spark, sf_dir)).select("event_id", "record")
-    valid, quarantined = split_incoming(check_incoming(records, "record", Q.EVENTS))
+    checked = check_incoming(records, "record", Q.EVENTS)
+    valid, quarantined = store_incoming(checked, scratch_path(spark, "incoming"))
     good = valid.select(
         "event_id", F.lit(True).alias("valid"), "wd", F.col("CO").alias("co"), F.lit(None).cast("string").alias("first_reason")
     )

@@ -60,3 +60,12 @@ def split_incoming(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid rows without reasons, and quarantined rows with them."""
     valid = checked.filter(F.size("reasons") == 0).drop("reasons")
     return valid, checked.filter(F.size("reasons") > 0)
+
+
+def store_incoming(checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write both kinds in one pass, valid rows and quarantine in folders of their own."""
+    marked = checked.withColumn("valid", F.size("reasons") == 0)
+    marked.write.mode("overwrite").partitionBy("valid").parquet(path)
+    stored = checked.sparkSession.read.schema(marked.schema).parquet(path)
+    valid = stored.filter(F.col("valid")).drop("valid", "reasons")
+    return valid, stored.filter(~F.col("valid")).drop("valid")

@@ -69,27 +69,27 @@ def impossible_times(raw: DataFrame) -> DataFrame:
     )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished table lies there, on any file system Spark knows."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(target) and (not files.isDirectory(target) or _complete(files, target, spark))
-
+def path_exists(spark: SparkSession, path: str, finished: bool = False) -> bool:
+    """Whether a path exists on any file system Spark knows.
 
-def _complete(files, target, spark) -> bool:
-    return files.exists(spark._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS"))
+    ``finished`` also asks for the mark that a completed write leaves.
+    """
+    if finished:
+        path = f"{path}/_SUCCESS"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def write_snapshot(df: DataFrame, path: str, time: str = S.TIME) -> None:
     """Columnar snapshot, one folder per month so that time slices prune files.
 
-    Rows are clustered by month and spread within it, so a month becomes a few
-    files instead of one per task, and no single task writes a whole month.
+    Rows are rebalanced by month: small months share a task and large ones are
+    split by size, so files come out at the advisory size and no task writes a
+    whole month.
     """
-    spread = F.pmod(F.hash(F.col(time)), F.lit(32))
+    monthly = df.withColumn("part_month", F.date_format(time, "yyyy-MM"))
     (
-        df.withColumn("part_month", F.date_format(time, "yyyy-MM"))
-        .repartition(F.col("part_month"), spread)
+        monthly.hint("rebalance", F.col("part_month"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")  # the whole snapshot, and its _SUCCESS mark
         .partitionBy("part_month")
@@ -98,8 +98,8 @@ def write_snapshot(df: DataFrame, path: str, time: str = S.TIME) -> None:
 
 
 def load_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """The snapshot, or None where there is none."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    """The snapshot, or None where there is no finished one."""
+    return spark.read.parquet(path) if path_exists(spark, path, finished=True) else None
 
 
 def ensure_snapshot(spark: SparkSession, path: str, build, time: str = S.TIME) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from brisa import spec as S
 from brisa.sources import readings as A
 from brisa.sources import sinks as K
-from brisa.sources.incoming import check_incoming, split_incoming
+from brisa.plans.serving import serve_champion
+from brisa.sources.incoming import check_incoming, split_incoming, store_incoming
+from brisa.sources.ledger import Ledger
 from brisa.streaming import jobs as T
 from tests.conftest import frame, raw_rows
 
@@ -139,6 +141,28 @@ def test_stream_scores_and_restarts(spark, tmp_path):
         T.score_stream(spark.readStream.schema("record string").json(str(source)), "record", None, "", out)
 
 
+def test_only_a_champion_serves(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.json").write_text(json.dumps({"record": json.dumps(GOOD)}))
+    stream = spark.readStream.schema("record string").json(str(source))
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    ledger.register("m", "1", "mean")
+    ledger.set_alias("m", "candidate", "1")
+    with pytest.raises(T.NoModel):
+        serve_champion(stream, "record", ledger, "m", out, load={"mean": Mean()}.get)
+    ledger.set_alias("m", "champion", "1")
+    T.run_to_end(serve_champion(stream, "record", ledger, "m", out, load={"mean": Mean()}.get))
+    assert spark.read.parquet(f"{out}/scored").first()["model_version"] == "1"
+
+
+def test_incoming_is_stored_in_one_pass(spark, tmp_path):
+    df = spark.createDataFrame([(1, json.dumps(GOOD)), (2, "{nope")], "id int, j string")
+    valid, bad = store_incoming(check_incoming(df, "j"), str(tmp_path / "s"))
+    assert [r["id"] for r in valid.collect()] == [1]
+    assert [(r["id"], r["reasons"]) for r in bad.collect()] == [(2, ["malformed"])]
+
+
 def test_stream_drops_repeats(spark, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = [(dt.datetime(2024, 1, 1, i % 5), "a") for i in range(20)]
