@@ -259,11 +259,11 @@ def chi2_tail(x: float, dof: int) -> float:
     if not x > 0 or dof < 1:
         return 1.0
     h = x / 2.0
-    start = 0.0 if dof % 2 == 0 else 0.5
-    orders = np.arange(start, dof / 2.0, 1.0) if start == 0.0 else np.arange(0.5, dof / 2.0, 1.0)
-    logs = np.array([s * math.log(h) - h - math.lgamma(s + 1.0) for s in orders])
-    tail = float(np.exp(logs).sum()) if len(logs) else 0.0
-    if start:
+    odd = dof % 2 == 1
+    orders = np.arange(0.5 if odd else 0.0, dof / 2.0)
+    logs = [s * math.log(h) - h - math.lgamma(s + 1.0) for s in orders]
+    tail = float(np.exp(logs).sum()) if logs else 0.0
+    if odd:
         tail += math.erfc(math.sqrt(h))
     return min(1.0, tail)
 

@@ -9,7 +9,7 @@ from brisa import spec as S
 from brisa.functions import calendar as C
 from brisa.functions.errors import relative_change
 from brisa.operators.ranks import exact_quantiles
-from brisa.operators.sizes import join_checked
+from brisa.operators.sizes import join_null_safe
 
 
 def summary(df: DataFrame, spec: S.ReadingSpec = S.READINGS) -> DataFrame:
@@ -285,7 +285,7 @@ def describe(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame
     )
     long = moments.select(*by, F.inline(cells))
     quartiles = exact_quantiles(df, columns, QUARTILES, by)
-    joined = long.join(quartiles, [*by, "column"], "left")
+    joined = join_null_safe(long, quartiles, [*by, "column"], "left")
     return joined.select(
         *by,
         "column",
@@ -316,7 +316,7 @@ def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
         F.col("q")[1].alias("med"),
         F.col("q")[2].alias("q3"),
     )
-    fenced = join_checked(kept, quartiles, [by])
+    fenced = join_null_safe(kept, quartiles, [by])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return fenced.groupBy(by).agg(
@@ -399,4 +399,4 @@ def two_sample_summary(
     """Describe and null share of every column, per sample."""
     described = describe(df, columns, [sample])
     nulls = null_share(df, F.col(sample), sample, columns)
-    return described.join(nulls, [sample, "column"], "left")
+    return join_null_safe(described, nulls, [sample, "column"], "left")

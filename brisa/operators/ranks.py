@@ -26,7 +26,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brisa.operators.sizes import direct_limit, join_checked
+from brisa.operators.sizes import direct_limit, join_null_safe
 
 MIN_BUCKETS, MAX_BUCKETS = 256, 65_536
 ROWS_PER_BUCKET = 4_000_000
@@ -138,7 +138,7 @@ def exact_quantiles(
     )
     keys = [*group, "bucket"]
     if by:
-        inside = _null_safe_join(values, needed, keys)
+        inside = join_null_safe(values, needed, keys)
     else:  # at most two buckets per column and probability
         inside = values.join(F.broadcast(needed), keys)
     counted_values = inside.groupBy(*keys, "before", "n_total", "value").agg(
@@ -176,16 +176,6 @@ def _holds(rank: Column, first: Column, count: Column) -> Column:
     return (rank >= first) & (rank < first + count)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Equi-join in which null group names meet: a struct around null is no null."""
-
-    def safe(df: DataFrame) -> DataFrame:
-        return df.withColumns({f"__k{i}": F.struct(F.col(k)) for i, k in enumerate(keys)})
-
-    joined = [f"__k{i}" for i in range(len(keys))]
-    return join_checked(safe(left), safe(right).drop(*keys), joined).drop(*joined)
-
-
 def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """The first ``n`` rows in the order of numeric or time columns without nulls.
 

@@ -329,9 +329,6 @@ def hour_band(spark, sf_dir):
 
 # --- incoming JSON -------------------------------------------------------------
 
-_JSON_FIELDS = ("datetime", *S.READINGS.categoricals, *S.MEASURES)
-
-
 def json_records(df):
     """Sound readings as JSON text, some with an unknown field, some cut short.
 
@@ -351,7 +348,6 @@ def json_records(df):
     return df.select("event_id", "datetime", cut.alias("record"))
 
 
-_BAD_MEASURES = " OR ".join(f"{c} IS NULL" for c in S.MEASURES if c != "PM10")
 VERDICT_SQL = (
     "CASE WHEN event_id % 91 = 0 THEN 'malformed' WHEN event_id % 23 = 0 THEN 'unknown:color' "
     "WHEN wd IS NULL THEN 'bad:wd' WHEN event_id % 19 <> 0 AND PM10 IS NULL THEN 'bad:PM10' "

@@ -18,6 +18,9 @@ SETTINGS = {
 }
 
 
+_local_folders: dict[str, str] = {}
+
+
 def get_session(app: str = "brisa", master: str | None = None, **extra: str) -> SparkSession:
     """Build (or reuse) a session with the settings the operators expect."""
     builder = SparkSession.builder.appName(app)
@@ -47,11 +50,12 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="brisa-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="brisa-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

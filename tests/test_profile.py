@@ -68,3 +68,10 @@ def test_year_over_year(spark):
 def test_prediction_summary(spark):
     df = spark.range(101).select(F.col("id").cast("double").alias("prediccion_pm25"))
     assert tuple(O.prediction_summary(df).first()) == (101, 50.0, 95.0)
+
+
+def test_groups_without_a_name_are_described_too(spark, distributed):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0)], "g string, v double")
+    got = {r["g"]: (r["count"], r["q50"], r["max"]) for r in O.describe(df, ["v"], ["g"]).collect()}
+    assert got == {"a": (2, 2.0, 3.0), None: (1, 5.0, 5.0)}
+    assert {r["g"] for r in O.box_stats(df, "v", "g").collect()} == {"a", None}
