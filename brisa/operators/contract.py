@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa import spec as S
+from brisa.functions.values import coerce_numeric, lost_in_cast
 
 
 @dataclass(frozen=True)
@@ -243,6 +244,36 @@ def by_partition(df: DataFrame, rules: list[Rule], label: str = "particion") ->
     return report(df, [rows, *rules], by=[label])
 
 
+def enforce_by(
+    df: DataFrame, rules: list[Rule], label: str, expected: list[str]
+) -> DataFrame:
+    """Hold every labelled group to the contract; a group without rows breaks it too."""
+    found = by_partition(df, rules, label).collect()  # one row per rule and label
+    broken = [r.asDict() for r in found if r["scope"] != "rows" and r["violations"] > 0]
+    for missing in sorted(set(expected) - {r[label] for r in found}):
+        empty = {"rule": "min_volume", "column": "*", "scope": "batch", "violations": 1}
+        broken.append({label: missing, **empty})
+    if broken:
+        raise ContractViolation(broken)
+    return df
+
+
+def coercion_contract(spec: S.ReadingSpec = S.READINGS) -> list[Rule]:
+    """Values that are present but do not cast: checked on the text, before casting."""
+    lost = F.col(spec.time).isNotNull() & F.col(spec.time).try_cast("timestamp_ntz").isNull()
+    numbers = (*spec.measures, spec.target)
+    return [
+        row_rule("coerce", spec.time, lost),
+        *[row_rule("coerce", c, lost_in_cast(F.col(c))) for c in numbers],
+    ]
+
+
+def coerce_readings(df: DataFrame, spec: S.ReadingSpec = S.READINGS) -> DataFrame:
+    """Cast time and numbers to their types; what does not cast becomes null."""
+    typed = coerce_numeric(df, (*spec.measures, spec.target))
+    return typed.withColumn(spec.time, F.col(spec.time).try_cast("timestamp_ntz"))
+
+
 def contract_columns(spec: S.ReadingSpec = S.READINGS) -> dict[str, list[str]]:
     """The contract as data: which columns play which part."""
     return {

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from brisa import spec as S
 from brisa.functions.values import known, sample_hash
-from brisa.operators.contract import enforce, processed_contract, raw_contract
+from brisa.operators.contract import enforce, enforce_by, processed_contract, raw_contract
 from brisa.operators.features import build_features
-from brisa.operators.partitions import slice_label
+from brisa.operators.partitions import label_rows, resolve, slice_label
 from brisa.operators.ranks import exact_quantiles, first_rows, rows_before_cut
+from brisa.operators.sizes import join_null_safe
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,32 @@ def clean(df: DataFrame, spec: S.ReadingSpec = S.READINGS) -> DataFrame:
     return kept.withColumns(flags).withColumns({**filled, **named})
 
 
+def clean_by(df: DataFrame, by: str, spec: S.ReadingSpec = S.READINGS) -> DataFrame:
+    """``clean`` with medians per group: one job for all groups together."""
+    kept = df.filter(F.col(spec.target).isNotNull())
+    numerics = [c for c in spec.measures if c in df.columns]
+    categoricals = [c for c in spec.categoricals if c in df.columns]
+    medians = (
+        exact_quantiles(kept, numerics, [0.5], [by])
+        .groupBy(by)
+        .agg(
+            *[
+                F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(f"__m_{c}")
+                for c in numerics
+            ]
+        )
+    )
+    joined = join_null_safe(kept, medians, [by], "left")
+    flags = {f"{c}_era_nulo": F.col(c).isNull().cast("tinyint") for c in numerics}
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")) for c in numerics}
+    named = {c: known(F.col(c).cast("string")) for c in categoricals}
+    return (
+        joined.withColumns(flags)
+        .withColumns({**filled, **named})
+        .drop(*[f"__m_{c}" for c in numerics])
+    )
+
+
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = S.SEED) -> DataFrame:
     """Exactly ``n`` rows, always the same ones for a seed; all when there are fewer.
 
@@ -123,9 +150,48 @@ def prepare_partition(
     return part
 
 
+def prepare_labelled(
+    df: DataFrame,
+    labels: list[str],
+    spec: S.ReadingSpec = S.READINGS,
+    *,
+    validate: bool = True,
+    as_of: str | None = None,
+    name: str = "particion",
+) -> DataFrame:
+    """Several partitions prepared together, each row with its label.
+
+    Both contracts, the medians and the features of all partitions take one job
+    each, however many partitions there are. Every partition is held to its own
+    contract and filled with its own medians.
+    """
+    ranges = tuple(r for label in labels for r in resolve(label, spec.ranges))
+    _require_disjoint(ranges)
+    rows = label_rows(df, ranges, spec.time, name)
+    if validate:
+        enforce_by(rows, raw_contract(spec, as_of=as_of), name, labels)
+    rows = build_features(clean_by(rows, name, spec), spec)
+    if validate:
+        enforce_by(rows, processed_contract(spec), name, labels)
+    return rows
+
+
+def _require_disjoint(ranges: tuple[S.DateRange, ...]) -> None:
+    ordered = sorted(ranges, key=lambda r: r.first)
+    for a, b in zip(ordered, ordered[1:]):
+        if b.first <= a.last:
+            raise ValueError(f"partitions {a.label} and {b.label} overlap; prepare them one by one")
+
+
 def prepare_partitions(
     df: DataFrame, labels: list[str], spec: S.ReadingSpec = S.READINGS, **options
 ) -> DataFrame:
-    """Several prepared partitions in one table; order it at the sink if needed."""
+    """Several prepared partitions in one table; order it at the sink if needed.
+
+    A sample size per partition asks for partition-wise work.
+    """
+    if options.get("rows") is None:
+        kept = {k: v for k, v in options.items() if k in ("validate", "as_of")}
+        return prepare_labelled(df, labels, spec, **kept).drop("particion")
     parts = [prepare_partition(df, label, spec, **options) for label in labels]
     return reduce(lambda a, b: a.unionByName(b), parts)

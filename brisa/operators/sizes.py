@@ -31,8 +31,10 @@ def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str = "i
     """Equi-join that broadcasts ``right`` only when its counted size allows it.
 
     Beyond the bound it is a plain shuffle join, whose skewed partitions the
-    adaptive skew-join rule splits.
+    adaptive skew-join rule splits. Counting computes ``right``, so it is kept for
+    the join itself; Spark evicts it when memory is needed.
     """
+    right = right.persist()
     limit = int(left.sparkSession.conf.get(BROADCAST_ROWS_KEY, str(BROADCAST_ROWS)))
     if fits(right, limit):
         return left.join(F.broadcast(right), on, how)

@@ -119,3 +119,12 @@ def test_contract_as_data():
     assert parts["target"] == ["pm25"]
     assert parts["categorical_features"] == ["temporada", "station", "wd"]
     assert len(parts["numeric_features"]) == 13 and len(S.READINGS.features) == 16
+
+
+def test_text_that_is_no_number_is_counted_and_nulled(spark):
+    df = frame(spark, raw_rows()).withColumn("CO", F.col("CO").cast("string"))
+    df = df.withColumn("CO", F.when(F.col("SO2") == 10, "n/a").otherwise(F.col("CO")))
+    broken = K.broken_rules(df, K.coercion_contract())
+    assert [(b["rule"], b["column"], b["violations"]) for b in broken] == [("coerce", "CO", 40)]
+    typed = K.coerce_readings(df)
+    assert dict(typed.dtypes)["CO"] == "double" and typed.filter("CO IS NULL").count() == 40

@@ -130,3 +130,29 @@ def test_prepare_partition_rejects_and_accepts(spark):
     with pytest.raises(ContractViolation):
         R.prepare_partition(frame(spark, rows), "test", as_of="2020-01-01")
     assert R.prepare_partition(frame(spark, rows), "test", rows=50, validate=False).count() == 50
+
+
+@pytest.mark.parametrize("forced", [True, False])
+def test_partitions_prepared_together_equal_those_prepared_alone(spark, forced):
+    from brisa.operators.contract import ContractViolation
+    from brisa.queries import tables as Q
+
+    for key in ("brisa.directRows", "brisa.broadcastRows"):
+        spark.conf.set(key, "0" if forced else "100000")
+    try:
+        readings = Q.readings(spark, "/root/testdata/sf0.001")
+        options = {"as_of": Q.AS_OF}
+        together = R.prepare_partitions(readings, ["valid", "test"], Q.EVENTS, **options)
+        alone = [R.prepare_partition(readings, p, Q.EVENTS, **options) for p in ("valid", "test")]
+        columns = sorted(together.columns)
+        want = sorted(map(repr, alone[0].unionByName(alone[1]).select(columns).collect()))
+        assert sorted(map(repr, together.select(columns).collect())) == want
+        late = Q.EVENTS.with_(ranges=(*Q.RANGES, S.DateRange("later", "2030-01-01", "2030-01-02")))
+        with pytest.raises(ContractViolation, match="min_volume"):
+            R.prepare_labelled(readings, ["valid", "later"], late, **options)
+        both = Q.EVENTS.with_(ranges=(*Q.RANGES, S.DateRange("again", "2024-01-16", "2024-01-17")))
+        with pytest.raises(ValueError, match="overlap"):
+            R.prepare_labelled(readings, ["valid", "again"], both, **options)
+    finally:
+        for key in ("brisa.directRows", "brisa.broadcastRows"):
+            spark.conf.unset(key)
