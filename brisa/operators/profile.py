@@ -204,11 +204,9 @@ def mean_by_level(df: DataFrame, column: str, levels: tuple[str, ...], value: st
     )
     total = found.agg(F.try_divide(F.sum("s"), F.sum("c")).alias("global_mean"))
     listed = level_series(levels, df.sparkSession).join(found, "level", "left")
-    return (
-        listed.join(F.broadcast(total))  # a single row
-        .select("pos", "level", F.try_divide("s", "c").alias("mean"), "global_mean")
-        .orderBy("pos")
-    )
+    return listed.select(
+        "pos", "level", F.try_divide("s", "c").alias("mean"), total.scalar().alias("global_mean")
+    ).orderBy("pos")
 
 
 # --- correlation -------------------------------------------------------------
@@ -384,13 +382,7 @@ def prediction_summary(df: DataFrame, prediction: str = "prediccion_pm25") -> Da
     """Rows, mean and 95th percentile of a prediction column, to 3 digits."""
     p95 = quantiles(df, prediction, [0.95]).select(F.round("value", 3).alias("p95"))
     means = df.agg(F.count(prediction).alias("n_rows"), F.round(F.avg(prediction), 3).alias("mean"))
-    return _beside(means, p95)
-
-
-def _beside(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two one-row tables side by side."""
-    one = F.lit(1).alias("__one")
-    return a.select("*", one).join(b.select("*", one), "__one", "left").drop("__one")
+    return means.withColumn("p95", p95.scalar())
 
 
 def two_sample_summary(
