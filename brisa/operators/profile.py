@@ -198,15 +198,24 @@ def by_level(
 
 
 def mean_by_level(df: DataFrame, column: str, levels: tuple[str, ...], value: str) -> DataFrame:
-    """Mean per level in a fixed order, beside the mean of all rows, in one scan."""
-    found = df.groupBy(F.col(column).alias("level")).agg(
+    """Mean per level in a fixed order, beside the mean of all rows, in one scan.
+
+    Unlisted levels are folded into one before grouping, so the groups are never
+    more than the listed levels and one.
+    """
+    listed_only = F.when(F.col(column).isin(*levels), F.col(column))
+    found = df.groupBy(listed_only.alias("level")).agg(
         F.sum(value).alias("s"), F.count(value).alias("c")
     )
-    total = found.agg(F.try_divide(F.sum("s"), F.sum("c")).alias("global_mean"))
-    listed = level_series(levels, df.sparkSession).join(found, "level", "left")
-    return listed.select(
-        "pos", "level", F.try_divide("s", "c").alias("mean"), total.scalar().alias("global_mean")
-    ).orderBy("pos")
+    whole = Window.partitionBy(F.lit(0))
+    joined = level_series(levels, df.sparkSession).join(found, "level", "full_outer")
+    overall = F.try_divide(F.sum("s").over(whole), F.sum("c").over(whole))
+    return (
+        joined.withColumn("global_mean", overall)
+        .filter(F.col("pos").isNotNull())
+        .select("pos", "level", F.try_divide("s", "c").alias("mean"), "global_mean")
+        .orderBy("pos")
+    )
 
 
 # --- correlation -------------------------------------------------------------
