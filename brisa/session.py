@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,9 +17,6 @@ SETTINGS = {
 }
 
 
-_local_folders: dict[str, str] = {}
-
-
 def get_session(app: str = "brisa", master: str | None = None, **extra: str) -> SparkSession:
     """Build (or reuse) a session with the settings the operators expect."""
     builder = SparkSession.builder.appName(app)
@@ -41,21 +37,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
+    """Folder that the driver and every executor can reach.
 
-    Only a local-mode session may fall back to a temporary folder: there the
-    driver and the executors are one process. On a cluster a missing setting is
-    an error, because a machine-local folder would lose data with its machine.
+    ``spark.checkpoint.dir`` names it; a session without that setting has the
+    warehouse, which is as shared. No temporary folder of one machine ever serves.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="brisa-")
-    return _local_folders[context.applicationId]
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
