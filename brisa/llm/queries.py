@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brisa.llm import mixing, shards, tokens
+from brisa.llm import langid, mixing, shards, tokens, warc, winnow
 from brisa.llm.text import n_bytes, settled, word_count
 from brisa.queries.registry import query
+from brisa.session import scratch_path
 
 
 def _read(spark, sf_dir, table="documents"):
@@ -68,3 +69,44 @@ FROM p
 @query("op9_mixing", _OP9_SQL)
 def op9_mixing(spark, sf_dir):
     return mixing.taken_words(mixing.mix(_read(spark, sf_dir)))
+
+
+_OP5_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hex,
+        min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (((('0x' || substr(hex, (i // 4 * 5 + 1)::INT, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1)::INT,
+        1)), '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
+"""
+
+
+@query("op5_warc", _OP5_SQL)
+def op5_warc(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.page_records(_read(spark, sf_dir, "pages")), path)
+    found = warc.read_warc(spark, path)
+    return found.select(
+        warc.page_key("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_key("refers_to").alias("refers_to"),
+    )
+
+
+@query("op3_fingerprints")
+def op3_fingerprints(spark, sf_dir):
+    return winnow.edit_likeness(_read(spark, sf_dir))
+
+
+@query("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    docs = _read(spark, sf_dir).select("doc_id", "text", "lang")
+    return langid.identify_held_out(docs).select("doc_id", "held_out", "lang_pred", "score")

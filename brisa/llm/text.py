@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +20,26 @@ _GAP_CHARS = " \t\n\x0b\f\r"
 ARROW_ROWS = "512"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def settled(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, unless the session's owner chose a size."""
+    """A session ready for these operators: the package is with the workers, and Arrow
+    batches are small unless the session's owner chose a size."""
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not spark.sparkContext.getConf().contains(key):
         spark.conf.set(key, ARROW_ROWS)
