@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brisa.llm import langid, mixing, shards, tokens, warc, winnow
+from brisa.llm import langid, mixing, quality, shards, tokens, warc, winnow
 from brisa.llm.text import n_bytes, settled, word_count
 from brisa.queries.registry import query
 from brisa.session import scratch_path
@@ -110,3 +110,11 @@ def op3_fingerprints(spark, sf_dir):
 def op6_language_id(spark, sf_dir):
     docs = _read(spark, sf_dir).select("doc_id", "text", "lang")
     return langid.identify_held_out(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op1_quality_rules")
+def op1_quality_rules(spark, sf_dir):
+    table, _ = quality.judged(_read(spark, sf_dir), keep=["doc_id"])
+    return table.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
