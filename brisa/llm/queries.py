@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brisa.llm import langid, mixing, quality, shards, tokens, warc, winnow
+from brisa.llm import langid, mixing, quality, shards, simhash, tokens, warc, winnow
 from brisa.llm.text import n_bytes, settled, word_count
 from brisa.queries.registry import query
 from brisa.session import scratch_path
@@ -118,3 +118,9 @@ def op1_quality_rules(spark, sf_dir):
     return table.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op2_simhash")
+def op2_simhash(spark, sf_dir):
+    found = simhash.groups(_read(spark, sf_dir))
+    return found.select("doc_id", simhash.hexed().alias("fingerprint"), "component_id")

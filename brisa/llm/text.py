@@ -16,8 +16,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 _GAP_CHARS = " \t\n\x0b\f\r"
 
-#: Rows of one Arrow batch: whole texts travel in it, so it stays small.
-ARROW_ROWS = "512"
+#: Arrow batches carry whole texts, so their bytes are bounded as well as their rows.
+ARROW = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "8192",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
 
 
 _shipped: set[str] = set()
@@ -40,9 +43,9 @@ def settled(spark: SparkSession) -> SparkSession:
     """A session ready for these operators: the package is with the workers, and Arrow
     batches are small unless the session's owner chose a size."""
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not spark.sparkContext.getConf().contains(key):
-        spark.conf.set(key, ARROW_ROWS)
+    for key, value in ARROW.items():
+        if not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
