@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brisa.llm import langid, mixing, quality, shards, simhash, tokens, warc, winnow
+from brisa.llm import bpe, langid, mixing, quality, shards, simhash, tokens, warc, winnow
 from brisa.llm.text import n_bytes, settled, word_count
 from brisa.queries.registry import query
 from brisa.session import scratch_path
@@ -124,3 +124,9 @@ def op1_quality_rules(spark, sf_dir):
 def op2_simhash(spark, sf_dir):
     found = simhash.groups(_read(spark, sf_dir))
     return found.select("doc_id", simhash.hexed().alias("fingerprint"), "component_id")
+
+
+@query("op10_bpe")
+def op10_bpe(spark, sf_dir):
+    ranks = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.round_trip(_read(spark, sf_dir), ranks, public_tokenizers.PATTERN)
