@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brisa.llm import bpe, langid, mixing, quality, shards, simhash, tokens, warc, winnow
+from brisa.llm import bpe, langid, mixing, quality, shards, simhash, suffixes, tokens, warc, winnow
 from brisa.llm.text import n_bytes, settled, word_count
 from brisa.queries.registry import query
 from brisa.session import scratch_path
@@ -130,3 +130,42 @@ def op2_simhash(spark, sf_dir):
 def op10_bpe(spark, sf_dir):
     ranks = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.round_trip(_read(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+_OP4_SQL = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+s AS (
+    SELECT doc_id, unnest(range(octet_length(b) - 199)) AS i, b FROM d WHERE octet_length(b) >= 200),
+h AS (SELECT doc_id, i, md5(b[i + 1 : i + 200]) AS h FROM s),
+-- Starts of strings that begin elsewhere too, and the runs that they cover.
+r AS (SELECT doc_id, i FROM h QUALIFY count(*) OVER (PARTITION BY h) > 1),
+g AS (
+    SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+    FROM (SELECT doc_id, i,
+            CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM r)),
+c AS (SELECT doc_id, run, min(i) AS lo, max(i) + 200 AS hi FROM g GROUP BY ALL),
+-- What stays: before the first run, between runs, after the last.
+k AS (
+    SELECT doc_id, lo, coalesce(lag(hi) OVER w, 0) AS before, hi, lead(lo) OVER w IS NULL AS last
+    FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY lo)),
+p AS (
+    SELECT doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans,
+        string_agg(hex(b[before + 1 : lo]) || CASE WHEN last THEN hex(b[hi + 1 :]) ELSE '' END, '' ORDER BY lo) AS kept
+    FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+    coalesce(n_spans, 0) AS n_spans, sha256(coalesce(unhex(kept), b)) AS kept_sha256
+FROM d LEFT JOIN p USING (doc_id)
+"""
+
+
+@query("op4_suffix_dedup", _OP4_SQL)
+def op4_suffix_dedup(spark, sf_dir):
+    docs = _read(spark, sf_dir).select("doc_id", "text")
+    found = suffixes.without_repeats(docs)
+    return found.select(
+        "doc_id",
+        (F.octet_length("kept") + F.col("removed_bytes")).cast("long").alias("n_bytes"),
+        F.col("removed_bytes").alias("n_removed"),
+        F.col("removed_spans").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
