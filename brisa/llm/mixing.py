@@ -210,15 +210,17 @@ def mixed_texts(df: DataFrame, **options) -> DataFrame:
         F.min("from_word").alias("low"),
         F.max("to_word").alias("high"),
     )
-    texts = df.withColumn("mark", mark).dropDuplicates(["doc_id", "mark", "source"])
+    spans = spans.select(*[F.col(c).alias(f"__{c}") for c in ("id", "mark", "from", "size", "low", "high")])
+    texts = df.withColumn("__text_mark", mark).dropDuplicates(["doc_id", "__text_mark", "source"])
     same = [
-        texts.doc_id.eqNullSafe(spans.id),
-        texts.mark.eqNullSafe(spans.mark),
-        texts.source.cast("string").eqNullSafe(spans["from"]),
+        texts.doc_id.eqNullSafe(spans["__id"]),
+        texts["__text_mark"] == spans["__mark"],
+        texts.source.cast("string").eqNullSafe(spans["__from"]),
     ]
-    both = texts.drop("mark").join(spans.drop("mark"), same)
-    some = F.array_join(F.slice(words(F.col("text")), F.col("low") + 1, F.col("high") - F.col("low")), " ")
-    both = both.withColumn("text", F.when(F.col("high") - F.col("low") == F.col("size"), F.col("text")).otherwise(some))
+    both = texts.join(spans, same)
+    taken = F.col("__high") - F.col("__low")
+    some = F.array_join(F.slice(words(F.col("text")), (F.col("__low") + 1).cast("int"), taken.cast("int")), " ")
+    both = both.withColumn("text", F.when(taken == F.col("__size"), F.col("text")).otherwise(some))
     if "n_chars" in df.columns:
         both = both.withColumn("n_chars", F.length("text").cast("long"))
     return both.select(*df.columns)

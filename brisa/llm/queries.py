@@ -169,3 +169,10 @@ def op4_suffix_dedup(spark, sf_dir):
         F.col("removed_spans").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(settled(spark), sf_dir)

@@ -235,13 +235,15 @@ def with_fingerprint(df: DataFrame, text: str = "text", out: str = "fp") -> Data
 
 
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
-    """(key, fp, component_id) of every row: the smallest key of those it reaches.
+    """(key, mark, fp, component, component_id) of every row: ``component_id`` is the
+    smallest key of those it reaches, ``component`` names the group, ``mark`` hashes the text.
 
     Equal fingerprints collapse to one before any comparison, so copies cost nothing
     however many there are. Texts without words have fingerprint 0 and are linked like
     any other. Null keys count only where a group has no other. Repeated rows stay rows.
     """
-    rows = stored(with_fingerprint(df.select(F.col(key).alias(key), F.col(text).alias("__t")), "__t").drop("__t"), "fps")
+    rows = df.select(F.col(key).alias(key), F.xxhash64(text).alias("mark"), F.col(text).alias("__t"))
+    rows = stored(with_fingerprint(rows, "__t").drop("__t"), "fps")
     nodes = rows.groupBy("fp").agg(F.min(key).alias("least"))
     links = near_links(nodes, bits)
     classes = stored(components(links), "classes")
@@ -249,8 +251,19 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = B
     nodes = nodes.select("fp", "least", F.coalesce("component", "fp").alias("component"))
     nodes = stored(nodes, "nodes")
     named = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    nodes = nodes.join(named, "component").select("fp", "component_id")
-    return rows.join(nodes, "fp").select(key, "fp", "component_id")
+    nodes = nodes.join(named, "component").select("fp", "component", "component_id")
+    return rows.join(nodes, "fp").select(key, "mark", "fp", "component", "component_id")
+
+
+def leaders(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
+    """One row of each group of near duplicates: the one with the smallest key (nulls
+    last), of several with that key the one whose text has the smallest hash."""
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("mark").alias("mark"))
+    best = groups(df, key, text, bits).groupBy("component").agg(F.min(place).alias("at")).select("at.key", "at.mark")
+    best = best.withColumnRenamed("mark", "__best")
+    marked = df.withColumn("__mark", F.xxhash64(text))
+    same = marked[key].eqNullSafe(best.key) & (marked["__mark"] == best["__best"])
+    return marked.join(best, same, "left_semi").dropDuplicates([key, "__mark"]).drop("__mark")
 
 
 def hexed(fp: str = "fp"):
