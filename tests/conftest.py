@@ -16,7 +16,8 @@ AS_OF = "2024-01-01 00:00:00"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = get_session(
         "tests",
         "local[4]",
@@ -24,6 +25,8 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(shared / "scratch"),
+            "spark.sql.warehouse.dir": str(shared / "warehouse"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
