@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa import spec as S
-from brisa.functions.values import coerce_numeric, lost_in_cast
+from brisa.functions.values import coerce_numeric, lost_in_cast, nan_as_null
 
 
 @dataclass(frozen=True)
@@ -75,12 +75,16 @@ def not_after(column: str, as_of: str | None) -> Rule:
     return row_rule("not_in_future", column, F.col(column) > F.lit(moment).cast("timestamp_ntz"))
 
 
-def dew_point(flags: bool) -> Rule:
-    """The dew point never exceeds the temperature; filled values do not count."""
-    broken = F.col("TEMP") < F.col("DEWP")
+def not_above(name: str, low: str, high: str, flags: bool) -> Rule:
+    """``low`` never exceeds ``high``; filled values do not count."""
+    broken = F.col(high) < F.col(low)
     if flags:
-        broken = broken & (F.col("TEMP_era_nulo") == 0) & (F.col("DEWP_era_nulo") == 0)
-    return row_rule("dew_point", "TEMP,DEWP", broken)
+        broken = broken & (F.col(f"{high}_era_nulo") == 0) & (F.col(f"{low}_era_nulo") == 0)
+    return row_rule(name, f"{high},{low}", broken)
+
+
+def _ordered(spec: S.ReadingSpec, flags: bool) -> list[Rule]:
+    return [not_above(n, a, b, flags) for n, a, b in spec.ordered if {a, b} <= set(spec.measures)]
 
 
 def min_volume(rows: int = S.MIN_ROWS) -> Rule:
@@ -98,15 +102,14 @@ def varies(column: str) -> Rule:
 
 def raw_contract(spec: S.ReadingSpec = S.READINGS, as_of: str | None = None) -> list[Rule]:
     """What readings must satisfy as they arrive."""
-    physical = [dew_point(False)] if {"TEMP", "DEWP"} <= set(spec.measures) else []
-    sectors = [member("wd", S.SECTORS)] if "wd" in spec.categoricals else []
+    members = [member(c, spec.levels[c]) for c in spec.categoricals if c in spec.levels]
     covered = [c for c in spec.limits if c in S.POLLUTANTS]
     return [
         not_null(spec.time),
         not_null(spec.entity),
-        *sectors,
+        *members,
         *[within(c, *spec.limits[c]) for c in spec.limits],
-        *physical,
+        *_ordered(spec, False),
         not_after(spec.time, as_of),
         min_volume(),
         *[coverage(c) for c in covered],
@@ -120,14 +123,13 @@ def processed_contract(spec: S.ReadingSpec = S.READINGS) -> list[Rule]:
     limits = {**{c: spec.limits[c] for c in spec.measures if c in spec.limits}, **S.CALENDAR_LIMITS}
     if spec.target in spec.limits:
         limits[spec.target] = spec.limits[spec.target]
-    physical = [dew_point(True)] if {"TEMP", "DEWP"} <= set(spec.measures) else []
-    sectors = [member("wd", (*S.SECTORS, S.UNKNOWN))] if "wd" in spec.categoricals else []
+    members = [member(c, (*spec.levels[c], S.UNKNOWN)) for c in spec.categoricals if c in spec.levels]
     return [
         *[not_null(c) for c in (*spec.features, spec.target)],
-        *sectors,
+        *members,
         member(S.SEASON, S.SEASONS),
         *[within(c, low, high) for c, (low, high) in limits.items()],
-        *physical,
+        *_ordered(spec, True),
         varies(spec.target),
     ]
 
@@ -141,10 +143,11 @@ def report(
     """One row per rule (and group): rule, column, scope, violations.
 
     Violations are offending rows; for a batch rule 0 or 1; for a key the rows
-    beyond the first of their key. ``sample_of`` adds the smallest value of that
+    beyond the first of their key. NaN counts as null. ``sample_of`` adds the smallest value of that
     column among the offending rows.
     """
     by = list(by)
+    df = nan_as_null(df)
     one_pass = [r for r in rules if r.scope != "key"]
     parts = []
     if one_pass:
@@ -218,6 +221,7 @@ def broken_rules(df: DataFrame, rules: list[Rule], lazy: bool = True) -> list[di
         broken = report(df, rules).filter(F.col("violations") > 0)
         return [r.asDict() for r in broken.collect()]
     rows = [r for r in rules if r.scope == "row"]
+    df = nan_as_null(df)
     if rows:
         name = F.coalesce(
             *[F.when(r.condition, F.lit(i)) for i, r in enumerate(rows)]

@@ -7,9 +7,11 @@ and a row may belong to both (comparing a partition with itself).
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,8 @@ from brisa import spec as S
 from brisa.functions.values import known, to_number
 from brisa.operators.partitions import in_range, resolve
 from brisa.operators.ranks import bucket_starts, fit_splitters, long_values
-from brisa.operators.sizes import direct_limit
+from brisa.operators.sizes import direct_limit, join_checked
+from brisa.session import scratch_path
 
 REF, PROD = "in_ref", "in_prod"
 NO_DRIFT, DRIFT, ERROR = "NO_DRIFT", "DRIFT", "ERROR"
@@ -62,11 +65,18 @@ def ks(
     numbers = samples.select(
         REF, PROD, *[to_number(F.col(c)).alias(c) if c in text else F.col(c) for c in columns]
     )
-    rows = numbers.count()
+    # The only pass over the rows; ties share a row from here on. Written, because
+    # several steps read it.
+    path = scratch_path(samples.sparkSession, "ks-counts")
+    counted = long_values(numbers, columns, keep=[REF, PROD]).drop("bucket")
+    counted = counted.groupBy("column", "value").agg(*_counts())
+    counted.write.partitionBy("column").parquet(path)
+    counted = samples.sparkSession.read.schema(counted.schema).parquet(path)
+    rows = counted.count()
     if rows <= direct_limit(numbers):
-        found = _ks_direct(numbers, columns)
+        found = _ks_direct(counted)
     else:
-        found = _ks_bucketed(numbers, columns, rows)
+        found = _ks_bucketed(counted, columns, rows)
     listed = samples.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
     found = listed.join(found, "column", "left")
     enough = (F.coalesce("n_ref", F.lit(0)) >= 2) & (F.coalesce("n_prod", F.lit(0)) >= 2)
@@ -99,11 +109,8 @@ def _gap(a: Column, b: Column) -> Column:
     )
 
 
-def _ks_direct(samples: DataFrame, columns: list[str]) -> DataFrame:
-    """One window per column; only for a checked number of rows."""
-    counted = (
-        long_values(samples, columns, keep=[REF, PROD]).groupBy("column", "value").agg(*_counts())
-    )
+def _ks_direct(counted: DataFrame) -> DataFrame:
+    """One window per column; only for a checked number of counted values."""
     whole = Window.partitionBy("column")
     upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = counted.select(
@@ -120,17 +127,23 @@ def _ks_direct(samples: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _ks_bucketed(samples: DataFrame, columns: list[str], rows: int) -> DataFrame:
-    """Exact KS that shuffles values only where the maximum can lie.
+def _ks_bucketed(counted: DataFrame, columns: list[str], rows: int) -> DataFrame:
+    """Exact KS over counted values that orders them only where the maximum can lie.
 
-    Counts per bucket give both distribution functions at every bucket edge. The
+    Totals per bucket give both distribution functions at every bucket edge. The
     largest gap at an edge is a lower bound of the statistic. Inside a bucket the
     gap cannot exceed what one function gains while the other stands still, so
-    buckets whose bound does not beat the edges are settled without looking at
-    their values.
+    buckets whose bound does not beat the edges need no look at their values.
     """
-    values = long_values(samples, columns, fit_splitters(samples, columns, rows), keep=[REF, PROD])
-    per_bucket = values.groupBy("column", "bucket").agg(*_counts())
+    parts = []
+    for c in columns:
+        own = counted.filter(F.col("column") == c)  # a folder of its own
+        edges = fit_splitters(own, ["value"], rows)["value"]
+        inf = float("inf")
+        cut = Bucketizer(splits=[-inf, *(edges or [0.0]), inf], inputCol="value", outputCol="bucket")
+        parts.append(cut.transform(own).withColumn("bucket", F.col("bucket").cast("int")))
+    values = reduce(DataFrame.unionByName, parts)
+    per_bucket = values.groupBy("column", "bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     a0, b0 = F.col("a_before"), F.col("b_before")
     a1, b1 = a0 + F.col("a"), b0 + F.col("b")
     whole = Window.partitionBy("column")
@@ -144,22 +157,17 @@ def _ks_bucketed(samples: DataFrame, columns: list[str], rows: int) -> DataFrame
         F.max("b_total").alias("n_prod"),
         F.max("edge").alias("edge"),
     )
-    # At most one row per column and bucket: both numbers are fixed up front.
     open_buckets = edges.filter(F.col("bound") > F.col("edge")).select(
         "column", "bucket", "a_before", "b_before", "a_total", "b_total"
     )
-    counted = (
-        values.join(F.broadcast(open_buckets), ["column", "bucket"])
-        .groupBy("column", "bucket", "value", "a_before", "b_before", "a_total", "b_total")
-        .agg(*_counts())
-    )
     upto = (
         Window.partitionBy("column", "bucket")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     inside = (
-        counted.withColumns(
+        join_checked(values, open_buckets, ["column", "bucket"])
+        .withColumns(
             {
                 "a_upto": F.col("a_before") + F.sum("a").over(upto),
                 "b_upto": F.col("b_before") + F.sum("b").over(upto),
@@ -250,14 +258,23 @@ def chi2(
     )
 
 
+#: Degrees of freedom up to which the tail is summed.
+MAX_TERMS = 10_000
+
+
 def chi2_tail(x: float, dof: int) -> float:
     """Upper tail of the chi-square distribution for whole degrees of freedom.
 
     A finite sum, taken in logarithms: for even dof the Poisson sum below dof/2,
-    for odd dof the complementary error function plus half-integer terms.
+    for odd dof the complementary error function plus half-integer terms. Beyond
+    ``MAX_TERMS`` degrees of freedom it is Wilson and Hilferty's normal form, which
+    differs by less than 1e-6 there.
     """
     if not x > 0 or dof < 1:
         return 1.0
+    if dof > MAX_TERMS:
+        cube, spread = (x / dof) ** (1 / 3), 2 / (9 * dof)
+        return 0.5 * math.erfc((cube - 1 + spread) / math.sqrt(2 * spread))
     h = x / 2.0
     odd = dof % 2 == 1
     orders = np.arange(0.5 if odd else 0.0, dof / 2.0)

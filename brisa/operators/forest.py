@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisa import spec as S
-from brisa.operators.metrics import PREDICTION, global_metrics
-from brisa.operators.prepare import Fill, fit_medians, fit_most_frequent
+from brisa.operators.metrics import PREDICTION, entity_metrics, global_metrics, worst_entity
+from brisa.operators.prepare import Fill, fit_medians, fit_most_frequent, sample_rows
 
 # --- fixed values -----------------------------------------------------------
 FOREST_DEFAULTS = {"numTrees": 300, "minInstancesPerNode": 3, "maxDepth": 15}
@@ -34,6 +34,11 @@ TRIALS = 20
 # ----------------------------------------------------------------------------
 
 
+FEATURES = "features"
+#: Most levels of a categorical that is one-hot encoded.
+MAX_LEVELS = 10_000
+
+
 @dataclass(frozen=True)
 class Baseline:
     """Predicts the mean target of its training rows."""
@@ -67,6 +72,10 @@ class Imputed:
         scored = self.pipeline.transform(self.prepare(df))
         return scored.select(*df.columns, PREDICTION)
 
+    def encode(self, df: DataFrame) -> DataFrame:
+        """Rows with their feature vector."""
+        return self.pipeline.transform(self.prepare(df)).select(*df.columns, FEATURES)
+
     def save(self, path: str) -> None:
         """Pipeline and fills under one path."""
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
@@ -115,27 +124,60 @@ def encoder_stages(categoricals: list[str]) -> list:
     ]
 
 
-def fit_forest(
-    train: DataFrame, spec: S.ReadingSpec = S.READINGS, seed: int = S.SEED, **overrides
-) -> Imputed:
-    """Fit fills, encoding and forest on the training rows; overrides win."""
+def fit_encoder(train: DataFrame, spec: S.ReadingSpec = S.READINGS) -> Imputed:
+    """Fills, one-hot encoding and feature vector learned from the training rows.
+
+    Its ``transform`` gives the vector in ``features``; every level of a categorical is
+    a slot, so more than ``MAX_LEVELS`` of them are an error.
+    """
     numeric = fit_medians(train, spec.numeric_features)
     categorical = fit_most_frequent(train, spec.categorical_features)
+    counts = train.agg(*[F.count_distinct(c).alias(c) for c in spec.categorical_features]).first()
+    if large := {c: n for c, n in counts.asDict().items() if n > MAX_LEVELS}:
+        raise ValueError(f"too many levels for one-hot encoding: {large}")
     texts = [f"__c_{c}" for c in spec.categorical_features]
-    settings = {**FOREST_DEFAULTS, "featureSubsetStrategy": "all", "subsamplingRate": 1.0, **overrides}
-    if "featureShare" in settings:
-        settings["featureSubsetStrategy"] = str(settings.pop("featureShare"))
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=spec.target, predictionCol=PREDICTION, seed=seed, maxBins=64, **settings
-    )
     assembler = VectorAssembler(
         inputCols=[*[f"{c}__v" for c in texts], *[f"__n_{c}" for c in spec.numeric_features]],
-        outputCol="features",
+        outputCol=FEATURES,
     )
     unfitted = Imputed(numeric, categorical, None, tuple(spec.numeric_features))
-    pipeline = Pipeline(stages=[*encoder_stages(texts), assembler, forest])
-    prepared = unfitted.prepare(train).withColumn(spec.target, F.col(spec.target).cast("double"))
-    return Imputed(numeric, categorical, pipeline.fit(prepared), tuple(spec.numeric_features))
+    pipeline = Pipeline(stages=[*encoder_stages(texts), assembler]).fit(unfitted.prepare(train))
+    return Imputed(numeric, categorical, pipeline, tuple(spec.numeric_features))
+
+
+def _forest(spec: S.ReadingSpec, seed: int, overrides: dict) -> RandomForestRegressor:
+    settings = {**FOREST_DEFAULTS, "featureSubsetStrategy": "all", "subsamplingRate": 1.0, **overrides}
+    if "featureShare" in settings:
+        settings["featureSubsetStrategy"] = str(settings.pop("featureShare"))
+    return RandomForestRegressor(
+        featuresCol=FEATURES, labelCol=spec.target, predictionCol=PREDICTION, seed=seed, maxBins=64, **settings
+    )
+
+
+def _labelled(train: DataFrame, spec: S.ReadingSpec, rows: int | None, key) -> DataFrame:
+    """Training rows with a double target; exactly ``rows`` of them if a bound is given."""
+    train = train if rows is None else sample_rows(train, rows, key or spec.key)
+    return train.withColumn(spec.target, F.col(spec.target).cast("double"))
+
+
+def fit_forest(
+    train: DataFrame,
+    spec: S.ReadingSpec = S.READINGS,
+    seed: int = S.SEED,
+    *,
+    rows: int | None = None,
+    key: str | None = None,
+    **overrides,
+) -> Imputed:
+    """Fit fills, encoding and forest on the training rows; overrides win.
+
+    ``rows`` bounds the labelled rows that are learned from: that many are drawn by a
+    hash of ``key`` (default: the key of the spec). All by default.
+    """
+    train = _labelled(train, spec, rows, key)
+    encoder = fit_encoder(train, spec)
+    forest = _forest(spec, seed, overrides).fit(encoder.encode(train))
+    return replace(encoder, pipeline=PipelineModel([*encoder.pipeline.stages, forest]))
 
 
 def draw_trials(n: int, seed: int = S.SEED, space: dict = SEARCH_SPACE) -> list[dict]:
@@ -160,35 +202,49 @@ def tune_forest(
     seed: int = S.SEED,
     space: dict = SEARCH_SPACE,
     parallel: int = 2,
+    *,
+    rows: int | None = None,
+    key: str | None = None,
 ) -> DataFrame:
-    """One row per trial with its parameters and its error on the later rows.
+    """One row per trial with its parameters and its error on the later rows, the worst
+    entity's too.
 
-    Trials are whole Spark jobs; a few are kept in flight at a time. ``valid`` is
-    the judge; the test partition plays no part.
+    Fills and encoding are fitted once and both tables' vectors kept for all trials; a
+    trial only grows its forest. Trials are whole Spark jobs; a few are kept in flight
+    at a time. ``valid`` is the judge; the test partition plays no part. ``rows`` and
+    ``key`` bound the labelled rows as in ``fit_forest``.
     """
-    train = train.persist()
+    train = _labelled(train, spec, rows, key)
+    encoder = fit_encoder(train, spec)
+    seen = encoder.encode(train).select(FEATURES, spec.target).persist()
+    later = encoder.encode(valid).select(FEATURES, spec.entity, F.col(spec.target).cast("double")).persist()
     proposals = draw_trials(trials, seed, space)
 
     def run(i: int) -> tuple:
-        model = fit_forest(train, spec, seed, **proposals[i])
-        row = global_metrics(model.transform(valid), target=spec.target).first()
-        return (i, *[proposals[i][p] for p in space], row["mae"], row["rmse"], row["r2"])
+        scored = _forest(spec, seed, proposals[i]).fit(seen).transform(later)
+        row = global_metrics(scored, target=spec.target).first()
+        worst = worst_entity(entity_metrics(scored, spec), spec).first()["mae"]
+        return (i, *[proposals[i][p] for p in space], row["n"], row["mae"], row["rmse"], row["r2"], worst)
 
     try:
         with ThreadPoolExecutor(parallel) as pool:
-            rows = list(pool.map(run, range(trials)))
+            found = list(pool.map(run, range(trials)))
     finally:
-        train.unpersist()
+        seen.unpersist()
+        later.unpersist()
     kinds = {int: "bigint", float: "double"}
-    schema = ", ".join(
-        ["trial bigint", *[f"{p} {kinds[k]}" for p, (k, _, _) in space.items()], "mae double", "rmse double", "r2 double"]
-    )
-    return train.sparkSession.createDataFrame(rows, schema)
+    measures = ["n bigint", *[f"{m} double" for m in TRIAL_MEASURES]]
+    schema = ", ".join(["trial bigint", *[f"{p} {kinds[k]}" for p, (k, _, _) in space.items()], *measures])
+    return train.sparkSession.createDataFrame(found, schema)
+
+
+#: Errors of a trial.
+TRIAL_MEASURES = ("mae", "rmse", "r2", "worst_entity_mae")
 
 
 def best_trial(trials: DataFrame) -> dict:
     best = trials.orderBy("mae", "trial").first().asDict()
-    return {k: v for k, v in best.items() if k not in ("trial", "mae", "rmse", "r2")}
+    return {k: v for k, v in best.items() if k not in ("trial", "n", *TRIAL_MEASURES)}
 
 
 def predict_with(

@@ -45,21 +45,22 @@ def worst_entity(per_entity: DataFrame, spec: S.ReadingSpec = S.READINGS, by: li
     )
 
 
-def as_maps(
-    long: DataFrame, key: str, value: str, by: list[str] = (), rows_per_map: int = 10_000
-) -> DataFrame:
-    """Key-to-value maps, in key order.
+#: Most entries of one map: a map is a single value that one task builds.
+MAX_MAP = 100_000
+
+
+def as_maps(long: DataFrame, key: str, value: str, by: list[str] = ()) -> DataFrame:
+    """One key-to-value map per group, in key order: by..., values.
 
-    Keys are spread over as many maps as keep each one to about ``rows_per_map``
-    entries: one map for a dozen entities, many for millions of them.
+    Meant for entities of a known number; a group with more than ``MAX_MAP`` keys is
+    an error (keep such rows long).
     """
-    parts = max(1, -(-long.count() // rows_per_map))
-    part = F.pmod(F.hash(F.col(key)), F.lit(parts))
     entries = F.array_sort(F.collect_list(F.struct(F.col(key), F.col(value))))
-    return (
-        long.groupBy(*by, part.alias("part"))
-        .agg(F.map_from_entries(entries).alias("values"))
-    )
+    large = F.raise_error(F.lit(f"more than {MAX_MAP} keys in a map"))
+    checked = long.groupBy(*by).agg(entries.alias("e"))
+    kind = dict(checked.dtypes)["e"]
+    sound = F.when(F.size("e") <= MAX_MAP, F.col("e")).otherwise(large.cast(kind))
+    return checked.select(*by, F.map_from_entries(sound).alias("values"))
 
 
 def subgroup_metrics(

@@ -10,28 +10,39 @@ from pyspark.sql import functions as F
 from brisa import spec as S
 
 
-def _bounds(r: S.DateRange) -> tuple[dt.datetime, dt.datetime]:
-    first = dt.datetime.fromisoformat(r.first)
-    return first, dt.datetime.fromisoformat(r.last) + dt.timedelta(days=1)
+#: Column that a loaded snapshot has for its month folders ("yyyy-MM"). Slices prune by
+#: it and drop it.
+MONTH_FOLDER = "part_month"
+
+
+def _covered(df: DataFrame, ranges: tuple[S.TimeSpan, ...], time: str) -> DataFrame:
+    """Rows inside any of the ranges; in a snapshot only from the folders in question."""
+    hit = folders = F.lit(False)
+    for r in ranges:
+        hit = hit | in_range(r, time)
+        last = r.end - dt.timedelta(microseconds=1)
+        folders = folders | F.col(MONTH_FOLDER).between(f"{r.start:%Y-%m}", f"{last:%Y-%m}")
+    if MONTH_FOLDER in df.columns:
+        df = df.filter(folders).drop(MONTH_FOLDER)
+    return df.filter(hit)
 
 
 def _ntz(moment: dt.datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def in_range(r: S.DateRange, time: str = S.TIME) -> Column:
+def in_range(r: S.TimeSpan, time: str = S.TIME) -> Column:
     """Half-open literal predicate, so it reaches the file scan."""
-    first, end = _bounds(r)
-    return (F.col(time) >= _ntz(first)) & (F.col(time) < _ntz(end))
+    return (F.col(time) >= _ntz(r.start)) & (F.col(time) < _ntz(r.end))
 
 
-def slice_range(df: DataFrame, r: S.DateRange, time: str = S.TIME) -> DataFrame:
-    return df.filter(in_range(r, time))
+def slice_range(df: DataFrame, r: S.TimeSpan, time: str = S.TIME) -> DataFrame:
+    return _covered(df, (r,), time)
 
 
 def label_rows(
     df: DataFrame,
-    ranges: tuple[S.DateRange, ...] = S.RANGES,
+    ranges: tuple[S.TimeSpan, ...] = S.RANGES,
     time: str = S.TIME,
     name: str = "particion",
 ) -> DataFrame:
@@ -43,13 +54,10 @@ def label_rows(
     chain = F
     for r in ranges:
         chain = chain.when(in_range(r, time), F.lit(r.label))
-    covered = None
-    for r in ranges:
-        covered = in_range(r, time) if covered is None else covered | in_range(r, time)
-    return df.filter(covered).withColumn(name, chain)
+    return _covered(df, ranges, time).withColumn(name, chain)
 
 
-def resolve(label: str, ranges: tuple[S.DateRange, ...] = S.RANGES) -> tuple[S.DateRange, ...]:
+def resolve(label: str, ranges: tuple[S.TimeSpan, ...] = S.RANGES) -> tuple[S.TimeSpan, ...]:
     """All ranges declared under a label."""
     found = tuple(r for r in ranges if r.label == label)
     if not found:
@@ -58,10 +66,7 @@ def resolve(label: str, ranges: tuple[S.DateRange, ...] = S.RANGES) -> tuple[S.D
 
 
 def slice_label(
-    df: DataFrame, label: str, ranges: tuple[S.DateRange, ...] = S.RANGES, time: str = S.TIME
+    df: DataFrame, label: str, ranges: tuple[S.TimeSpan, ...] = S.RANGES, time: str = S.TIME
 ) -> DataFrame:
     """Rows of every range under a label, in one scan."""
-    covered = None
-    for r in resolve(label, ranges):
-        covered = in_range(r, time) if covered is None else covered | in_range(r, time)
-    return df.filter(covered)
+    return _covered(df, resolve(label, ranges), time)

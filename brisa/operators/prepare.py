@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa import spec as S
-from brisa.functions.values import known, sample_hash
+from brisa.functions.values import known, nan_as_null, sample_hash
 from brisa.operators.contract import enforce, enforce_by, processed_contract, raw_contract
 from brisa.operators.features import build_features
 from brisa.operators.partitions import label_rows, resolve, slice_label
@@ -63,6 +64,7 @@ def clean(df: DataFrame, spec: S.ReadingSpec = S.READINGS) -> DataFrame:
     which were missing; categoricals get a level of their own. The target is
     never filled. Columns the table lacks are skipped.
     """
+    df = nan_as_null(df, (*spec.measures, spec.target))
     kept = df.filter(F.col(spec.target).isNotNull())
     numerics = [c for c in spec.measures if c in df.columns]
     categoricals = [c for c in spec.categoricals if c in df.columns]
@@ -75,6 +77,7 @@ def clean(df: DataFrame, spec: S.ReadingSpec = S.READINGS) -> DataFrame:
 
 def clean_by(df: DataFrame, by: str, spec: S.ReadingSpec = S.READINGS) -> DataFrame:
     """``clean`` with medians per group: one job for all groups together."""
+    df = nan_as_null(df, (*spec.measures, spec.target))
     kept = df.filter(F.col(spec.target).isNotNull())
     numerics = [c for c in spec.measures if c in df.columns]
     categoricals = [c for c in spec.categoricals if c in df.columns]
@@ -99,13 +102,14 @@ def clean_by(df: DataFrame, by: str, spec: S.ReadingSpec = S.READINGS) -> DataFr
     )
 
 
-def sample_rows(df: DataFrame, n: int, key: str, seed: int = S.SEED) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int = S.SEED) -> DataFrame:
     """Exactly ``n`` rows, always the same ones for a seed; all when there are fewer.
 
-    These are the rows with the smallest salted key hashes. The hash bound is
-    found by rank, so no task gathers ``n`` rows.
+    These are the rows with the smallest salted hashes of the whole key. The hash
+    bound is found by rank, so no task gathers ``n`` rows. A key that does not
+    identify the rows at the bound is an error.
     """
-    digest = sample_hash(F.col(key), seed)
+    digest = sample_hash([F.col(k) for k in ([key] if isinstance(key, str) else key)], seed)
     hashed = df.withColumns(
         {
             "__h1": F.conv(F.substring(digest, 1, 12), 16, 10).cast("double"),
@@ -130,7 +134,7 @@ def prepare_partition(
     spec: S.ReadingSpec = S.READINGS,
     *,
     rows: int | None = None,
-    key: str | None = None,
+    key: str | Sequence[str] | None = None,
     validate: bool = True,
     as_of: str | None = None,
 ) -> DataFrame:
@@ -143,7 +147,7 @@ def prepare_partition(
         enforce(part, raw_contract(spec, as_of=as_of))
     part = clean(part, spec)
     if rows is not None:
-        part = sample_rows(part, rows, key or spec.time)
+        part = sample_rows(part, rows, key or spec.key)
     part = build_features(part, spec)
     if validate:
         enforce(part, processed_contract(spec))
@@ -176,10 +180,10 @@ def prepare_labelled(
     return rows
 
 
-def _require_disjoint(ranges: tuple[S.DateRange, ...]) -> None:
-    ordered = sorted(ranges, key=lambda r: r.first)
+def _require_disjoint(ranges: tuple[S.TimeSpan, ...]) -> None:
+    ordered = sorted(ranges, key=lambda r: r.start)
     for a, b in zip(ordered, ordered[1:]):
-        if b.first <= a.last:
+        if b.start < a.end:
             raise ValueError(f"partitions {a.label} and {b.label} overlap; prepare them one by one")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brisa import spec as S
 from brisa.functions import calendar as C
 from brisa.functions.errors import relative_change
+from brisa.functions.values import nan_as_null
 from brisa.operators.ranks import exact_quantiles
 from brisa.operators.sizes import join_null_safe
 
@@ -34,8 +35,9 @@ def _cells(columns: list[str], **values) -> Column:
 
 
 def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Null count and percentage of the columns that have any, most first."""
+    """Null (or NaN) count and percentage of the columns that have any, most first."""
     columns = columns or df.columns
+    df = nan_as_null(df, columns)
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)],
@@ -54,7 +56,8 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def null_share(df: DataFrame, by: Column, name: str, columns: list[str]) -> DataFrame:
-    """Null percentage of every column per group, one row per group and column."""
+    """Null (or NaN) percentage of every column per group, one row per group and column."""
+    df = nan_as_null(df, columns)
     grouped = df.groupBy(by.alias(name)).agg(
         *[(F.avg(F.col(c).isNull().cast("double")) * 100).alias(f"p{i}") for i, c in enumerate(columns)]
     )

@@ -16,12 +16,15 @@ large inputs:
 
 A bucket holds about rows/buckets rows of the whole table apart from ties, and
 ties share one row after counting. So no (group, bucket) is larger than that,
-however skewed the groups are.
+however skewed the groups are. There are at most ``MAX_BUCKETS`` buckets: up to
+2.6e11 rows a bucket keeps to ``ROWS_PER_BUCKET``, beyond that it grows in proportion.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,7 +75,8 @@ def long_values(
     keep: list[str] = (),
 ) -> DataFrame:
     """One row per non-null value: keep..., column, bucket, value."""
-    numbers = {f"__v{i}": F.nanvl(F.col(c).cast("double"), F.lit(None)) for i, c in enumerate(columns)}
+    # Adding 0 makes -0.0 the 0.0 that it equals.
+    numbers = {f"__v{i}": F.nanvl(F.col(c).cast("double"), F.lit(None)) + F.lit(0.0) for i, c in enumerate(columns)}
     wide = df.select(*keep, *[v.alias(n) for n, v in numbers.items()])
     if edges is None:
         bucket = [F.lit(0) for _ in columns]
@@ -161,8 +165,10 @@ def exact_quantiles(
     parts = []
     for i, p in enumerate(probs):
         low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
-        between = F.lit(p) * (F.col("n_total") - 1) - _ranks(p)[0]
-        parts.append(low + between * (high - low))
+        at = F.lit(p) * (F.col("n_total") - 1)
+        # As the built-in aggregate does it: equal ends, infinite ones too, are the result.
+        mean = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+        parts.append(F.when(low == high, low).otherwise(mean))
     return found.select(*group, F.array(*parts).alias("q"))
 
 
@@ -177,11 +183,11 @@ def _holds(rank: Column, first: Column, count: Column) -> Column:
 
 
 def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The first ``n`` rows in the order of numeric or time columns without nulls.
+    """The first ``n`` rows in the order of columns without nulls.
 
-    ``order`` must identify a row; rows that tie on all of it are taken or left
-    together. The cut is found by rank and applied as a literal filter, so the
-    rows themselves are neither sorted nor moved.
+    ``order`` must identify a row: a cut inside rows that tie on all of it is an
+    error. The cut is found by rank and applied as a literal filter, so the rows
+    themselves are neither sorted nor moved.
     """
     return df.filter(rows_before_cut(df, n, order))
 
@@ -198,39 +204,56 @@ def rows_before_cut(
     scope, rows, rank = df, total, n - 1
     before, tied = F.lit(False), F.lit(True)
     for c in order:
-        position, literal = _position(df, c)
-        value, below, ties = _value_at(scope.select(position.alias("value")), rows, rank)
-        before = before | (tied & (literal(F.col(c)) < literal(value)))
-        tied = tied & (literal(F.col(c)) == literal(value))
-        rank, rows = rank - below, ties
-        if rank == ties - 1:  # the cut falls behind the last of the tied rows
-            return before | tied
-        scope = scope.filter(literal(F.col(c)) == literal(value))
-    return before | tied
-
-
-def _position(df: DataFrame, c: str):
-    """Number in the order of the column, and how to compare with such a number.
-
-    Time columns are compared as they are, so that the cut reaches the scan.
-    Whole numbers are exact up to 2**53.
+        for position, compared, literal in _positions(scope, c):
+            value, below, ties = _value_at(scope.select(position.alias("value")), rows, rank)
+            before = before | (tied & (compared < literal(value)))
+            tied = tied & (compared == literal(value))
+            rank, rows = rank - below, ties
+            if rank == ties - 1:  # the cut falls behind the last of the tied rows
+                return before | tied
+            scope = scope.filter(compared == literal(value))
+    raise ValueError(f"{order} does not identify rows: {rows} rows tie at the cut")
+
+
+#: Bytes of a text that one number holds exactly.
+_TEXT_STEP = 6
+
+
+def _positions(scope: DataFrame, c: str):
+    """Numbers that order a column: (number, what is compared, literal of a number).
+
+    Time columns are compared as they are, so that the cut reaches the scan. Whole
+    numbers are exact up to 2**53. A text is ranked by its UTF-8 bytes, a few at a
+    time; the later ones matter only among rows that tie on the earlier.
     """
-    kind = dict(df.dtypes)[c]
+    kind = dict(scope.dtypes)[c]
     if kind == "string":
-        raise TypeError(f"order column {c!r} is text; rank its hash or code instead")
-    if not kind.startswith("timestamp"):
+        data = F.col(c).cast("binary")
+        longest = scope.agg(F.max(F.octet_length(c)).alias("n")).first()["n"] or 0
+        for at in range(1, longest + 1, _TEXT_STEP):
+            digits = F.rpad(F.hex(F.substring(data, at, _TEXT_STEP)), 2 * _TEXT_STEP, "0")
+            number = F.conv(digits, 16, 10).cast("double")
+            yield number, number, lambda x: F.lit(float(x))
+    elif kind == "timestamp_ntz":  # without a detour over the session's time zone
+        yield _micros(F.col(c)), F.col(c), _moment
+    elif kind == "timestamp":
+        number = F.unix_micros(F.col(c)).cast("double")
+        yield number, F.col(c), lambda x: F.timestamp_micros(F.lit(int(x)))
+    else:
+        number = F.col(c).cast("double")
+        yield number, number, lambda x: F.lit(float(x))
 
-        def plain(x):
-            return x.cast("double") if isinstance(x, Column) else F.lit(float(x))
 
-        return F.col(c).cast("double"), plain
+def _micros(t: Column) -> Column:
+    """Microseconds since 1970 of a timestamp without zone."""
+    seconds = F.unix_date(t.cast("date")).cast("bigint") * 86_400 + F.hour(t) * 3_600 + F.minute(t) * 60
+    second = F.extract(F.lit("SECOND"), t) * 1_000_000
+    return (seconds * 1_000_000 + second.cast("bigint")).cast("double")
 
-    def moment(x):
-        if isinstance(x, Column):
-            return x
-        return F.timestamp_micros(F.lit(int(x))).cast(kind)
 
-    return F.unix_micros(F.col(c).cast("timestamp")).cast("double"), moment
+def _moment(micros: float) -> Column:
+    moment = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(micros))
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _value_at(values: DataFrame, rows: int, rank: int) -> tuple[float, int, int]:

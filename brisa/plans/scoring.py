@@ -13,7 +13,7 @@ from brisa.operators.forest import Imputed
 from brisa.operators.prepare import prepare_partition
 from brisa.operators.profile import prediction_summary
 from brisa.sources.ledger import Ledger
-from brisa.sources.sinks import audit_rows, read_predictions, write_predictions
+from brisa.sources.sinks import Trace, audit_rows, read_predictions, write_predictions
 
 
 def new_batch_id(label: str) -> str:
@@ -44,16 +44,8 @@ def batch_score(
     version = ledger.version_of(model, alias)
     uri = ledger.uri_of(model, version)
     batch_id = batch_id or new_batch_id(label)
-    rows = audit_rows(
-        load(uri).transform(prepared),
-        batch_id=batch_id,
-        label=label,
-        model_name=model,
-        model_version=version,
-        model_alias=alias,
-        model_uri=uri,
-        moment=moment or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-    )
-    write_predictions(rows, path)
-    stored = read_predictions(readings.sparkSession, path, batch_id)
-    return batch_id, prediction_summary(stored)
+    moment = moment or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    trace = Trace(batch_id, label, model, version, alias, uri, moment)
+    write_predictions(audit_rows(load(uri).transform(prepared), trace, spec), path)
+    stored = read_predictions(readings.sparkSession, path, batch_id, spec)
+    return batch_id, prediction_summary(stored, f"prediccion_{spec.target}")

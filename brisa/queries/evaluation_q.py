@@ -187,10 +187,7 @@ def gate_end_to_end(spark, sf_dir):
     return ledger.events().select("subject", "version", "kind", "key", "value", "ts")
 
 
-_PRINT_SQL = (
-    "SELECT concat_ws('-', CAST(count(*) AS VARCHAR), CAST(coalesce(sum(CAST(concat('0x', substr(md5(concat_ws('|', "
-    "CAST(event_id AS VARCHAR), coalesce(event_type, '~'))), 1, 8)) AS BIGINT)), 0) AS VARCHAR)) AS fingerprint FROM events"
-)
+_PRINT_SQL = f"SELECT {Q.fingerprint_sql('CAST(event_id AS VARCHAR)', 'event_type')} AS fingerprint FROM events"
 
 
 @query(

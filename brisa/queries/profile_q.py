@@ -158,14 +158,12 @@ _ORDER = "d AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{s}')" for i, s in
 @query(
     "sector_counts",
     f"{_WR}, {_ORDER} SELECT CAST(pos AS INT) AS pos, level, n AS result FROM d LEFT JOIN "
-    "(SELECT wd, count(*) AS n FROM r WHERE datetime < TIMESTAMP '2024-01-01 03:00:00' GROUP BY wd) c ON c.wd = d.level ORDER BY pos",
+    "(SELECT wd, count(*) AS n FROM r WHERE wd <> 'ENE' GROUP BY wd) c ON c.wd = d.level ORDER BY pos",
 )
 def sector_counts(spark, sf_dir):
-    """Counts of the first hours, in which some sectors do not occur."""
-    early = Q.readings(spark, sf_dir).filter(
-        F.col("datetime") < F.lit("2024-01-01 03:00:00").cast("timestamp_ntz")
-    )
-    return O.by_level(early, "wd", S.SECTORS)
+    """Counts in angular order; one sector is made to be missing and keeps its place."""
+    some = Q.readings(spark, sf_dir).withColumn("wd", F.nullif("wd", F.lit("ENE")))
+    return O.by_level(some, "wd", S.SECTORS)
 
 
 @query(

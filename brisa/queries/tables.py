@@ -11,19 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from brisa import spec as S
 
 RANGES = (
-    S.DateRange("train", "2024-01-01", "2024-01-15"),
-    S.DateRange("valid", "2024-01-16", "2024-01-20"),
-    S.DateRange("test", "2024-01-21", "2024-01-25"),
-    S.DateRange("produccion", "2024-01-26", "2024-01-31"),
+    S.days("train", "2024-01-01", "2024-01-15"),
+    S.days("valid", "2024-01-16", "2024-01-20"),
+    S.days("test", "2024-01-21", "2024-01-25"),
+    S.days("produccion", "2024-01-26", "2024-01-31"),
 )
 AS_OF = "2024-02-01 00:00:00"
 EVENTS = S.ReadingSpec(ranges=RANGES)
 
 _K = "CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE)"
-_SECTOR = (
-    "trim(substr('N  NNENE ENEE  ESESE SSES  SSWSW WSWW  WNWNW NNW', "
-    "CAST(1 + 3 * (event_id % 16) AS INT), 3))"
-)
+_SECTOR = "CASE event_id % 16 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(S.SECTORS)) + " END"
 
 
 def _gap(every: int, value: str) -> str:
@@ -85,12 +82,14 @@ LINE_SPEC = S.ReadingSpec(
     categoricals=("flag", "l_linestatus"),
     measures=("l_quantity", "l_discount", "l_tax", "price"),
     ranges=(
-        S.DateRange("train", "1995-01-01", "1998-12-31"),
-        S.DateRange("valid", "1999-01-01", "1999-12-31"),
-        S.DateRange("test", "2000-01-01", "2000-12-31"),
-        S.DateRange("produccion", "2001-01-01", "2001-12-31"),
+        S.days("train", "1995-01-01", "1998-12-31"),
+        S.days("valid", "1999-01-01", "1999-12-31"),
+        S.days("test", "2000-01-01", "2000-12-31"),
+        S.days("produccion", "2001-01-01", "2001-12-31"),
     ),
     limits={},
+    levels={"flag": ("A", "N", "R", "X")},
+    ordered=(),
 )
 
 
@@ -127,10 +126,23 @@ B = _cte("b", "events", BROKEN)
 L = _cte("l", "lineitem", LINES)
 
 
-def range_sql(r: S.DateRange, time: str = "datetime") -> str:
+def cell_sql(text: str) -> str:
+    """A value of a row hash: its length, a colon, itself; null is a mark of its own."""
+    return f"coalesce(concat(CAST(length({text}) AS VARCHAR), ':', {text}), '~')"
+
+
+def fingerprint_sql(*texts: str) -> str:
+    """Row count and sum of row hashes as one text."""
+    row = "concat(" + ", ".join(cell_sql(t) for t in texts) + ")"
+    return (
+        "concat_ws('-', CAST(count(*) AS VARCHAR), CAST(coalesce(sum(CAST("
+        f"concat('0x', substr(md5({row}), 1, 15)) AS BIGINT)), 0) AS VARCHAR))"
+    )
+
+
+def range_sql(r: S.TimeSpan, time: str = "datetime") -> str:
     return (
-        f"{time} >= TIMESTAMP '{r.first} 00:00:00' "
-        f"AND {time} < TIMESTAMP '{r.last} 00:00:00' + INTERVAL 1 DAY"
+        f"{time} >= TIMESTAMP '{r.start}' AND {time} < TIMESTAMP '{r.end}'"
     )
 
 

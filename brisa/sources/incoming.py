@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa import spec as S
-from brisa.functions.values import normalize_sector, to_number
+from brisa.functions.values import normalize_level, to_number
 
 MAX_ENTITY_LENGTH = 80
 
@@ -22,32 +22,37 @@ def check_incoming(
     """
     # Each step is generated from a one-element array: the optimizer does not merge
     # a generator into later filters, so text is parsed and cast once per row.
-    others = df.drop(*spec.required)
+    others = df.drop(spec.entity, *spec.required)
     parsed = others.select("*", _once(F.from_json(F.col(text), "map<string,string>")).alias("__f"))
 
     def field(c: str) -> Column:
         return F.col("__f")[c]
 
-    entity = F.trim(field(spec.entity))
+    def name(c: str) -> Column:
+        text = F.trim(field(c))
+        return F.when(F.length(text).between(1, MAX_ENTITY_LENGTH), text)
+
+    needed = tuple(dict.fromkeys((spec.time, spec.entity, *spec.required)))
+    levels = {c: spec.levels[c] for c in spec.categoricals if c in spec.levels}
     typed = {  # casts ignore blanks around a value by themselves
         spec.time: field(spec.time).try_cast("timestamp_ntz"),
-        spec.entity: F.when(F.length(entity).between(1, MAX_ENTITY_LENGTH), entity),
-        "wd": normalize_sector(field("wd")),
+        **{c: name(c) for c in (spec.entity, *spec.categoricals)},
+        **{c: normalize_level(field(c), legal) for c, legal in levels.items()},
         **{c: to_number(field(c)) for c in spec.measures},
     }
-    cells = F.struct(*[typed[c].alias(c) for c in spec.required])
+    cells = F.struct(*[typed[c].alias(c) for c in needed])
     out = parsed.select("*", F.inline(F.array(cells)))
-    allowed = F.array(*[F.lit(c) for c in spec.required])
+    allowed = F.array(*[F.lit(c) for c in needed])
     unknown = F.array_sort(F.array_except(F.map_keys("__f"), allowed))
     problems = [
         F.when(F.col("__f").isNull(), F.lit("malformed")),
         F.when(F.size(unknown) > 0, F.concat(F.lit("unknown:"), F.array_join(unknown, ","))),
     ]
-    for c in spec.required:
+    for c in needed:
         problems.append(F.when(F.col("__f").isNotNull() & F.col(c).isNull(), F.lit(f"bad:{c}")))
     for c in spec.measures:
-        low, high = spec.limits[c]
-        problems.append(F.when(~F.col(c).between(low, high), F.lit(f"range:{c}")))
+        if c in spec.limits:
+            problems.append(F.when(~F.col(c).between(*spec.limits[c]), F.lit(f"range:{c}")))
     reasons = F.filter(F.array(*problems), lambda x: x.isNotNull())
     return out.select("*", _once(reasons).alias("reasons")).drop("__f")
 

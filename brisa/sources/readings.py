@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisa import spec as S
 from brisa.functions import calendar as C
-from brisa.functions.values import row_hash
+from brisa.functions.values import nan_as_null, row_hash
+from brisa.operators.partitions import MONTH_FOLDER
 
 # --- fixed values -----------------------------------------------------------
 # Columns of a raw file, in file order.
@@ -36,25 +39,47 @@ def scan_csv(
 ) -> DataFrame:
     """Every matching CSV below a folder as one table; ``NA`` is null.
 
-    The schema is given, so no pass over the files is spent on inferring it. A
-    folder without matching files is an error. Rows are not ordered.
+    Columns are found by the header of each file, whatever their order; a file that
+    lacks one, or has others, is an error. The schema is given, so no types are
+    inferred. A folder without matching files is an error. Rows are not ordered.
     """
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("nullValue", "NA")
-        .option("recursiveFileLookup", True)
+    names = sorted(f.name for f in schema)
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
+        .text(folder)
+        .select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .where("file_block_start = 0")
+    )
+    fields = F.transform(F.split("value", ","), lambda x: F.btrim(x, F.lit('"\ufeff ')))
+    heads = lines.select("file_path", fields.alias("fields")).where(
+        F.array_sort("fields") == F.array(*[F.lit(n) for n in names])
     )
-    df = reader.csv(folder)
-    if not df.inputFiles():
-        raise FileNotFoundError(f"no file like {glob} below {folder}")
-    return df
+    orders = heads.groupBy("fields").agg(F.count_distinct("file_path").alias("n")).collect()
+    if not orders:
+        raise FileNotFoundError(f"no file like {glob} with columns {names} below {folder}")
+
+    def read(order: list[str], paths: list[str] | str) -> DataFrame:
+        # Another header than the expected one is an error, not a silent shift.
+        reader = spark.read.schema(T.StructType([schema[c] for c in order]))
+        reader = reader.option("header", True).option("nullValue", "NA").option("enforceSchema", False)
+        if isinstance(paths, str):
+            reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        return reader.csv(paths).select(*[F.col(f"`{f.name}`") for f in schema])
+
+    if len(orders) == 1:
+        return read(orders[0]["fields"], folder)
+    tables = []
+    for order in orders:  # file names only, which planning a scan lists on the driver anyway
+        files = heads.where(F.col("fields") == F.array(*[F.lit(c) for c in order["fields"]]))
+        paths = [r[0] for r in files.select("file_path").distinct().collect()]
+        tables.append(read(order["fields"], paths))
+    return reduce(DataFrame.unionByName, tables)
 
 
 def readings_from_raw(raw: DataFrame) -> DataFrame:
-    """Event time from its four columns, and the dotted target renamed."""
-    return raw.withColumn(S.TIME, C.event_time("year", "month", "day", "hour")).withColumnRenamed(
+    """Event time from its four columns, the dotted target renamed, NaN as null."""
+    return nan_as_null(raw).withColumn(S.TIME, C.event_time("year", "month", "day", "hour")).withColumnRenamed(
         "PM2.5", S.TARGET
     )
 
@@ -81,18 +106,19 @@ def path_exists(spark: SparkSession, path: str, finished: bool = False) -> bool:
 
 
 def write_snapshot(df: DataFrame, path: str, time: str = S.TIME) -> None:
-    """Columnar snapshot, one folder per month so that time slices prune files.
+    """Columnar snapshot, one folder per month; slices of a loaded snapshot name the
+    folders they need, so that other months' files are never opened.
 
     Rows are rebalanced by month: small months share a task and large ones are
     split by size, so files come out at the advisory size and no task writes a
     whole month.
     """
-    monthly = df.withColumn("part_month", F.date_format(time, "yyyy-MM"))
+    monthly = df.withColumn(MONTH_FOLDER, F.date_format(time, "yyyy-MM"))
     (
-        monthly.hint("rebalance", F.col("part_month"))
+        monthly.hint("rebalance", F.col(MONTH_FOLDER))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")  # the whole snapshot, and its _SUCCESS mark
-        .partitionBy("part_month")
+        .partitionBy(MONTH_FOLDER)
         .parquet(path)
     )
 

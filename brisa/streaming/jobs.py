@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,7 @@ def score_stream(
     checked = check_incoming(records, text, spec)
 
     def store(batch: DataFrame, epoch: int) -> None:
+        own = f"query={query_id(batch.sparkSession, out)}/epoch={epoch}"
         batch = batch.persist()
         try:
             valid, quarantined = split_incoming(batch)
@@ -48,9 +50,9 @@ def score_stream(
                 "model_version", F.lit(version)
             )
             kept = [*keep, *spec.features, PREDICTION, "model_version"]
-            scored.select(*kept).write.mode("overwrite").parquet(f"{out}/scored/epoch={epoch}")
+            scored.select(*kept).write.mode("overwrite").parquet(f"{out}/scored/{own}")
             quarantined.select(*keep, text, "reasons").write.mode("overwrite").parquet(
-                f"{out}/quarantine/epoch={epoch}"
+                f"{out}/quarantine/{own}"
             )
         finally:
             batch.unpersist()
@@ -59,6 +61,13 @@ def score_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def query_id(spark, out: str) -> str:
+    """Id of the query whose checkpoint lies in ``out``: a new checkpoint, whose batches
+    are numbered from 0 again, has another one and replaces nothing that is stored."""
+    line = spark.read.text(f"{out}/checkpoint/metadata").first()[0]
+    return json.loads(line)["id"]
+
+
 def unique_readings(
     stream: DataFrame, key: list[str], time: str = S.TIME, delay: str = "2 hours"
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from brisa.operators import forest as R
 from brisa.operators.metrics import global_metrics
 from brisa.plans.scoring import batch_score
 from brisa.plans.training import train_and_evaluate, training_flow
+from brisa.sources import sinks as K
 from brisa.sources.ledger import Ledger
 
 FAST = {"numTrees": 5, "maxDepth": 4}
@@ -46,13 +47,14 @@ def test_forest_scores_unseen_and_missing_values(spark, model_frame, tmp_path):
 def test_training_needs_all_frames(model_frame):
     with pytest.raises(ValueError):
         train_and_evaluate(model_frame, {"valid": model_frame, "test": None})
-    metrics, _ = train_and_evaluate(model_frame, {"valid": model_frame, "test": model_frame}, **FAST)
+    metrics, entities, _ = train_and_evaluate(model_frame, {"valid": model_frame, "test": model_frame}, **FAST)
     assert {(r["model"], r["split"]) for r in metrics.collect()} == {
         (m, s) for m in ("baseline", "bosque") for s in ("valid", "test")
     }
+    assert entities.count() == 8
 
 
-def test_search_is_seeded_and_in_its_space(model_frame):
+def test_search_is_seeded_and_in_its_space(model_frame, tmp_path):
     assert R.draw_trials(5) == R.draw_trials(5) != R.draw_trials(5, seed=1)
     for t in R.draw_trials(50):
         for name, (kind, low, high) in R.SEARCH_SPACE.items():
@@ -60,6 +62,18 @@ def test_search_is_seeded_and_in_its_space(model_frame):
     space = {"numTrees": (int, 2, 4), "maxDepth": (int, 2, 3), "minInstancesPerNode": (int, 1, 3), "featureShare": (float, 0.3, 1.0)}
     trials = R.tune_forest(model_frame, model_frame, trials=2, space=space)
     assert trials.count() == 2 and set(R.best_trial(trials)) == set(space)
+    store = str(tmp_path)
+    K.append_trials(trials, store, "search", R.TRIAL_MEASURES)
+    session = model_frame.sparkSession
+    assert session.read.parquet(f"{store}/params").count() == 2 * len(space)
+    metrics = session.read.parquet(f"{store}/metrics")
+    assert metrics.count() == 2 * 4 and {r.parent_run_id for r in metrics.collect()} == {"search"}
+
+
+def test_too_many_levels_are_refused(model_frame, monkeypatch):
+    monkeypatch.setattr(R, "MAX_LEVELS", 1)
+    with pytest.raises(ValueError, match="levels"):
+        R.fit_forest(model_frame, **FAST)
 
 
 class Foreign:
@@ -89,6 +103,8 @@ def test_whole_flow(spark, tmp_path):
     again = training_flow(readings, ledger, store, "m", Q.EVENTS, as_of=Q.AS_OF, **FAST)
     assert not again.trained
     assert spark.read.parquet(f"{store}/metrics").count() == 2 * 2 * 4
+    assert spark.read.parquet(f"{store}/params").count() == 3
+    assert spark.read.parquet(f"{store}/entities").count() == 2 * 2 * 12
     batch, summary = batch_score(
         readings, "produccion", ledger, "m", str(tmp_path / "p"), Q.EVENTS,
         alias="candidate", as_of=Q.AS_OF, moment=dt.datetime(2024, 2, 2),

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from brisa import spec as S
+from brisa.operators.features import build_features
+from brisa.operators.partitions import slice_range
 from brisa.sources import readings as A
 from brisa.sources import sinks as K
 from brisa.plans.serving import serve_champion
@@ -50,6 +52,49 @@ def test_snapshot_is_built_once_and_pruned(spark, tmp_path):
     assert len(built) == 1
     months = [r[0] for r in spark.read.parquet(path).select("part_month").distinct().orderBy("part_month").collect()]
     assert [str(m) for m in months] == ["2016-01", "2016-02"]
+    part = slice_range(A.load_snapshot(spark, path), S.days("x", "2016-02-01", "2016-02-03"))
+    assert part.count() == 72 and "part_month" not in part.columns
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part_month" in plan
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    names = HEADER.split(",")
+    row = dict(zip(names, "1,2013,3,1,0,4,5,6,7,300,77,-0.7,1023,-18.8,NaN,NNW,4.4,A".split(",")))
+    for i, order in enumerate((names, names[::-1])):
+        text = ",".join(order) + "\n" + ",".join(row[c] for c in order) + "\n"
+        (tmp_path / f"PRSA_Data_{i}.csv").write_text(text)
+    rows = A.readings_from_raw(A.scan_csv(spark, str(tmp_path))).collect()
+    assert {(r["pm25"], r["PM10"], r["RAIN"], r["station"]) for r in rows} == {(4.0, 5.0, None, "A")}
+
+
+def test_later_events_of_one_moment_win(spark, tmp_path):
+    ledger, moment = Ledger(spark, str(tmp_path / "l")), dt.datetime(2024, 1, 1)
+    for version in ("1", "2"):
+        ledger.set_alias("m", "champion", version, moment)
+    assert ledger.version_of("m", "champion") == "2"
+
+
+def test_rows_are_not_written_alike(spark):
+    def mark(*rows):
+        return A.fingerprint(spark.createDataFrame(list(rows), "a string, b string")).first()["fingerprint"]
+
+    assert mark(("a|b", "c")) != mark(("a", "b|c")) and mark((None, "c")) != mark(("~", "c"))
+    assert mark(("1", "2:x")) != mark(("1:2", "x"))
+
+
+def test_another_table_is_checked_and_audited(spark):
+    from brisa.queries import tables as Q
+
+    record = {"l_shipdate": "2000-01-01", "l_suppkey": "7", "flag": " r ", "l_linestatus": "O",
+              "l_quantity": 1, "l_discount": 0.1, "l_tax": 0.2, "price": 3}
+    df = spark.createDataFrame([(json.dumps(record),), (json.dumps({**record, "flag": "Q"}),)], "j string")
+    rows = check_incoming(df, "j", Q.LINE_SPEC).select("flag", "reasons").collect()
+    assert [(r["flag"], r["reasons"]) for r in rows] == [("R", []), (None, ["bad:flag"])]
+    built = build_features(Q.lines(spark, "/root/testdata/sf0.001"), Q.LINE_SPEC).withColumn("prediction", F.lit(1.0))
+    trace = K.Trace("b", "test", "m", "1", "champion", "u", dt.datetime(2024, 1, 1))
+    stored = K.audit_rows(built, trace, Q.LINE_SPEC)
+    assert tuple(stored.columns) == K.stored_columns(Q.LINE_SPEC) and "prediccion_l_extendedprice" in stored.columns
 
 
 def test_fingerprint_ignores_order_and_sees_changes(spark):
@@ -63,18 +108,18 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
 
 def audit(df, **changes):
     options = dict(
-        batch_id="b-1", label="test", model_name="m", model_version="1", model_alias="champion",
-        model_uri="u", moment=dt.datetime(2024, 1, 1, 2, 3, 4, 5), prediction="pm25",
+        batch_id="b-1", label="test", model="m", version="1", alias="champion", uri="u",
+        moment=dt.datetime(2024, 1, 1, 2, 3, 4, 5),
     )
-    return K.audit_rows(df, **{**options, **changes})
+    return K.audit_rows(df, K.Trace(**{**options, **changes}), prediction="pm25")
 
 
 def test_predictions_are_replaced_not_repeated(spark, tmp_path, holdout):
     path = str(tmp_path / "p")
     for batch in ("b-1", "b-2", "b-1"):
-        K.write_predictions(audit(holdout, batch_id=batch), path)
+        assert K.write_predictions(audit(holdout, batch_id=batch), path) == 120
     stored = K.read_predictions(spark, path)
-    assert tuple(stored.columns) == K.PREDICTION_COLUMNS
+    assert tuple(stored.columns) == K.stored_columns()
     counts = {r["batch_id"]: r["count"] for r in stored.groupBy("batch_id").count().collect()}
     assert counts == {"b-1": 120, "b-2": 120}
     assert stored.first()["prediction_timestamp"] == "2024-01-01T02:03:04"

@@ -46,7 +46,7 @@ def test_slice_includes_the_whole_last_day(spark):
     df = spark.createDataFrame(
         [(d(2015, 6, 30), 1), (d(2015, 6, 30, 23), 2), (d(2015, 7, 1), 3)], "datetime timestamp_ntz, valor int"
     )
-    part = P.slice_range(df, S.DateRange("x", "2015-06-30", "2015-06-30"))
+    part = P.slice_range(df, S.days("x", "2015-06-30", "2015-06-30"))
     assert sorted(r["valor"] for r in part.collect()) == [1, 2]
 
 
@@ -118,6 +118,10 @@ def test_sample_is_exact_and_stable(distributed):
     other = {r["id"] for r in R.sample_rows(df, 321, "id", seed=7).collect()}
     assert len(a) == 321 and a == b and a != other
     assert R.sample_rows(df, 9999, "id").count() == 5000
+    pairs = df.selectExpr("id % 50 AS a", "concat('s', CAST(id AS STRING)) AS b")
+    assert R.sample_rows(pairs, 1000, ["a", "b"]).count() == 1000
+    with pytest.raises(ValueError, match="does not identify"):
+        R.sample_rows(pairs, 1001, "a")
 
 
 def test_prepare_partition_rejects_and_accepts(spark):
@@ -147,10 +151,10 @@ def test_partitions_prepared_together_equal_those_prepared_alone(spark, forced):
         columns = sorted(together.columns)
         want = sorted(map(repr, alone[0].unionByName(alone[1]).select(columns).collect()))
         assert sorted(map(repr, together.select(columns).collect())) == want
-        late = Q.EVENTS.with_(ranges=(*Q.RANGES, S.DateRange("later", "2030-01-01", "2030-01-02")))
+        late = Q.EVENTS.with_(ranges=(*Q.RANGES, S.days("later", "2030-01-01", "2030-01-02")))
         with pytest.raises(ContractViolation, match="min_volume"):
             R.prepare_labelled(readings, ["valid", "later"], late, **options)
-        both = Q.EVENTS.with_(ranges=(*Q.RANGES, S.DateRange("again", "2024-01-16", "2024-01-17")))
+        both = Q.EVENTS.with_(ranges=(*Q.RANGES, S.days("again", "2024-01-16", "2024-01-17")))
         with pytest.raises(ValueError, match="overlap"):
             R.prepare_labelled(readings, ["valid", "again"], both, **options)
     finally:

@@ -1,5 +1,7 @@
 """The distributed order statistics against brute force, also on skewed data."""
 
+import datetime as dt
+import math
 import random
 
 import pytest
@@ -81,10 +83,41 @@ def test_first_rows_by_time_is_pushed_down(distributed, tmp_path):
     assert "LessThan(t" in cut._jdf.queryExecution().toString()
 
 
-def test_text_cannot_be_ranked(spark):
-    df = spark.createDataFrame([("a",), ("b",)], "k string")
-    with pytest.raises(TypeError):
-        K.first_rows(df, 1, ["k"])
+def test_text_is_ranked_by_its_bytes(spark):
+    names = ["a", "ab", "abcdefgh", "abcdefghi", "abcdefgz", "Z", "é", "日本語", "b"]
+    rows = [(i // 5, n) for i, n in enumerate(names * 4)]
+    rows = sorted(set(rows))
+    df = spark.createDataFrame(rows, "t int, k string").repartition(3)
+    want = sorted(rows, key=lambda r: (r[0], r[1].encode()))
+    for n in (1, 4, 7, len(rows) - 1):
+        assert sorted(tuple(r) for r in K.first_rows(df, n, ["t", "k"]).collect()) == sorted(want[:n])
+
+
+def test_a_cut_inside_equal_rows_is_refused(spark):
+    df = spark.createDataFrame([(1, "a")] * 5, "t int, k string")
+    with pytest.raises(ValueError, match="does not identify"):
+        K.first_rows(df, 2, ["t", "k"])
+
+
+def test_cut_does_not_depend_on_the_time_zone(spark):
+    start = dt.datetime(2024, 3, 10)
+    df = spark.createDataFrame([(start + dt.timedelta(minutes=30 * i),) for i in range(20)], "t timestamp_ntz")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert K.first_rows(df, 5, ["t"]).count() == 5
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("values", [[float("inf")] * 30 + [1.0] * 270, [-math.inf, 0.0, -0.0, math.nan, 5.0, math.inf, 5.0]])
+def test_both_plans_agree_on_odd_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = []
+    for limit in ("0", "1000000"):
+        spark.conf.set("brisa.directRows", limit)
+        found.append(K.exact_quantiles(df, ["v"], [0.0, 0.3, 0.5, 0.95, 0.99, 1.0]).first()["q"])
+    spark.conf.unset("brisa.directRows")
+    assert str(found[0]) == str(found[1])
 
 
 def test_hot_values_get_their_own_bucket(spark):
