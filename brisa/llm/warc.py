@@ -5,7 +5,8 @@ report on success, with the offsets of splits, go into one manifest, so files of
 failed or repeated attempts are never read. Reading plans partitions from the
 manifest (or from a plain listing, one partition a file), parses a record's headers
 first and applies the pushed-down predicates to them: the payload of a record that
-fails, or whose payload nobody asked for, is skipped over and never read.
+fails, or whose payload nobody asked for, is skipped over and never read, in
+compressed files too: written records are two gzip members each, headers and the rest.
 
 Paths are local, or any URI that pyarrow opens (file, hdfs, s3, gs).
 """
@@ -13,12 +14,15 @@ Paths are local, or any URI that pyarrow opens (file, hdfs, s3, gs).
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import json
 import re
+import struct
 import urllib.parse
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -62,6 +66,8 @@ HEADER_FIELDS = {
 }
 #: Fixed value: the profile of a revisit by equal payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Effort of gzip.
+LEVEL = 4
 SPLIT_BYTES = 16 << 20
 FILE_BYTES = 1 << 30
 _BATCH = 256
@@ -91,6 +97,77 @@ class Written(WriterCommitMessage):
     files: list
 
 
+_FRAME = struct.Struct("<2sHQQ")
+_MARK = b"wr"
+
+
+def _member(data: bytes, extra: bytes = b"") -> bytes:
+    """A gzip member, with an extra field if there is one."""
+    deflate = zlib.compressobj(LEVEL, zlib.DEFLATED, -15)
+    body = deflate.compress(data) + deflate.flush()
+    head = b"\x1f\x8b\x08" + (b"\x04" if extra else b"\0") + b"\0\0\0\0\0\xff"
+    tail = struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    return head + (struct.pack("<H", len(extra)) + extra if extra else b"") + body + tail
+
+
+def framed(head: bytes, rest: bytes) -> bytes:
+    """A record as two gzip members, headers and the rest. The first one's extra field
+    tells the lengths of both, so that a reader can leave the rest alone; other readers
+    see one plain gzip stream."""
+    second = _member(rest)
+    first = len(_member(head, bytes(_FRAME.size)))
+    return _member(head, _FRAME.pack(_MARK, _FRAME.size - 4, first, len(second))) + second
+
+
+class Frames:
+    """A file of framed records as a stream of bytes. Skipping what is left of a record
+    skips its second member without reading it."""
+
+    def __init__(self, file):
+        self.file, self.at, self.rest, self.now = file, file.tell(), 0, io.BytesIO()
+
+    @staticmethod
+    def fits(file) -> bool:
+        """Whether the file goes on with a framed record; leaves its position alone."""
+        start, head = file.tell(), file.read(12 + _FRAME.size)
+        file.seek(start)
+        return len(head) == 12 + _FRAME.size and head[3] == 4 and head[12:14] == _MARK
+
+    def tell(self) -> int:
+        """Where the next record begins."""
+        return self.at
+
+    def _next(self) -> bool:
+        if self.rest:
+            self.now, self.rest = io.BytesIO(zlib.decompress(self.file.read(self.rest), 31)), 0
+            return True
+        head = self.file.read(12 + _FRAME.size)
+        if not head:
+            return False
+        _, _, first, second = _FRAME.unpack_from(head, 12)
+        self.now = io.BytesIO(zlib.decompress(head + self.file.read(first - len(head)), 31))
+        self.rest, self.at = second, self.at + first + second
+        return True
+
+    def readline(self, most: int = -1) -> bytes:
+        line = self.now.readline(most)
+        return line if line or not self._next() else self.now.readline(most)
+
+    def read(self, n: int) -> bytes:
+        data = self.now.read(n)
+        while len(data) < n and self._next():
+            data += self.now.read(n - len(data))
+        return data
+
+    def seek(self, n: int, whence: int) -> None:
+        left = self.now.getbuffer().nbytes - self.now.tell()
+        if n > left and self.rest:
+            self.file.seek(self.at)
+            self.rest, self.now = 0, io.BytesIO()
+        else:
+            self.now.seek(n, whence)
+
+
 def _header_test(f: Filter):
     """A test on parsed headers for a predicate that headers decide, else None."""
     if isinstance(f, Not):
@@ -211,13 +288,10 @@ class WarcReader(DataSourceReader):
             return pa.RecordBatch.from_arrays(columns, names)
 
         with fs.open_input_file(path) as file:
+            stream = io.BufferedReader(file, 1 << 20)
+            stream.seek(split.start)
             if path.endswith(".gz"):
-                import gzip
-
-                stream = gzip.GzipFile(fileobj=file)
-            else:
-                stream = io.BufferedReader(file, 1 << 20)
-                stream.seek(split.start)
+                stream = Frames(stream) if Frames.fits(stream) else gzip.GzipFile(fileobj=stream)
             rows = []
             for row in records(stream, split.end, wanted, self.payloads):
                 rows.append(row)
@@ -232,8 +306,8 @@ def _line(name: str, value: str) -> str:
     return f"{name}: {value}\r\n"
 
 
-def record(row: dict) -> bytes:
-    """The bytes of one record; a revisit keeps the HTTP head of the full payload."""
+def record(row: dict) -> tuple[bytes, bytes]:
+    """Headers and the rest of one record; a revisit keeps the HTTP head of the full payload."""
     payload = row["payload"] if row["record_type"] != "revisit" else b""
     http = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -249,12 +323,13 @@ def record(row: dict) -> bytes:
     head += _line("WARC-Payload-Digest", "sha1:" + row["payload_digest"])
     head += _line("Content-Type", "application/http; msgtype=response")
     head += _line("Content-Length", str(len(http) + len(payload)))
-    return b"".join((head.encode(), b"\r\n", http, payload, b"\r\n\r\n"))
+    return head.encode() + b"\r\n" + http, payload + b"\r\n\r\n"
 
 
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.path = options["path"]
+        self.gzip = options.get("compression", "gzip") == "gzip"
 
     def write(self, iterator):
         fs, root = opened(self.path)
@@ -268,11 +343,11 @@ class WarcWriter(DataSourceArrowWriter):
                         files.append((name, at, starts))
                         out = None
                     if out is None:
-                        name = f"part-{uuid.uuid4().hex}.warc"
-                        out, at, starts = fs.open_output_stream(f"{root}/{name}"), 0, [0]
+                        name = f"part-{uuid.uuid4().hex}.warc" + ".gz" * self.gzip
+                        out, at, starts = fs.open_output_stream(f"{root}/{name}", compression=None), 0, [0]
                     if at - starts[-1] >= SPLIT_BYTES:
                         starts.append(at)
-                    data = record(row)
+                    data = framed(*record(row)) if self.gzip else b"".join(record(row))
                     out.write(data)
                     at += len(data)
         finally:
@@ -294,7 +369,8 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcSource(DataSource):
-    """``format("warc")``; option ``payload=false`` reads headers only."""
+    """``format("warc")``; read option ``payload=false`` reads headers only, write option
+    ``compression`` is ``gzip`` or ``none``."""
 
     @classmethod
     def name(cls):
@@ -323,10 +399,11 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     return reader.load(path)
 
 
-def write_warc(df: DataFrame, path: str) -> None:
+def write_warc(df: DataFrame, path: str, compression: str = "gzip") -> None:
     """Write records with the columns of ``SCHEMA`` (digest as base32)."""
     _registered(df.sparkSession)
-    df.select(*[c.split()[0] for c in SCHEMA.split(", ")]).write.format("warc").mode("append").save(path)
+    writer = df.select(*[c.split()[0] for c in SCHEMA.split(", ")]).write.format("warc")
+    writer.mode("append").option("compression", compression).save(path)
 
 
 def page_records(

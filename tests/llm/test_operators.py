@@ -234,6 +234,14 @@ def test_warc_odd(spark, odd, none, tmp_path):
     assert by[5].payload_bytes == by[1].payload_bytes == len(by[1].payload)
     assert by[7].payload == texts(odd.where("doc_id = 7"))[0].encode()
     assert by[1].payload_digest == warc.base32(hashlib.sha1(by[1].payload).digest())
+    plain = lambda d: sorted((r.record_id, r.payload or b"", r.payload_bytes) for r in d.collect())
+    warc.write_warc(warc.page_records(pages), f"{tmp_path}/u", compression="none")
+    assert plain(warc.read_warc(spark, f"{tmp_path}/u")) == plain(back)
+    files = [f for f in (tmp_path / "a").iterdir() if f.name.endswith(".warc.gz")]
+    whole = b"".join(gzip.decompress(f.read_bytes()) for f in files)
+    assert whole.count(b"WARC/1.1\r\n") == len(rows)  # other readers see one stream
+    heads = warc.read_warc(spark, f"{tmp_path}/a", payload=False).where("record_type = 'response'")
+    assert heads.count() == sum(r.record_type == "response" for r in rows)
     warc.write_warc(warc.page_records(pages, least=10**6), f"{tmp_path}/b")
     assert warc.read_warc(spark, f"{tmp_path}/b").where("record_type = 'revisit'").count() == 0
     warc.write_warc(warc.page_records(pages.where("false")), f"{tmp_path}/c")
