@@ -118,8 +118,7 @@ def encoder_stages(categoricals: list[str]) -> list:
         OneHotEncoder(
             inputCols=[f"{c}__i" for c in categoricals],
             outputCols=[f"{c}__v" for c in categoricals],
-            dropLast=True,
-            handleInvalid="keep",
+            dropLast=True,  # the indexer's slot for unseen levels
         ),
     ]
 

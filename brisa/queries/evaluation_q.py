@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 
 from brisa.operators import gate as G
 from brisa.operators import metrics as E
+from brisa import spec as S
+from brisa.operators.features import build_features
 from brisa.operators.forest import (
-    Baseline,
+    SEARCH_SPACE,
+    TRIALS,
     Imputed,
-    encoder_stages,
+    draw_trials,
+    fit_encoder,
     fit_forest,
+    predict_with,
     tune_forest,
 )
+from brisa.operators.partitions import slice_label
 from brisa.plans.promotion import decide, promote
 from brisa.plans.scoring import batch_score
-from brisa.plans.training import train_and_evaluate
+from brisa.plans.training import train_and_evaluate, training_flow
 from brisa.queries import models as M
 from brisa.queries import tables as Q
 from brisa.queries.registry import query
@@ -167,19 +173,45 @@ _DECISION = (
 )
 def gate_decision(spark, sf_dir):
     """The holdout keeps its contract; both models are scored on it."""
-    holdout = M.prepared(spark, sf_dir, "test")
+    holdout = M.prepared(spark, sf_dir, "test", validate=True)
     criteria = decide(holdout, M.fitted(spark, sf_dir), Q.EVENTS)
     return G.verdict(criteria, has_champion=True)
 
 
-@query("gate_end_to_end")
+_EVENT = "SELECT 'pm25' AS subject, {v} AS version, '{kind}' AS kind, {key} AS key, {value} AS value, TIMESTAMP '{ts}' AS ts"
+
+
+def _event(version: str, kind: str, key: str, value: str, ts: str) -> str:
+    return _EVENT.format(v=f"'{version}'", kind=kind, key=f"'{key}'", value=value, ts=ts)
+
+
+@query(
+    "gate_end_to_end",
+    f"{_M}, {_WIDE}, {_GROUPS}, {_DECISION}, v AS (SELECT bool_and(passed) AS promote, "
+    "string_agg(criterion, ', ' ORDER BY pos) FILTER (NOT passed) AS failed FROM c) "
+    + " UNION ALL ".join(
+        [
+            _event("1", "version", "1", "'champion'", "2024-02-01 01:00:00"),
+            _event("2", "version", "2", "'candidate'", "2024-02-01 02:00:00"),
+            _event("1", "alias", "candidate", "'1'", "2024-02-02 01:00:00"),
+            _event("1", "tag", "1/validation_status", "'passed'", "2024-02-02 01:00:00"),
+            _event("1", "tag", "1/gate_motivo", "'primer modelo: no hay champion con el que comparar'", "2024-02-02 01:00:00"),
+            _event("1", "alias", "champion", "'1'", "2024-02-02 01:00:00"),
+            _event("2", "alias", "candidate", "'2'", "2024-02-02 02:00:00"),
+            _event("2", "tag", "2/validation_status", "CASE WHEN promote THEN 'passed' ELSE 'failed' END", "2024-02-02 02:00:00") + " FROM v",
+            _event("2", "tag", "2/gate_motivo", "CASE WHEN promote THEN 'todos los criterios pasan' "
+                   "ELSE concat('criterios no superados: ', failed) END", "2024-02-02 02:00:00") + " FROM v",
+            _event("2", "alias", "champion", "'2'", "2024-02-02 02:00:00") + " FROM v WHERE promote",
+        ]
+    ),
+)
 def gate_end_to_end(spark, sf_dir):
     """Register two models, promote the first, then put the second through the gate."""
     ledger = Ledger(spark, scratch_path(spark, "registry"))
     models = M.fitted(spark, sf_dir)
     for version, name in (("1", "champion"), ("2", "candidate")):
         ledger.register("pm25", version, name, dt.datetime(2024, 2, 1, int(version)))
-    holdout = M.prepared(spark, sf_dir, "test")
+    holdout = M.prepared(spark, sf_dir, "test", validate=True)
     for version in ("1", "2"):
         moment = dt.datetime(2024, 2, 2, int(version))
         ledger.set_alias("pm25", "candidate", version, moment)
@@ -208,88 +240,173 @@ def retrain_needed(spark, sf_dir):
 # --- models --------------------------------------------------------------------
 
 
+_LINE_NUMBERS = (*Q.LINE_SPEC.measures, "hora", "dia_semana", "mes")
+_LINE_LEVELS = {"temporada": S.SEASONS, "flag": ("A", "N", "R", S.UNKNOWN), "l_linestatus": ("F", "O")}
+_DUMMIES = ", ".join(
+    f"CASE WHEN {c} = '{v}' THEN 1.0e0 ELSE 0.0e0 END AS {c}_{v}" for c, levels in _LINE_LEVELS.items() for v in sorted(levels)
+)
+
+
 @query(
     "one_hot",
-    f"WITH {Q.L}, t AS (SELECT * FROM l WHERE {Q.range_sql(Q.LINE_SPEC.ranges[0], 'l_shipdate')}) "
-    "SELECT l_orderkey, l_linenumber, "
-    + ", ".join(f"CASE WHEN flag = '{f}' THEN 1.0e0 ELSE 0.0e0 END AS flag_{f}" for f in "ANR")
-    + ", "
-    + ", ".join(f"CASE WHEN l_linestatus = '{f}' THEN 1.0e0 ELSE 0.0e0 END AS status_{f}" for f in "FO")
-    + f" FROM l WHERE flag IS NOT NULL AND ({Q.range_sql(Q.LINE_SPEC.ranges[3], 'l_shipdate')})",
+    f"WITH {Q.L}, f AS (SELECT * REPLACE (coalesce(flag, 'desconocido') AS flag), {Q.calendar_sql('l_shipdate')} FROM l), "
+    f"t AS (SELECT * FROM f WHERE {Q.range_sql(Q.LINE_SPEC.ranges[0], 'l_shipdate')}), "
+    "m AS (SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in _LINE_NUMBERS) + " FROM t) "
+    f"SELECT l_orderkey, l_linenumber, {_DUMMIES}, "
+    + ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), m_{c}), 6) AS {c}" for c in _LINE_NUMBERS)
+    + f" FROM f, m WHERE {Q.range_sql(Q.LINE_SPEC.ranges[3], 'l_shipdate')}",
 )
 def one_hot(spark, sf_dir):
-    """Fitted on train, applied to production, where flag X was never seen."""
-    from pyspark.ml import Pipeline
+    """The whole feature vector: imputed, encoded, numbers passed through. Fitted on
+    train, applied to production, where flag X was never seen and is all zeros."""
     from pyspark.ml.functions import vector_to_array
 
-    from brisa.operators.partitions import slice_label
-
-    lines = Q.lines(spark, sf_dir).filter(F.col("flag").isNotNull())
-    train = slice_label(lines, "train", Q.LINE_SPEC.ranges, "l_shipdate")
-    later = slice_label(lines, "produccion", Q.LINE_SPEC.ranges, "l_shipdate")
-    encoder = Pipeline(stages=encoder_stages(["flag", "l_linestatus"])).fit(train)
-    rows = encoder.transform(later).select(
-        "l_orderkey",
-        "l_linenumber",
-        vector_to_array("flag__v").alias("f"),
-        vector_to_array("l_linestatus__v").alias("s"),
-    )
-    return rows.select(
-        "l_orderkey",
-        "l_linenumber",
-        *[F.col("f")[i].alias(f"flag_{c}") for i, c in enumerate("ANR")],
-        *[F.col("s")[i].alias(f"status_{c}") for i, c in enumerate("FO")],
-    )
+    built = build_features(Q.lines(spark, sf_dir), Q.LINE_SPEC)
+    train = slice_label(built, "train", Q.LINE_SPEC.ranges, "l_shipdate")
+    later = slice_label(built, "produccion", Q.LINE_SPEC.ranges, "l_shipdate")
+    encoder = fit_encoder(train, Q.LINE_SPEC)
+    rows = encoder.encode(later).select("l_orderkey", "l_linenumber", vector_to_array("features").alias("x"))
+    names = [f"{c}_{v}" for c, levels in _LINE_LEVELS.items() for v in sorted(levels)]
+    cells = [F.col("x")[i].alias(n) for i, n in enumerate(names)]
+    numbers = [F.round(F.col("x")[len(names) + i], 6).alias(c) for i, c in enumerate(_LINE_NUMBERS)]
+    return rows.select("l_orderkey", "l_linenumber", *cells, *numbers)
 
 
-_SMALL = {"numTrees": 10, "maxDepth": 6}  # a quick forest; the defaults are 300 and 15
+# Bounds on the labelled rows that forests learn from here, drawn by a hash of event_id.
+FIT_ROWS = 500
+SEARCH_ROWS = 150
 
 
-@query("forest_predict")
+@query(
+    "forest_predict",
+    f"WITH {Q.R}, {Q.prepared_sql('test')} SELECT event_id, station, pm25, TRUE AS in_train_range, TRUE AS same_when_loaded FROM p_test",
+)
 def forest_predict(spark, sf_dir):
-    """Fit, save, load, and score the test partition."""
-    model = fit_forest(M.prepared(spark, sf_dir, "train"), Q.EVENTS, **_SMALL)
+    """Fit, save, load, and score the test partition with both; a forest's mean of train
+    targets cannot leave their range."""
+    train = M.prepared(spark, sf_dir, "train", validate=True)
+    model = fit_forest(train, Q.EVENTS, rows=FIT_ROWS, key="event_id")
     path = scratch_path(spark, "forest")
     model.save(path)
-    scored = Imputed.load(path).transform(M.prepared(spark, sf_dir, "test"))
-    return scored.select("event_id", "station", "pm25", E.PREDICTION)
+    low, high = train.agg(F.min("pm25"), F.max("pm25")).first()
+    test = M.prepared(spark, sf_dir, "test").select("event_id", "pm25", *Q.EVENTS.features)
+    scored = model.transform(test).withColumnRenamed(E.PREDICTION, "before")
+    scored = Imputed.load(path).transform(scored)
+    return scored.select(
+        "event_id",
+        "station",
+        "pm25",
+        F.col(E.PREDICTION).between(low, high).alias("in_train_range"),
+        (F.col(E.PREDICTION) == F.col("before")).alias("same_when_loaded"),
+    )
+
 
+_BOUNDED = "CASE WHEN model = 'baseline' THEN round({0}, 6) END AS {0}"
 
-@query("train_evaluate")
+
+@query(
+    "train_evaluate",
+    f"WITH {Q.R}, {Q.prepared_sql('train')}, {Q.prepared_sql('valid')}, {Q.prepared_sql('test')}, "
+    "x AS (SELECT 'valid' AS split, station, pm25 FROM p_valid UNION ALL SELECT 'test', station, pm25 FROM p_test), "
+    "g AS (SELECT avg(pm25) AS mean FROM p_train), "
+    "w AS (SELECT split, count(*) AS n, avg(abs(pm25 - mean)) AS mae, sqrt(avg((pm25 - mean) * (pm25 - mean))) AS rmse, "
+    "1 - sum((pm25 - mean) * (pm25 - mean)) / (var_pop(pm25) * count(*)) AS r2 FROM x, g GROUP BY split), "
+    "k AS (SELECT split, max(mae) AS worst_entity_mae FROM (SELECT split, station, avg(abs(pm25 - mean)) AS mae FROM x, g GROUP BY 1, 2) GROUP BY split) "
+    "SELECT b.model, w.split, w.n, "
+    + ", ".join(_BOUNDED.format(m) for m in ("mae", "rmse", "r2", "worst_entity_mae"))
+    + ", TRUE AS sound FROM w JOIN k USING (split), (VALUES ('baseline'), ('bosque')) b(model)",
+)
 def train_evaluate(spark, sf_dir):
-    later = {label: M.prepared(spark, sf_dir, label) for label in ("valid", "test")}
-    metrics, _ = train_and_evaluate(M.prepared(spark, sf_dir, "train"), later, Q.EVENTS, **_SMALL)
-    return metrics
+    """The baseline's errors are exact; a forest's are held to bounds: no worse than half
+    as much again as the baseline's, and rmse and the worst entity not below the mean error."""
+    later = {label: M.prepared(spark, sf_dir, label, validate=True) for label in ("valid", "test")}
+    train = M.prepared(spark, sf_dir, "train", validate=True)
+    metrics, _, _ = train_and_evaluate(train, later, Q.EVENTS, rows=FIT_ROWS, key="event_id")
+    base = metrics.filter("model = 'baseline'").select("split", F.col("mae").alias("base"))
+    metrics = metrics.join(F.broadcast(base), "split")  # a row for each split
+    sound = F.col("mae").between(0, 1.5 * F.col("base")) & (F.col("rmse") >= F.col("mae")) & (F.col("worst_entity_mae") >= F.col("mae"))
+    exact = F.col("model") == "baseline"
+    measures = [F.when(exact, F.round(m, 6)).alias(m) for m in ("mae", "rmse", "r2", "worst_entity_mae")]
+    return metrics.select("model", "split", "n", *measures, sound.alias("sound"))
+
+
+_TRIALS_SQL = ", ".join(
+    f"({i}, " + ", ".join(f"{v}e0" if isinstance(v, float) else str(v) for v in t.values()) + ")"
+    for i, t in enumerate(draw_trials(TRIALS))
+)
 
 
-@query("tune_forest")
+@query(
+    "tune_forest",
+    f"WITH {Q.R}, {Q.prepared_sql('valid')} SELECT t.*, (SELECT count(*) FROM p_valid) AS n, TRUE AS sound "
+    f"FROM (VALUES {_TRIALS_SQL}) t(trial, " + ", ".join(f'"{p}"' for p in SEARCH_SPACE) + ")",
+)
 def tune_forest_q(spark, sf_dir):
-    """A short random search in a small space, judged on the valid partition."""
-    space = {"numTrees": (int, 5, 10), "maxDepth": (int, 3, 6), "minInstancesPerNode": (int, 1, 10), "featureShare": (float, 0.3, 1.0)}
-    train, valid = (M.prepared(spark, sf_dir, label) for label in ("train", "valid"))
-    return tune_forest(train, valid, Q.EVENTS, trials=3, space=space)
+    """The seeded search, all trials in the declared space, judged on the valid partition."""
+    train, valid = (M.prepared(spark, sf_dir, label, validate=True) for label in ("train", "valid"))
+    trials = tune_forest(train, valid, Q.EVENTS, parallel=4, rows=SEARCH_ROWS, key="event_id")
+    spread = valid.agg(F.max("pm25") - F.min("pm25")).first()[0]
+    sound = F.col("mae").between(0, spread) & (F.col("rmse") >= F.col("mae")) & (F.col("worst_entity_mae") >= F.col("mae"))
+    return trials.select("trial", *SEARCH_SPACE, "n", sound.alias("sound"))
+
+
+class Doubled:
+    """A model of another library: any object with ``predict(frame)``."""
+
+    def predict(self, frame):
+        return frame["CO"] * 2 + frame["hora"]
+
+
+@query(
+    "predict_with",
+    f"WITH {Q.R}, {Q.prepared_sql('valid')} SELECT event_id, round(CO * 2 + hora, 6) AS prediction FROM p_valid",
+)
+def predict_with_q(spark, sf_dir):
+    rows = M.prepared(spark, sf_dir, "valid").select("event_id", *Q.EVENTS.features)
+    scored = predict_with(rows, Doubled, list(Q.EVENTS.features))
+    return scored.select("event_id", F.round(E.PREDICTION, 6).alias("prediction"))
+
+
+@query(
+    "training_flow",
+    "SELECT * FROM (VALUES (1, TRUE, '1', 'candidate', '1'), (2, FALSE, NULL, 'candidate', '1')) t(run, trained, version, alias, alias_version)",
+)
+def training_flow_q(spark, sf_dir):
+    """The whole flow twice over one table: the second run finds nothing new. The target is
+    made to depend on the measures, so that a forest beats the mean."""
+    rows = Q.readings(spark, sf_dir)
+    made = F.coalesce(F.col("PM10") / 20, F.col("NO2") / 8) + 1
+    rows = rows.withColumn("pm25", F.coalesce(made, F.lit(1.0)))
+    ledger, store = Ledger(spark, scratch_path(spark, "registry")), scratch_path(spark, "store")
+    out = []
+    for run in (1, 2):
+        done = training_flow(
+            rows, ledger, store, "pm25", Q.EVENTS, as_of=Q.AS_OF, rows=SEARCH_ROWS, key="event_id"
+        )
+        out.append((run, done.trained, done.version, "candidate", ledger.version_of("pm25", "candidate")))
+    return spark.createDataFrame(out, "run int, trained boolean, version string, alias string, alias_version string")
 
 
 @query(
     "batch_score",
-    f"WITH {Q.R}, {Q.prepared_sql('train')}, {Q.prepared_sql('produccion')} SELECT count(*) AS n_rows, "
-    "round((SELECT avg(pm25) FROM p_train), 3) AS mean, round((SELECT avg(pm25) FROM p_train), 3) AS p95 FROM p_produccion",
+    f"WITH {Q.R}, {Q.prepared_sql('train')}, {Q.prepared_sql('produccion')}, "
+    "e AS (SELECT station, avg(pm25) AS m FROM p_train GROUP BY station), "
+    "z AS (SELECT coalesce(e.m, (SELECT avg(pm25) FROM p_train)) AS p FROM p_produccion r LEFT JOIN e USING (station)) "
+    "SELECT count(*) AS n_rows, round(avg(p), 3) AS mean, round(quantile_cont(p, 0.95), 3) AS p95 FROM z",
 )
 def batch_score_q(spark, sf_dir):
     """Champion resolved from the ledger, scored, stored, summarized from the store."""
     ledger = Ledger(spark, scratch_path(spark, "registry"))
-    model = Baseline.fit(M.prepared(spark, sf_dir, "train"))
-    ledger.register("pm25", "1", "mean")
+    ledger.register("pm25", "1", "candidate")
     ledger.set_alias("pm25", "champion", "1")
-    path = scratch_path(spark, "predictions")
     _, summary = batch_score(
         Q.readings(spark, sf_dir),
         "produccion",
         ledger,
         "pm25",
-        path,
+        scratch_path(spark, "predictions"),
         Q.EVENTS,
         as_of=Q.AS_OF,
-        load={"mean": model}.get,
+        load=M.fitted(spark, sf_dir).get,
     )
     return summary

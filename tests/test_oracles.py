@@ -1,5 +1,7 @@
 """Every registered query against its SQL oracle, on the smallest tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -16,10 +18,16 @@ def test_oracles_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_every_query_has_an_oracle():
+    """But for the training-data operators, which have tests of their own."""
+    bare = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in bare)
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, oracle, name):
     verdict, detail, _ = check.compare(spark, oracle, name, SF)
-    assert verdict in ("ok", "rows"), detail
+    assert verdict == "ok", detail
 
 
 def test_entry(spark):
