@@ -128,3 +128,22 @@ def test_check_of_partitions(spark):
     assert drift_check(df, "test", "test").status == D.NO_DRIFT
     assert drift_check(df, "train", "test").status == D.ERROR  # train is empty
     assert drift_check(df, "nope", "test").status == D.ERROR
+
+
+@pytest.mark.parametrize("rows", ["1000000", "0"])
+def test_ks_of_infinite_and_equal_values(spark, rows):
+    inf = float("inf")
+    a = [-inf] * 5 + [0.0] * 20 + [-0.0] * 20 + [inf] * 30
+    b = [-inf] * 15 + [0.0] * 50 + [1.0] * 10 + [inf] * 5
+    spark.conf.set("brisa.directRows", rows)
+    try:
+        got = D.ks(samples(spark, [(v,) for v in a], [(v,) for v in b], "x double"), ["x"]).first()
+        assert got["statistic"] == pytest.approx(brute_ks(a, b), abs=1e-12)
+    finally:
+        spark.conf.unset("brisa.directRows")
+
+
+def test_chi_square_tail_has_no_seam():
+    for z in (-3.0, -1.0, 0.0, 1.0, 3.0):
+        x = [n + z * (2 * n) ** 0.5 for n in (D.MAX_TERMS, D.MAX_TERMS + 1)]
+        assert D.chi2_tail(x[0], D.MAX_TERMS) == pytest.approx(D.chi2_tail(x[1], D.MAX_TERMS + 1), abs=1e-4)

@@ -164,15 +164,16 @@ def test_beating_the_baseline(spark):
         E.require_gain(table(30.0, None), "baseline", "bosque")
 
 
-def test_worst_entity_and_maps(spark):
+def test_worst_entity_and_maps(spark, monkeypatch):
     df = spark.createDataFrame(
         [("a", 1.0, 2.0), ("b", 1.0, 4.0), ("b", 1.0, 2.0)], "station string, pm25 double, prediction double"
     )
     per = E.entity_metrics(df)
     assert E.worst_entity(per).first()["station"] == "b"
     assert E.as_maps(per, "station", "mae").first()["values"] == {"a": 1.0, "b": 2.0}
-    parts = E.as_maps(per, "station", "mae", rows_per_map=1).collect()
-    assert {k: v for r in parts for k, v in r["values"].items()} == {"a": 1.0, "b": 2.0}
+    monkeypatch.setattr(E, "MAX_MAP", 1)
+    with pytest.raises(Exception, match="more than 1 keys"):
+        E.as_maps(per, "station", "mae").collect()
 
 
 def test_one_pass_metrics_agree_with_separate_ones(spark):
