@@ -112,7 +112,84 @@ def op6_language_id(spark, sf_dir):
     return langid.identify_held_out(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
-@query("op1_quality_rules")
+def _op1_sql() -> str:
+    """Figures, votes and the EM rounds as a recursive query over the vote patterns."""
+    word, n = r"[^\x20\x09-\x0D]+", "n_words"
+    share = "coalesce({0} * 1.0e0 / nullif({1}, 0), 0)".format
+
+    def vote(drop: str, keep: str) -> str:
+        return f"CASE WHEN {drop} THEN -1 WHEN {keep} THEN 1 ELSE 0 END"
+
+    ends, length = share("n_ends", n), share("word_chars", n)
+    votes = [
+        vote(f"{share('n_symbols', n)} > 0.3", f"{share('n_symbols', n)} <= 0.01"),
+        vote(f"{share('n_letters', 'word_chars')} < 0.7", f"{share('n_letters', 'word_chars')} >= 0.85"),
+        vote(f"{share('n_upper', 'n_letters')} > 0.4", f"{share('n_upper', 'n_letters')} < 0.15"),
+        vote(f"{share('n_real', n)} < 0.8", f"{share('n_real', n)} >= 0.98"),
+        vote(f"{share('n_repeat_words', n)} > 0.2", f"{share('n_repeat_words', n)} <= 0.02"),
+        vote(f"{share('n_stutter', n)} > 0.2", f"{share('n_stutter', n)} <= 0.02"),
+        vote(f"{share('n_dup_lines', 'n_lines')} > 0.3", "n_dup_lines = 0"),
+        vote(f"n_words >= 40 AND ({ends} > 0.5 OR {ends} < 0.005)", f"{ends} BETWEEN 0.01 AND 0.3"),
+        vote(f"n_words > 0 AND ({length} > 14 OR {length} < 2)", f"{length} BETWEEN 3 AND 9"),
+    ]
+    rules, p = len(votes), quality.PSEUDO
+
+    def odds(prior: str, good: str, bad: str) -> str:
+        each = " + ".join(
+            f"CASE v[{j}] WHEN 0 THEN 0 WHEN -1 THEN ln({good}[{2 * j - 1}]) - ln({bad}[{2 * j - 1}]) "
+            f"ELSE ln({good}[{2 * j}]) - ln({bad}[{2 * j}]) END"
+            for j in range(1, rules + 1)
+        )
+        return f"1 / (1 + exp(-(ln({prior}) - ln(1 - {prior}) + {each})))"
+
+    def chances(weight: str, guess: tuple[float, float]) -> str:
+        def chance(j: int, k: int) -> str:
+            own = f"coalesce(sum({weight}) FILTER (v[{j}] = {2 * k - 1}), 0)"
+            cast = f"coalesce(sum({weight}) FILTER (v[{j}] <> 0), 0)"
+            bounded = f"greatest(({own} + {p} * {guess[k]}e0) / ({cast} + {p}), {quality.RAREST}e0)"
+            return f"least({bounded}, 1 - {quality.RAREST}e0)"
+
+        return "[" + ", ".join(chance(j, k) for j in range(1, rules + 1) for k in (0, 1)) + "]"
+
+    start = [list(g) * rules for g in (quality.GUESS_GOOD, quality.GUESS_BAD)]
+    first = ", ".join("CAST([" + ", ".join(f"{x}e0" for x in g) + "] AS DOUBLE[])" for g in start)
+    return rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}') AS w FROM documents),
+x AS (SELECT doc_id, i, w[i : i + 7] AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+again AS (SELECT doc_id, i FROM x QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1),
+r AS (
+    SELECT doc_id, sum(step) AS n FROM (
+        SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS step FROM again)
+    GROUP BY doc_id),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda y: regexp_matches(y, '{word}')) AS l FROM d),
+f AS (
+    SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+        len(l) AS n_lines, len(regexp_extract_all(t, '\p{{L}}')) AS n_letters, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper,
+        len(list_filter(w, lambda y: regexp_matches(y, '[\p{{L}}\p{{N}}]'))) AS n_real,
+        len(list_filter(w, lambda y, i: y = w[i + 1])) AS n_stutter,
+        len(list_filter(w, lambda y: regexp_matches(y, '[.?!]["'')\]]*$'))) AS n_ends
+    FROM d JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+b AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, [{", ".join(votes)}] AS v FROM f),
+patterns AS (SELECT v, count(*) AS n FROM b GROUP BY v),
+em(round, prior, good, bad) AS (
+    SELECT 0, {quality.START}e0, {first}
+    UNION ALL
+    SELECT round + 1, (sum(g) + {p * quality.START}) / (sum(n) + {p}),
+        {chances("g", quality.GUESS_GOOD)}, {chances("(n - g)", quality.GUESS_BAD)}
+    FROM (SELECT em.round, v, n, n * {odds("prior", "good", "bad")} AS g
+        FROM em, patterns WHERE em.round < {quality.ROUNDS}) GROUP BY round),
+model AS (SELECT prior, good, bad FROM em WHERE round = {quality.ROUNDS})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND {odds("prior", "good", "bad")} >= 0.5 AS kept
+FROM b, model
+"""
+
+
+@query("op1_quality_rules", _op1_sql())
 def op1_quality_rules(spark, sf_dir):
     table, _ = quality.judged(_read(spark, sf_dir), keep=["doc_id"])
     return table.select(

@@ -20,7 +20,7 @@ def run(spark, sf, name):
     return entry.queries()[name](spark, sf).collect()
 
 
-@pytest.mark.parametrize("name", ["op4_suffix_dedup", "op5_warc", "op9_mixing"])
+@pytest.mark.parametrize("name", ["op1_quality_rules", "op4_suffix_dedup", "op5_warc", "op9_mixing"])
 def test_sql(spark, sf, name):
     verdict, detail, _ = check.compare(spark, check.oracle_connection(sf), name, sf)
     assert verdict == "ok", detail
