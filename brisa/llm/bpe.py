@@ -23,40 +23,45 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most words a worker remembers.
-CACHED = 200_000
+#: Words of each of the two generations that a worker remembers.
+CACHED = 250_000
 #: Bytes of new words that one recursion takes on, and the rows it may pile up.
 TOGETHER = 150_000
 ROWS = 3_000_000
 
+# A row's key is its word and its place in it, so one order serves all words.
 _ROUNDS = """
-WITH RECURSIVE t(round, w, pos, tok) AS (
-    SELECT 0, w, pos, tok FROM start
+WITH RECURSIVE t(round, key, tok) AS (
+    SELECT 0, key, tok FROM start
     UNION ALL
-    (WITH p AS (
-        SELECT round, w, pos, tok, lead(tok) OVER byword AS next, row_number() OVER byword AS i
-        FROM t WHERE round < {rounds} WINDOW byword AS (PARTITION BY w ORDER BY pos)),
-    m AS (
-        SELECT p.w, p.i, g.rank, g.safe, min(g.rank) OVER (PARTITION BY p.w) AS least
-        FROM p JOIN merges g ON g.l = p.tok AND g.r = p.next),
+    (WITH p AS MATERIALIZED (
+        SELECT round, key >> 32 AS w, key, tok, lead(tok) OVER o AS next, lead(key) OVER o >> 32 AS nextw,
+            row_number() OVER o AS i
+        FROM t WHERE round < {rounds} WINDOW o AS (ORDER BY key)),
+    m AS MATERIALIZED (
+        SELECT p.w, p.i, g.rank, g.safe FROM p JOIN merges g ON g.l = p.tok AND g.r = p.next WHERE p.nextw = p.w),
+    least AS MATERIALIZED (SELECT w, min(rank) AS rank FROM m GROUP BY w),
     c AS (
-        SELECT w, i, rank, safe, row_number() OVER (PARTITION BY w ORDER BY i) AS nth FROM m WHERE rank = least),
-    best AS (
-        SELECT w, i, rank FROM (
+        SELECT m.w, m.i, m.rank, m.safe, row_number() OVER (PARTITION BY m.w ORDER BY m.i) AS nth
+        FROM m JOIN least l ON l.w = m.w AND l.rank = m.rank),
+    best AS MATERIALIZED (
+        SELECT i, rank FROM (
             SELECT *, row_number() OVER (PARTITION BY w, i - nth ORDER BY i) AS inrun FROM c)
-        WHERE nth = 1 OR (safe AND inrun % 2 = 1))
-    SELECT p.round + 1, p.w, p.pos, coalesce(a.rank, p.tok)
-    FROM p SEMI JOIN best s ON s.w = p.w
-        LEFT JOIN best a ON a.w = p.w AND a.i = p.i
-        ANTI JOIN best b ON b.w = p.w AND b.i + 1 = p.i))
-SELECT t.w, any_value(e.last) AS last, list(t.tok ORDER BY t.pos) AS ids
-FROM t JOIN (SELECT w, max(round) AS last FROM t GROUP BY w) e ON e.w = t.w AND e.last = t.round
-GROUP BY t.w
+        WHERE nth = 1 OR (safe AND inrun % 2 = 1)),
+    -- The left row of a pair becomes the merged token, the right one goes.
+    e AS (SELECT i, rank FROM best UNION ALL SELECT i + 1, NULL FROM best)
+    SELECT p.round + 1, p.key, CASE WHEN e.i IS NULL THEN p.tok ELSE e.rank END
+    FROM p SEMI JOIN least l ON l.w = p.w LEFT JOIN e ON e.i = p.i
+    WHERE e.i IS NULL OR e.rank IS NOT NULL))
+SELECT t.key >> 32 AS w, t.tok, e.last
+FROM t JOIN (SELECT key >> 32 AS w, max(round) AS last FROM t GROUP BY ALL) e
+    ON e.w = t.key >> 32 AND e.last = t.round
+ORDER BY t.key
 """
 
 _DECODE = """
 SELECT d.doc, string_agg(v.piece, '' ORDER BY d.at) AS hex
-FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS at FROM docs) d JOIN vocabulary v USING (id)
+FROM tokens d JOIN vocabulary v USING (id)
 GROUP BY d.doc
 """
 
@@ -93,7 +98,9 @@ class Coder:
         if missing:
             raise ValueError(f"the vocabulary has no token for the bytes {missing[:5]}")
         self.find = regex.compile(pattern).findall
-        self.words: dict[str, tuple[int, ...]] = {}
+        # Ids of words as bytes; what the older generation knows is taken over on use.
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         # One thread and bounded memory: Spark runs a coder on each core. Nothing spills
         # to a machine's disk.
@@ -111,67 +118,73 @@ class Coder:
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _contract(self, tokens: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-        """Contract the words' tokens to the end."""
-        done = {}
-        while tokens:
-            sizes = np.array([len(x) for x in tokens.values()])
-            rounds = int(max(4, min(64, ROWS // max(1, int(sizes.sum())))))
-            start = pa.table(
-                {
-                    "w": pa.array(np.repeat(np.array(list(tokens), np.int32), sizes)),
-                    "pos": pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])),
-                    "tok": pa.array(np.concatenate(list(tokens.values())).astype(np.int32)),
-                }
-            )
-            self.db.register("start", start)
+    def _contract(self, raw: list[bytes]) -> list[bytes]:
+        """Token ids of words, contracted to the end."""
+        out = [b""] * len(raw)
+        sizes = np.array([len(r) for r in raw])
+        word = np.repeat(np.arange(len(raw), dtype=np.int64), sizes)
+        token = self.bytes[np.frombuffer(b"".join(raw), np.uint8)]
+        while len(word):
+            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            place = np.arange(len(word)) - np.repeat(first, np.diff(np.concatenate((first, [len(word)]))))
+            rounds = int(max(4, min(64, ROWS // len(word))))
+            self.db.register("start", pa.table({"key": word << 32 | place, "tok": token}))
             found = self.db.execute(_ROUNDS.format(rounds=rounds)).fetchnumpy()
             self.db.unregister("start")
-            tokens = {}
-            for w, last, ids in zip(found["w"].tolist(), found["last"].tolist(), found["ids"], strict=True):
-                (tokens if last == rounds else done)[w] = np.asarray(ids, np.int32)
-        return done
+            open_ = found["last"] == rounds
+            word, token = found["w"][~open_], found["tok"][~open_].astype(np.int32)
+            cuts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1], [True]))) if len(word) else []
+            data = token.tobytes()
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                out[word[a]] = data[4 * a : 4 * b]
+            word, token = found["w"][open_].astype(np.int64), found["tok"][open_].astype(np.int32)
+        return out
 
     def learn(self, new: list[str]) -> None:
-        """Encode words and remember them."""
-        waiting: dict[int, np.ndarray] = {}
-        size = 0
-        for n, word in enumerate(new):
-            raw = word.encode("utf-8", "surrogatepass")
-            if (whole := self.ranks.get(raw)) is not None:
-                self.words[word] = (whole,)
+        """Encode words and remember them. A word that is a token is that token."""
+        todo, raw, size = [], [], 0
+        for word in new:
+            data = word.encode("utf-8", "surrogatepass")
+            whole = self.ranks.get(data)
+            if whole is not None:
+                self.words[word] = whole.to_bytes(4, "little")
                 continue
-            waiting[n] = self.bytes[np.frombuffer(raw, np.uint8)]
-            size += len(raw)
+            todo.append(word)
+            raw.append(data)
+            size += len(data)
             if size >= TOGETHER:
-                self._keep(new, waiting)
-                waiting, size = {}, 0
-        if waiting:
-            self._keep(new, waiting)
-
-    def _keep(self, new, waiting) -> None:
-        for n, ids in self._contract(waiting).items():
-            self.words[new[n]] = tuple(ids.tolist())
+                self.words.update(zip(todo, self._contract(raw), strict=True))
+                todo, raw, size = [], [], 0
+        if todo:
+            self.words.update(zip(todo, self._contract(raw), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.find(t) if t else [] for t in texts]
-        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.words]
-        if len(self.words) + len(new) > CACHED:
-            self.words.clear()
-            new = list(dict.fromkeys(chain.from_iterable(split)))
+        if len(self.words) > CACHED:
+            self.words, self.older = {}, self.words
+        known, older = self.words, self.older
+        new = []
+        for word in set(chain.from_iterable(split)).difference(known):
+            ids = older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                known[word] = ids
         if new:
             self.learn(new)
-        known = self.words
-        return [np.fromiter(chain.from_iterable([known[w] for w in ws]), np.int32) for ws in split]
-
-    def decode(self, ids: pa.Array) -> list[bytes]:
-        docs = pa.table({"doc": pa.array(np.arange(len(ids), dtype=np.int32)), "ids": ids})
-        self.db.register("docs", docs)
+        return [np.frombuffer(b"".join([known[w] for w in ws]), "<i4") for ws in split]
+
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
+        sizes = [len(x) for x in ids]
+        flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        rows = pa.table({"doc": doc, "at": np.arange(len(flat), dtype=np.int32), "id": flat.astype(np.int32)})
+        self.db.register("tokens", rows)
         found = self.db.execute(_DECODE).fetchall()
-        self.db.unregister("docs")
+        self.db.unregister("tokens")
         out = [b""] * len(ids)
-        for doc, text in found:
-            out[doc] = bytes.fromhex(text)
+        for d, text in found:
+            out[d] = bytes.fromhex(text)
         return out
 
 
@@ -203,6 +216,12 @@ def _slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield at, len(sizes)
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
+    flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+
+
 def vocabulary(path: str) -> bytes:
     """A rank file's bytes, read once by the driver: every task gets them."""
     with open(path, "rb") as file:
@@ -225,9 +244,7 @@ def encoded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", out:
             parts = []
             for a, b in _slices([len(v) if v else 0 for v in values], _BYTES):
                 parts += coder.encode(values[a:b])
-            offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
-            flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+            yield _lists(parts)
 
     return df.withColumn(out, encode(F.col(text)))
 
@@ -240,10 +257,10 @@ def decoded(df: DataFrame, ranks: bytes, pattern: str, ids: str = "ids", out: st
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = _coder(*shared.value)
         for batch in batches:
-            sizes = batch.value_lengths().fill_null(0).to_pylist()
+            values = [np.array(v or (), np.int32) for v in batch.to_pylist()]
             parts = []
-            for a, b in _slices(sizes, _BYTES // 4):
-                parts += coder.decode(batch.slice(a, b - a))
+            for a, b in _slices([len(v) for v in values], _BYTES // 4):
+                parts += coder.decode(values[a:b])
             yield pa.array(parts, pa.binary())
 
     return df.withColumn(out, decode(F.col(ids)))
@@ -254,10 +271,31 @@ def ids_text(ids: str = "ids") -> Column:
     return F.array_join(F.col(ids).cast("array<string>"), " ")
 
 
+def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
+    """Add ``ids`` and ``decoded`` as ``encoded`` and ``decoded`` do, in one worker: the
+    ids go to the decoder without a way over the executor."""
+    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = _coder(*shared.value)
+        for batch in batches:
+            values = batch.to_pylist()
+            ids, data = [], []
+            for a, b in _slices([len(v) if v else 0 for v in values], _BYTES):
+                some = coder.encode(values[a:b])
+                ids += some
+                data += coder.decode(some)
+            yield pa.StructArray.from_arrays([_lists(ids), pa.array(data, pa.binary())], ["ids", "decoded"])
+
+    return df.withColumn("__c", both(F.col(text))).withColumns(
+        {c: F.col(f"__c.{c}") for c in ("ids", "decoded")}
+    ).drop("__c")
+
+
 def round_trip(df: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
     """Encode each text and decode its ids: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
-    both = decoded(encoded(df.select("doc_id", text), ranks, pattern, text), ranks, pattern)
-    return both.select(
+    return coded(df.select("doc_id", text), ranks, pattern, text).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids_text().cast("binary"), 256).alias("ids_sha256"),
