@@ -497,9 +497,15 @@ def merged(spans) -> list[tuple[int, int]]:
 
 
 def without_repeats(
-    df: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, class_: int = CLASS
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    bucket: int = BUCKET,
+    class_: int = CLASS,
+    as_text: bool = False,
 ) -> DataFrame:
-    """Add ``kept`` (the remaining bytes), ``removed_bytes`` and ``removed_spans``.
+    """Add ``kept`` (the remaining bytes), ``removed_bytes`` and ``removed_spans``. With
+    ``as_text``, ``kept`` is a string, without characters that were cut in part.
 
     Removed is every byte that is covered by a string of WINDOW bytes which also begins
     anywhere else, in the same or another text, judged on the input; matches never
@@ -513,7 +519,9 @@ def without_repeats(
     spans = repeated_spans(base, bucket, class_)
     both = base.join(spans, (base["__k1"] == spans.k1) & (base["__k2"] == spans.k2), "left")
 
-    @F.arrow_udf("struct<kept: binary, n: long, spans: long>")
+    kind = "string" if as_text else "binary"
+
+    @F.arrow_udf(f"struct<kept: {kind}, n: long, spans: long>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
         for value, found in zip(texts, spans.to_pylist(), strict=True):
@@ -521,8 +529,11 @@ def without_repeats(
             if runs:
                 ends = [0, *[hi for _, hi in runs]]
                 data = b"".join(data[a:b] for a, b in zip(ends, [*[lo for lo, _ in runs], len(data)], strict=True))
+            if as_text:
+                data = data.decode("utf-8", "ignore")
             out.append({"kept": data, "n": sum(b - a for a, b in runs), "spans": len(runs)})
-        return pa.array(out, pa.struct([("kept", pa.binary()), ("n", pa.int64()), ("spans", pa.int64())]))
+        fields = [("kept", pa.string() if as_text else pa.binary()), ("n", pa.int64()), ("spans", pa.int64())]
+        return pa.array(out, pa.struct(fields))
 
     both = both.withColumn("__c", cut("__t", "__spans"))
     return both.select(
