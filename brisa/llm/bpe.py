@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brisa.llm.text import trim
+
 #: Words of each of the two generations that a worker remembers.
 CACHED = 250_000
 #: Bytes of new words that one recursion takes on, and the rows it may pile up.
@@ -89,7 +91,7 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
 class Coder:
     """A worker's DuckDB with the merge table and the vocabulary, and its word cache."""
 
-    def __init__(self, data: bytes, pattern: str):
+    def __init__(self, data: bytes, pattern: str, cached: int = CACHED):
         import duckdb
         import regex
 
@@ -98,6 +100,7 @@ class Coder:
         if missing:
             raise ValueError(f"the vocabulary has no token for the bytes {missing[:5]}")
         self.find = regex.compile(pattern).findall
+        self.cached = cached
         # Ids of words as bytes; what the older generation knows is taken over on use.
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -160,7 +163,7 @@ class Coder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.find(t) if t else [] for t in texts]
-        if len(self.words) > CACHED:
+        if len(self.words) > self.cached:
             self.words, self.older = {}, self.words
         known, older = self.words, self.older
         new = []
@@ -191,12 +194,13 @@ class Coder:
 _coders: dict[str, Coder] = {}
 
 
-def _coder(data: bytes, pattern: str) -> Coder:
+def _coder(data: bytes, pattern: str, cached: int = CACHED) -> Coder:
     """The worker's coder of a vocabulary; it outlives tasks."""
-    key = hashlib.md5(data + pattern.encode()).hexdigest()
+    key = hashlib.md5(data + f"{cached} {pattern}".encode()).hexdigest()
+    trim()
     if key not in _coders:
         _coders.clear()
-        _coders[key] = Coder(data, pattern)
+        _coders[key] = Coder(data, pattern, cached)
     return _coders[key]
 
 
@@ -271,10 +275,11 @@ def ids_text(ids: str = "ids") -> Column:
     return F.array_join(F.col(ids).cast("array<string>"), " ")
 
 
-def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
+def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached: int = CACHED) -> DataFrame:
     """Add ``ids`` and ``decoded`` as ``encoded`` and ``decoded`` do, in one worker: the
-    ids go to the decoder without a way over the executor."""
-    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))
+    ids go to the decoder without a way over the executor. ``cached`` is the number of
+    words of a generation that a worker remembers: memory against time."""
+    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern, cached))
 
     @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -293,9 +298,11 @@ def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> Data
     ).drop("__c")
 
 
-def round_trip(df: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
+def round_trip(
+    df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached: int = CACHED
+) -> DataFrame:
     """Encode each text and decode its ids: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
-    return coded(df.select("doc_id", text), ranks, pattern, text).select(
+    return coded(df.select("doc_id", text), ranks, pattern, text, cached).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids_text().cast("binary"), 256).alias("ids_sha256"),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm.components import components
-from brisa.llm.text import stored
+from brisa.llm.text import stored, trim
 from brisa.operators.sizes import join_checked
 
 SHINGLE = 4
@@ -218,6 +218,8 @@ def near_links(fps: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFram
         rest_k = np.concatenate([rest_k, *[x for x, _ in waiting]])
         rest_f = np.concatenate([rest_f, *[x for _, x in waiting]])
         yield from out(rest_k, rest_f)
+        del rest_k, rest_f, waiting
+        trim()
 
     return dealt.mapInArrow(linked, "u long, v long").distinct()
 

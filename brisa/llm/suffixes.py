@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.text import stored
+from brisa.llm.text import stored, trim
 from brisa.operators.sizes import join_checked
 
 WINDOW = 200
@@ -282,6 +282,8 @@ def repeated_suffixes(base: DataFrame, bucket: int = BUCKET) -> DataFrame:
                 pa.array(side[i]),
             ]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _FOUND.split(", ")])
+        del rows, r, columns
+        trim()
 
     rows = base.select("__k1", "__k2", "__t").mapInArrow(dealt, "bucket int, rows binary")
     found = rows.repartitionById(len(starts) + 1, F.col("bucket")).mapInArrow(sorted_, _FOUND)
@@ -428,6 +430,8 @@ def _compared(contexts: DataFrame) -> DataFrame:
             size = len(table) - whole
         if size:
             yield settle(pa.Table.from_batches(waiting))
+        waiting = []
+        trim()
 
     return contexts.repartition("kh").sortWithinPartitions("kh").mapInArrow(spans, _SPAN)
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +52,17 @@ def settled(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def trim() -> None:
+    """Give memory that a worker has freed back to the machine. Workers outlive tasks and
+    serve one operator after the other, so what each left would add up."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table below the shared folder and read it back: the lineage is cut
     and a lost executor costs nothing that came before."""
