@@ -260,8 +260,13 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = B
 def leaders(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
     """One row of each group of near duplicates: the one with the smallest key (nulls
     last), of several with that key the one whose text has the smallest hash."""
+    return firsts(df, groups(df, key, text, bits), key, text)
+
+
+def firsts(df: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """Of each component of ``found`` (key, mark, component) the row that ``leaders`` says."""
     place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("mark").alias("mark"))
-    best = groups(df, key, text, bits).groupBy("component").agg(F.min(place).alias("at")).select("at.key", "at.mark")
+    best = found.groupBy("component").agg(F.min(place).alias("at")).select("at.key", "at.mark")
     best = best.withColumnRenamed("mark", "__best")
     marked = df.withColumn("__mark", F.xxhash64(text))
     same = marked[key].eqNullSafe(best.key) & (marked["__mark"] == best["__best"])
