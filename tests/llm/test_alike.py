@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -72,3 +73,42 @@ def test_a_repeated_line_is_no_near_copy(spark, sf, block):
     assert got == leaders(texts) == set(range(12))
     if block == alike.BLOCK:
         assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, table(spark, texts), sf).collect()} == got
+
+
+def scattered(texts=60):
+    """Texts of 100 to 1,000 words and a copy of each with 1 to 5 % of the words replaced."""
+    rng = random.Random(11)
+    out = []
+    for i in range(texts):
+        words = prose(rng, (100, 300, 1_000)[i % 3])
+        edits = rng.sample(range(len(words)), max(1, len(words) * (1 + i % 5) // 100))
+        out += [" ".join(words), " ".join("edit" if k in edits else w for k, w in enumerate(words))]
+    return out
+
+
+@pytest.mark.parametrize("block", [alike.BLOCK, 1])
+def test_copies_with_scattered_edits(spark, sf, block):
+    texts = scattered()
+    want = leaders(texts)
+    fps = [simhash.fingerprint(t) for t in texts]
+    gone = [i for i in range(len(texts)) if i not in want]
+    assert len(gone) > 20
+    assert sum((fps[i] ^ fps[i - 1]).bit_count() > simhash.BITS for i in gone) > len(gone) / 2  # too far for fingerprints
+    assert {r.doc_id for r in alike.leaders(table(spark, texts), block=block).collect()} == want
+
+
+def test_recall_of_bands():
+    """Pairs at the least similarity share a band."""
+    rng = np.random.default_rng(2)
+    for _ in range(500):
+        sets = rng.integers(0, 2**63, 90, dtype=np.uint64)
+        a, b = alike.bands(sets[:81]), alike.bands(sets[9:])  # 72 of 90 shared
+        assert (a == b).any()
+    assert not len(alike.bands(alike.shingles("")))
+
+
+def test_every_near_copy_of_the_table(spark, sf):
+    docs = sorted(brute.documents(sf), key=lambda d: d["doc_id"])
+    kept = {docs[i]["doc_id"] for i in leaders([d["text"] for d in docs])}
+    got = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    assert {r.doc_id for r in got.collect()} == kept
