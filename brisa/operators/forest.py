@@ -153,12 +153,16 @@ def _forest(spec: S.ReadingSpec, seed: int, overrides: dict) -> RandomForestRegr
     )
 
 
-def _labelled(train: DataFrame, spec: S.ReadingSpec, rows: int | None, key) -> DataFrame:
-    """Training rows with a double target; exactly ``rows`` of them if a bound is given."""
-    train = train if rows is None else sample_rows(train, rows, key or spec.key)
+def _labelled(train: DataFrame, spec: S.ReadingSpec) -> DataFrame:
+    """Training rows with a double target."""
     return train.withColumn(spec.target, F.col(spec.target).cast("double"))
 
 
+def _grown_from(train: DataFrame, spec: S.ReadingSpec, rows: int | None, key) -> DataFrame:
+    """Training rows that trees are grown from; exactly ``rows`` of them if a bound is given."""
+    return train if rows is None else sample_rows(train, rows, key or spec.key)
+
+
 def fit_forest(
     train: DataFrame,
     spec: S.ReadingSpec = S.READINGS,
@@ -170,12 +174,13 @@ def fit_forest(
 ) -> Imputed:
     """Fit fills, encoding and forest on the training rows; overrides win.
 
-    ``rows`` bounds the labelled rows that are learned from: that many are drawn by a
-    hash of ``key`` (default: the key of the spec). All by default.
+    Fills and encoding are learned from all rows. ``rows`` bounds those that trees are
+    grown from: that many are drawn by a hash of ``key`` (default: the key of the spec).
+    All by default.
     """
-    train = _labelled(train, spec, rows, key)
+    train = _labelled(train, spec)
     encoder = fit_encoder(train, spec)
-    forest = _forest(spec, seed, overrides).fit(encoder.encode(train))
+    forest = _forest(spec, seed, overrides).fit(encoder.encode(_grown_from(train, spec, rows, key)))
     return replace(encoder, pipeline=PipelineModel([*encoder.pipeline.stages, forest]))
 
 
@@ -211,11 +216,11 @@ def tune_forest(
     Fills and encoding are fitted once and both tables' vectors kept for all trials; a
     trial only grows its forest. Trials are whole Spark jobs; a few are kept in flight
     at a time. ``valid`` is the judge; the test partition plays no part. ``rows`` and
-    ``key`` bound the labelled rows as in ``fit_forest``.
+    ``key`` bound the rows that trees are grown from as in ``fit_forest``.
     """
-    train = _labelled(train, spec, rows, key)
+    train = _labelled(train, spec)
     encoder = fit_encoder(train, spec)
-    seen = encoder.encode(train).select(FEATURES, spec.target).persist()
+    seen = encoder.encode(_grown_from(train, spec, rows, key)).select(FEATURES, spec.target).persist()
     later = encoder.encode(valid).select(FEATURES, spec.entity, F.col(spec.target).cast("double")).persist()
     proposals = draw_trials(trials, seed, space)
 

@@ -272,7 +272,7 @@ def one_hot(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", *cells, *numbers)
 
 
-# Bounds on the labelled rows that forests learn from here, drawn by a hash of event_id.
+# Bounds on the rows that trees are grown from here, drawn by a hash of event_id; fills and levels come from all.
 FIT_ROWS = 500
 SEARCH_ROWS = 150
 

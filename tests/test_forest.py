@@ -110,3 +110,12 @@ def test_whole_flow(spark, tmp_path):
         alias="candidate", as_of=Q.AS_OF, moment=dt.datetime(2024, 2, 2),
     )
     assert batch.startswith("produccion-") and summary.first()["n_rows"] > 100
+
+
+def test_a_bound_on_rows_leaves_fills_and_levels_whole(model_frame):
+    rare = model_frame.withColumn("wd", F.when(F.col("mes") == 7, "rare").otherwise(F.col("wd")))
+    whole = R.fit_encoder(rare)
+    model = R.fit_forest(rare, rows=3, key="CO", **FAST)
+    assert (model.numeric, model.categorical) == (whole.numeric, whole.categorical)
+    assert model.pipeline.stages[0].labelsArray == whole.pipeline.stages[0].labelsArray
+    assert model.pipeline.stages[-1].getNumTrees == FAST["numTrees"]
