@@ -4,12 +4,14 @@ Spaces end a piece and line breaks stand alone in the vocabularies this accepts,
 a text's token count is the sum over its pre-tokens (a run of spaces with the word
 after it). Nearly all pre-tokens of a corpus are few distinct ones: a bounded table of
 frequent pre-tokens and their lengths is broadcast, misses are encoded once per worker
-and kept in a bounded cache. No pre-token is ever shuffled.
+and kept in a bounded cache. The frequent ones are counted over all texts: a task's
+bounded summary is all that is shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,11 +25,14 @@ from brisa.llm.text import n_bytes
 
 _SPACE = "▁"
 _PRETOKEN = re.compile(f"{_SPACE}*[^{_SPACE}\n]+|{_SPACE}+")
+_SUMMARY = pa.schema([("w", pa.string()), ("n", pa.int64())])
 
 #: Most entries of the broadcast table.
 FREQUENT = 32_768
-#: Most texts the frequent pre-tokens are learnt from; only speed depends on them.
-SAMPLE_ROWS = 2_000
+#: Pre-tokens a task counts side by side; of more, the rarer half is forgotten.
+COUNTED = 4 * FREQUENT
+#: Tasks that merge the summaries, and so the tables that the driver gets.
+_MERGED = 8
 #: Most pre-tokens a worker remembers beside the table.
 CACHED = 300_000
 #: Texts whose misses are encoded in one call.
@@ -76,26 +81,38 @@ def _lengths(sp, found: list[str]) -> list[int]:
     ]
 
 
-def frequent_lengths(df: DataFrame, text: str, model: bytes) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens in a bounded sample of the texts."""
-    rows = df.count()
-    if not rows:
-        return {}
-    sample = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull())
-    sample = sample.sample(min(1.0, SAMPLE_ROWS / rows), seed=7).coalesce(8)
+def frequent_pretokens(df: DataFrame, text: str) -> list[str]:
+    """The most frequent pre-tokens of all texts, sorted. A task counts at most ``COUNTED``
+    of them and hands on its ``FREQUENT`` first, so that one which is rare in every task
+    may be missed; only speed depends on that."""
+    rows = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull())
 
     def tops(batches):
         seen: Counter[str] = Counter()
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                seen.update(pretokens(value))
+                if value:
+                    seen.update(pretokens(value))
+                if len(seen) > COUNTED:
+                    seen = Counter(dict(seen.most_common(COUNTED // 2)))
         best = seen.most_common(FREQUENT)
-        yield pa.RecordBatch.from_pydict({"w": [w for w, _ in best], "n": [n for _, n in best]})
+        yield pa.RecordBatch.from_pydict({"w": [w for w, _ in best], "n": [n for _, n in best]}, _SUMMARY)
+
+    def first(batches):
+        best: list[tuple[int, str]] = []
+        for batch in batches:
+            counts = zip(batch.column(1).to_pylist(), batch.column(0).to_pylist(), strict=True)
+            best = heapq.nlargest(FREQUENT, [*best, *counts])
+        yield pa.RecordBatch.from_pydict({"w": [w for _, w in best], "n": [n for n, _ in best]}, _SUMMARY)
 
-    total: Counter[str] = Counter()
-    for row in sample.mapInArrow(tops, "w string, n long").collect():  # at most 8 * FREQUENT
-        total[row.w] += row.n
-    best = sorted(w for w, _ in total.most_common(FREQUENT))
+    merged = rows.mapInArrow(tops, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    found = merged.coalesce(_MERGED).mapInArrow(first, "w string, n long").collect()  # at most _MERGED * FREQUENT
+    return sorted(r.w for r in heapq.nlargest(FREQUENT, found, key=lambda r: (r.n, r.w)))
+
+
+def frequent_lengths(df: DataFrame, text: str, model: bytes) -> dict[str, int]:
+    """Lengths of the most frequent pre-tokens."""
+    best = frequent_pretokens(df, text)
     return dict(zip(best, _lengths(_processor(model), best), strict=True)) if best else {}
 
 

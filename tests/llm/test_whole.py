@@ -1,9 +1,12 @@
 """Nothing is cut: letters, languages, splitters, frequent pre-tokens."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from brisa.llm import tokens
 
 
 def test_prediction_corrects_a_given_language(spark, sf):
@@ -14,3 +17,16 @@ def test_prediction_corrects_a_given_language(spark, sf):
     changed = [d for d in got if given[d][0] != given[d][1]]
     assert len(changed) > 5
     assert np.mean([got[d] == given[d][0] for d in changed]) > 0.9
+
+
+def test_frequent_pretokens_of_all_texts(spark, sf, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(tokens, "FREQUENT", 50)
+    monkeypatch.setattr(tokens, "COUNTED", 4_000)
+    texts = [" ".join(f"x{rng.randrange(10**6)}" for _ in range(20)) for _ in range(6_000)]
+    texts[4_000] = "seldom " * 3_000  # frequent, and all in one text of many
+    texts = [t + " often" for t in texts] + [None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    found = tokens.frequent_pretokens(df, "text")
+    assert {"▁seldom", "▁often"} <= set(found) and len(found) <= 50
+    assert tokens.frequent_pretokens(df.where("false"), "text") == []
