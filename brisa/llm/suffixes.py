@@ -37,6 +37,8 @@ _GRAMS = WINDOW - GRAM + 1
 BUCKET = 250_000
 MAX_BUCKETS = 100_000
 _SAMPLED = 40
+#: Fewest documents (expected number) that splitters are sampled from, if there are so many.
+_SAMPLED_DOCS = 400
 #: Suffixes of one leading token that one task compares.
 CLASS = 16_384
 _BLOCK = 1 << 19
@@ -189,31 +191,45 @@ def _keys(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.withColumns({"__k1": F.xxhash64(F.col(key), F.lit(1)), "__k2": F.shiftrightunsigned(mark, 33).cast("int")})
 
 
-def _splitters(base: DataFrame, buckets: int, suffixes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sampled splitters; which suffixes are sampled only matters to the balance."""
+def _shares(share: float, docs: int) -> tuple[float, float]:
+    """Share of the documents, and of their suffixes, that give ``share`` of all suffixes."""
+    # A few documents give too few leading tokens: take a share of documents, then of theirs.
+    wide = 1.0 if share >= 0.1 else min(1.0, max(share * 8, _SAMPLED_DOCS / max(1, docs)))
+    return wide, min(1.0, share / wide)
+
+
+def _splitters(base: DataFrame, buckets: int, suffixes: int, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled splitters; which suffixes are sampled only matters to the balance. Where
+    fewer come than buckets need, a larger share is taken, up to all suffixes."""
     share = min(1.0, _SAMPLED * buckets / max(1, suffixes))
+    while True:
+        found = _sampled(base, *_shares(share, n_docs))  # about _SAMPLED * buckets rows
+        if len(found) >= buckets or share >= 1:
+            break
+        share = min(1.0, share * 8)
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, "S24")
+    table = np.array(found, np.int64).view(np.uint64)
+    key = np.sort(_order_key(table[:, 0].copy(), table[:, 1].copy(), table[:, 2].copy()))
+    starts = np.unique(key[[i * len(key) // buckets for i in range(1, buckets)]])
+    wide = np.frombuffer(b"".join(s.ljust(24, b"\0") for s in starts.tolist()), ">u8").reshape(-1, 3)
+    return wide[:, 0].astype(np.uint64), starts
+
+
+def _sampled(base: DataFrame, wide: float, share: float) -> list:
+    """Tokens of a share of the suffixes of a share of the documents."""
 
     def sampled(batches):
         for batch in batches:
             out = [r for b in _batch_rows(batch) for r in b]
             rows = np.concatenate(out) if out else np.empty(0, _ROW)
             tie = _tie(rows)
-            chosen = tie < np.uint64(int(share * (2**64 - 1)))
+            chosen = tie <= np.uint64(min(2**64 - 1, int(share * 2**64)))
             columns = [rows["kh"][chosen], rows["ch"][chosen], tie[chosen]]
             yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], ["kh", "ch", "tie"])
 
-    # A few documents give too few leading tokens: take a share of documents, then of theirs.
-    docs = base.sample(min(1.0, share * 8), seed=11) if share < 0.1 else base
-    if share < 0.1:
-        share = 1 / 8
-    found = docs.mapInArrow(sampled, "kh long, ch long, tie long").collect()  # about _SAMPLED * buckets rows
-    if not found:
-        return np.empty(0, np.uint64), np.empty(0, "S24")
-    table = np.array(found, np.int64).view(np.uint64)
-    key = np.sort(_order_key(table[:, 0].copy(), table[:, 1].copy(), table[:, 2].copy()))
-    starts = np.unique(key[[i * len(key) // buckets for i in range(1, buckets)]])
-    wide = np.frombuffer(b"".join(s.ljust(24, b"\0") for s in starts.tolist()), ">u8").reshape(-1, 3)
-    return wide[:, 0].astype(np.uint64), starts
+    docs = base.sample(wide, seed=11) if wide < 1 else base
+    return docs.mapInArrow(sampled, "kh long, ch long, tie long").collect()
 
 
 def _batch_rows(batch) -> Iterator[list[np.ndarray]]:
@@ -229,10 +245,11 @@ _FOUND = "k1 long, k2 int, x long, alo int, ahi int, kh long, ch long, status in
 def repeated_suffixes(base: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Suffixes that have an equal leading token elsewhere, with their status."""
     spark = base.sparkSession
-    size = base.agg(F.sum(F.octet_length("__t")).alias("b")).first().b or 0
+    total = base.agg(F.sum(F.octet_length("__t")).alias("b"), F.count("*").alias("n")).first()
+    size = total.b or 0
     suffixes = 2 * size // (_GRAMS + 1)
     buckets = min(MAX_BUCKETS, 1 + suffixes // bucket)
-    heads, starts = _splitters(base, buckets, suffixes) if buckets > 1 else _splitters(base.limit(0), 1, 0)
+    heads, starts = _splitters(base, buckets, suffixes, total.n) if buckets > 1 else _splitters(base.limit(0), 1, 0, 0)
 
     def dealt(batches):
         for batch in batches:

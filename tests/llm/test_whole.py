@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brisa.llm import tokens
+from brisa.llm import suffixes, tokens
 
 
 def test_prediction_corrects_a_given_language(spark, sf):
@@ -19,6 +19,16 @@ def test_prediction_corrects_a_given_language(spark, sf):
     assert np.mean([got[d] == given[d][0] for d in changed]) > 0.9
 
 
+def test_few_long_documents_have_splitters(spark, sf):
+    rng = np.random.default_rng(4)
+    rows = [(i, "".join(map(chr, rng.integers(97, 123, 400_000)))) for i in range(20)]
+    base = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    base = suffixes._keys(base, "doc_id", "text").withColumn("__t", F.col("text").cast("binary"))
+    found = suffixes.repeated_suffixes(base, bucket=20_000)
+    sizes = [r.bucket for r in found.select("bucket").distinct().collect()]
+    assert len(sizes) > 3
+
+
 def test_frequent_pretokens_of_all_texts(spark, sf, monkeypatch):
     rng = random.Random(8)
     monkeypatch.setattr(tokens, "FREQUENT", 50)
