@@ -9,8 +9,8 @@ prototypes, has the largest cosine with the document's vector less the same mean
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DIMENSIONS = 1_024
-#: Letters fold into so many vectors; n-grams are numbered by their letters.
-LETTERS = 512
+#: Places of an n-gram's number: its letters' code points (21 bits each, 0 is a gap).
+LETTERS = 1 << 21
 N = 3
 #: Most labelled texts of one language that profiles are learnt from (expected number).
 FIT_ROWS = 4_000
@@ -31,22 +31,44 @@ _tables: dict[str, np.ndarray] = {}
 
 
 def _letter_table() -> np.ndarray:
-    """Letter number of every code point of the basic plane; 0 for what is no letter."""
+    """Lower-case code point of every letter of the basic plane; 0 for what is no letter."""
     if "letters" not in _tables:
-        table = np.zeros(0x10000, np.uint16)
+        table = np.zeros(0x10000, np.uint32)
         for code in range(0x10000):
             if unicodedata.category(chr(code))[0] == "L":
-                table[code] = 1 + zlib.crc32(chr(code).lower()[0].encode("utf-8", "surrogatepass")) % (LETTERS - 1)
+                table[code] = ord(chr(code).lower()[0])
         _tables["letters"] = table
     return _tables["letters"]
 
 
-def _vectors() -> np.ndarray:
-    """The letters' random vectors, rotated once for every place in an n-gram."""
-    if "vectors" not in _tables:
-        base = np.random.default_rng(20240101).integers(0, 2, (LETTERS, DIMENSIONS), dtype=np.int8) * 2 - 1
-        _tables["vectors"] = np.stack([np.roll(base, N - 1 - i, axis=1) for i in range(N)])
-    return _tables["vectors"]
+_letters: dict[int, int] = {}
+#: Most letters' vectors a worker keeps.
+_LETTERS = 8_192
+_known: np.ndarray | None = None
+
+
+def _seeded(letter: int) -> np.ndarray:
+    """Random vector of a letter, always the same."""
+    bits = hashlib.shake_128(b"letter %d" % letter).digest(DIMENSIONS // 8)
+    return np.unpackbits(np.frombuffer(bits, np.uint8)).view(np.int8) * 2 - 1
+
+
+def _vectors(letters: np.ndarray) -> np.ndarray:
+    """Vectors of letters, from the worker's bounded store."""
+    global _known
+    if _known is None:
+        _known = np.empty((_LETTERS, DIMENSIONS), np.int8)
+    distinct, at = np.unique(letters, return_inverse=True)
+    if len(distinct) > _LETTERS:
+        return np.stack([_seeded(x) for x in distinct.tolist()])[at]
+    new = [x for x in distinct.tolist() if x not in _letters]
+    if len(_letters) + len(new) > _LETTERS:
+        _letters.clear()
+        new = distinct.tolist()
+    for x in new:
+        _known[len(_letters)] = _seeded(x)
+        _letters[x] = len(_letters)
+    return _known[np.array([_letters[x] for x in distinct.tolist()], np.int64)[at]]
 
 
 _grams: dict[int, int] = {}
@@ -74,11 +96,10 @@ def _gram_rows(grams: np.ndarray) -> np.ndarray:
 
 
 def _bind(grams: np.ndarray) -> np.ndarray:
-    places = _vectors()
     out = None
     for i in range(N):
-        letter = (grams // LETTERS ** (N - 1 - i)) % LETTERS
-        out = places[i][letter] if out is None else out * places[i][letter]
+        place = np.roll(_vectors(grams // LETTERS ** (N - 1 - i) % LETTERS), N - 1 - i, axis=1)
+        out = place if out is None else out * place
     return out
 
 
@@ -89,7 +110,7 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     if len(codes) and codes.max() > 0xFFFF:
         for i in np.flatnonzero(codes > 0xFFFF):
             c = chr(codes[i])
-            letters[i] = 1 + zlib.crc32(c.lower().encode()) % (LETTERS - 1) if c.isalpha() else 0
+            letters[i] = ord(c.lower()[0]) if c.isalpha() else 0
     letters = np.concatenate(([0], letters, [0])).astype(np.int64)
     letters = letters[(letters != 0) | np.concatenate(([True], letters[:-1] != 0))]
     if len(letters) < N or not letters.any():

@@ -6,7 +6,23 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brisa.llm import suffixes, tokens
+from brisa.llm import langid, suffixes, tokens
+
+
+def test_every_letter_has_a_vector(monkeypatch):
+    han = [chr(0x4E00 + i) for i in range(2_000)]
+    assert len({langid.vector(c * 3).tobytes() for c in han}) == len(han)
+    assert np.array_equal(langid.vector("ÄBC"), langid.vector("äbc"))
+    want = langid.vector("".join(han))
+    for most in (1_000, 3_000):  # the store of letters overflows: in one text, then between texts
+        monkeypatch.setattr(langid, "_LETTERS", most)
+        monkeypatch.setattr(langid, "_known", None)
+        langid._letters.clear()
+        langid._grams.clear()
+        langid.vector("".join(chr(0xAC00 + i) for i in range(2_000)))
+        assert np.allclose(langid.vector("".join(han)), want)
+    langid._letters.clear()
+    langid._grams.clear()
 
 
 def test_prediction_corrects_a_given_language(spark, sf):
