@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brisa.llm import bpe, langid, mixing, quality, shards, simhash, suffixes, tokens, warc, winnow
+from brisa.llm import bpe, langid, mixing, packing, quality, runs, shards, simhash, suffixes, tokens, turns, warc, winnow
 from brisa.llm.text import n_bytes, settled, word_count
 from brisa.queries.registry import query
 from brisa.session import scratch_path
@@ -248,6 +248,124 @@ def op4_suffix_dedup(spark, sf_dir):
     )
 
 
+# CRC-32 of a number's decimal digits, bit by bit.
+_CRC = """xor(4294967295::BIGINT, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+_OP11_SQL = rf"""
+WITH t AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC.format("doc_id")} AS h
+    FROM documents),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM t),
+b AS (
+    SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i:
+            w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+        ELSE w END AS w FROM a),
+-- A run has six words in a row that stand again one period later.
+x AS (SELECT doc_id, i, w[i + 1 : i + 6] AS six FROM (SELECT doc_id, w, unnest(range(len(w) - 5)) AS i FROM b)),
+m AS (
+    SELECT x.doc_id, x.i AS k, y.i - x.i AS q FROM x JOIN x AS y ON x.doc_id = y.doc_id AND x.six = y.six AND x.i < y.i),
+s AS (
+    SELECT doc_id, q, min(k) AS start, max(k) + 6 - min(k) + q AS length
+    FROM (SELECT *, k - row_number() OVER (PARTITION BY doc_id, q ORDER BY k) AS stretch FROM m)
+    GROUP BY doc_id, q, stretch),
+r AS (
+    SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= greatest(12, 2 * q) GROUP BY ALL),
+d AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+o AS (
+    SELECT doc_id, count(*) AS n_runs, max_by((start, length, period), (length, -start, -period)) AS best,
+        string_agg(concat_ws(',', start, length, period) || chr(10), '' ORDER BY start, period) AS lines
+    FROM r GROUP BY doc_id),
+k AS (
+    SELECT doc_id, string_agg(w[i + 1], ' ' ORDER BY i) AS kept
+    FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM b) ANTI JOIN d USING (doc_id, i) GROUP BY doc_id)
+SELECT b.doc_id, coalesce(n_runs, 0) AS n_runs, best[1] AS start, best[2] AS length, best[3] AS period,
+    (1000 * best[2]) // best[3] AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+    sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM b LEFT JOIN o USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op11_periodic_runs", _OP11_SQL)
+def op11_periodic_runs(spark, sf_dir):
+    docs = _read(spark, sf_dir).select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.withColumns({"h": h, "n": word_count(F.col("text")), "g": F.floor(h / 10)})
+    # The case of the tenth of the documents that are made periodic.
+    a, n, g = F.col("g") % F.col("n"), F.col("n"), F.col("g")
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    place = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+    w = F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")
+    made = F.array_join(F.transform(place, lambda i: F.get(w, i.cast("int"))), " ")
+    chosen = (F.col("h") % 10 == 0) & (n > 0)
+    docs = docs.select("doc_id", F.when(chosen, made).otherwise(F.col("text")).alias("text"))
+    found = runs.periodic_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    order = F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period))
+    best = F.array_max(order)  # struct(length, col2, col3) under their own names below
+    found = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.cast("struct<length: long, start: long, period: long>").alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+_OP12_SQL = f"""
+WITH t AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+    FROM conversations),
+l AS (SELECT c, list((role, text) ORDER BY pos) AS turns FROM t GROUP BY c),
+h AS (SELECT *, c - c % 5 AS base, {_CRC.format("c")} % 9 AS h FROM l),
+r AS (
+    SELECT h.c, list_concat(coalesce(b.turns[1 : h.h], []), coalesce(h.turns[h.h + 1 :], [])) AS turns
+    FROM h LEFT JOIN l AS b ON b.c = h.base),
+p AS (SELECT c, d, turns[1 : d] AS node, len(turns) = d AS ends FROM r, unnest(range(len(turns) + 1)) AS x(d)),
+n AS (
+    SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, bool_and(ends) AS leaf,
+        (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE strlen(any_value(node)[d][2]) END AS saved,
+        coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ended
+    FROM p GROUP BY node, d),
+up AS (SELECT node[1 : x.d] AS node, leaf, saved FROM n, unnest(range(n.d + 1)) AS x(d)),
+below AS (SELECT node, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM up GROUP BY node),
+kids AS (SELECT node[1 : d - 1] AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL)
+SELECT n.conv_id, n.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, n.n_convs,
+    coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, sha256(n.ended) AS ends_sha256
+FROM n JOIN below ON below.node = n.node
+LEFT JOIN kids ON kids.node = n.node
+LEFT JOIN n AS parent ON n.d > 0 AND parent.node = n.node[1 : n.d - 1]
+"""
+
+
+@query("op12_prefix_trie", _OP12_SQL)
+def op12_prefix_trie(spark, sf_dir):
+    return turns.prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+@query("op13_packing")
+def op13_packing(spark, sf_dir):
+    packed = packing.pack(_read(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
