@@ -59,6 +59,66 @@ def scan_csv_union(spark, sf_dir):
     return found.select(*RAW_ROWS.split(", "))
 
 
+#: What is wrong with a raw line, by event.
+_DEFECT = (
+    "CASE WHEN event_id % 40 = 1 THEN 'short' WHEN event_id % 40 = 2 THEN 'long' WHEN event_id % 40 = 3 THEN 'value:CO' "
+    "WHEN event_id % 40 = 4 THEN 'value:year,RAIN' END"
+)
+_LINE = {
+    "No": "CAST(event_id AS INT)", "year": "CASE WHEN event_id % 40 = 4 THEN '20x4' ELSE CAST(year(datetime) AS STRING) END",
+    "month": "month(datetime)", "day": "day(datetime)", "hour": "hour(datetime)", "PM2.5": "pm25", "PM10": "PM10",
+    "SO2": "SO2", "NO2": "NO2", "CO": "CASE WHEN event_id % 40 = 3 THEN 'bad' ELSE CAST(CO AS STRING) END", "O3": "O3",
+    "TEMP": "TEMP", "PRES": "PRES", "DEWP": "DEWP",
+    "RAIN": "CASE WHEN event_id % 40 = 4 THEN '1,5' ELSE CAST(RAIN AS STRING) END", "wd": "wd", "WSPM": "WSPM", "station": "station",
+}
+
+
+def _raw_lines(spark, sf_dir):
+    """Raw files with rows that are cut short, too long, or hold cells that are no numbers;
+    a quoted comma does not make a row long. Every second station's columns are turned."""
+    r = Q.readings(spark, sf_dir)
+    folder = scratch_path(spark, "lines")
+    for turned in (False, True):
+        names = list(reversed(_LINE)) if turned else list(_LINE)
+        cells = [F.coalesce(F.expr(_LINE[c]).cast("string"), F.lit("NA")) for c in names]
+        cells = [F.when(x.contains(","), F.concat(F.lit('"'), x, F.lit('"'))).otherwise(x) for x in cells]
+        text = F.concat_ws(",", *cells)
+        text = F.when(F.col("event_id") % 40 == 1, F.concat_ws(",", *cells[:-1])).otherwise(text)
+        text = F.when(F.col("event_id") % 40 == 2, F.concat(text, F.lit(",more"))).otherwise(text)
+        own = r.where((F.substring("station", 2, 2).cast("int") % 2 == 1) == turned)
+        lines = own.select(text.alias(",".join(names)))
+        lines.write.options(header=True, sep="\u0001", quote="").csv(f"{folder}/{turned}")
+    return A.ingest_csv(spark, folder, scratch_path(spark, "ingested"), glob="part-*.csv")
+
+
+@query(
+    "scan_csv_rejects",
+    f"WITH {Q.R}, t AS (SELECT event_id, {_DEFECT} AS reason, substr(station, 2)::INT % 2 = 1 AS turned FROM r) "
+    "SELECT CASE WHEN turned AND reason = 'short' THEN NULL ELSE CAST(event_id AS INT) END AS no, turned, reason FROM t "
+    "WHERE reason IS NOT NULL",
+)
+def scan_csv_rejects(spark, sf_dir):
+    """Rows that do not fit, with their reasons. A turned line that is short lacks its number."""
+    _, rejected = _raw_lines(spark, sf_dir)
+    turned = F.col("line").like("S%")
+    place = F.when(turned, 17).otherwise(0)
+    # A quoted comma shifts the cells after it.
+    bare = F.regexp_replace("line", '"[^"]*"', "q")
+    no = F.get(F.split(bare, ","), place).try_cast("int")
+    return rejected.select(no.alias("no"), turned.alias("turned"), "reason")
+
+
+@query(
+    "scan_csv_sound",
+    f"WITH {Q.R} SELECT CAST(event_id AS INT) AS No, date_trunc('hour', datetime) AS datetime, "
+    f"station, wd, pm25, PM10, SO2, NO2, CO, O3, TEMP, PRES, DEWP, RAIN, WSPM FROM r WHERE {_DEFECT} IS NULL",
+)
+def scan_csv_sound(spark, sf_dir):
+    """The rows beside them keep all their cells."""
+    sound, _ = _raw_lines(spark, sf_dir)
+    return A.readings_from_raw(sound).select(*RAW_ROWS.split(", "))
+
+
 @query(
     "snapshot_roundtrip",
     f"WITH {Q.L} SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, flag FROM l",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,52 +33,124 @@ RAW_GLOB = "PRSA_Data_*.csv"
 # ----------------------------------------------------------------------------
 
 
-def scan_csv(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType = RAW_SCHEMA,
-    glob: str = RAW_GLOB,
+#: Column of a raw line that does not fit, and the part of a file that must hold its header.
+CORRUPT, UNREAD = "_corrupt_record", "_unread"
+HEADER_BYTES = 1 << 16
+_OPENED_AT_ONCE = 16
+
+
+def csv_headers(spark: SparkSession, folder: str, glob: str = RAW_GLOB) -> dict[str, tuple[str, ...]]:
+    """Column names of every matching file below a folder: path -> names.
+
+    Files are listed by Spark, and of each one only the first line is read, over the
+    file system that Spark has for it, compressed files included. That is one small read
+    a file, and no data but the header comes to the driver.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    paths = [r.path for r in listed.load(folder).select("path").collect()]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def head(path: str) -> tuple[str, ...]:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        stream = target.getFileSystem(conf).open(target)
+        try:
+            codec = codecs.getCodec(target)
+            opened = codec.createInputStream(stream) if codec is not None else stream
+            text = bytes(opened.readNBytes(HEADER_BYTES)).decode("utf-8-sig", "replace")
+        finally:
+            stream.close()
+        lines = text.splitlines()
+        return tuple(c.strip() for c in next(csv.reader(lines[:1]), ()))
+
+    with ThreadPoolExecutor(_OPENED_AT_ONCE) as pool:
+        return dict(zip(paths, pool.map(head, paths), strict=True))
+
+
+def checked_csv(
+    spark: SparkSession, folder: str, schema: T.StructType = RAW_SCHEMA, glob: str = RAW_GLOB
 ) -> DataFrame:
-    """Every matching CSV below a folder as one table; ``NA`` is null.
+    """Every row of every matching CSV below a folder, with ``file``, ``_corrupt_record`` (the
+    raw line where it has more or fewer cells than the header or a cell that is no number,
+    null where the row is sound) and ``_unread`` (the columns of such cells). ``NA`` and
+    empty cells are null. One read of the data.
 
-    Columns are found by the header of each file, whatever their order; a file that
-    lacks one, or has others, is an error. The schema is given, so no types are
-    inferred. A folder without matching files is an error. Rows are not ordered.
+    Columns are found by the header of each file, whatever their order. A file that lacks
+    one, has others, or is empty is an error, and so is a folder without matching files.
     """
-    names = sorted(f.name for f in schema)
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .text(folder)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .where("file_block_start = 0")
-    )
-    fields = F.transform(F.split("value", ","), lambda x: F.btrim(x, F.lit('"\ufeff ')))
-    heads = lines.select("file_path", fields.alias("fields")).where(
-        F.array_sort("fields") == F.array(*[F.lit(n) for n in names])
-    )
-    orders = heads.groupBy("fields").agg(F.count_distinct("file_path").alias("n")).collect()
+    wanted = sorted(f.name for f in schema)
+    orders: dict[tuple[str, ...], list[str]] = {}
+    for path, names in csv_headers(spark, folder, glob).items():
+        if sorted(names) != wanted:
+            missing, other = sorted(set(wanted) - set(names)), sorted(set(names) - set(wanted))
+            raise S.MissingColumns(f"{path}: missing columns {missing}, other columns {other}, header {list(names)}")
+        orders.setdefault(names, []).append(path)
     if not orders:
-        raise FileNotFoundError(f"no file like {glob} with columns {names} below {folder}")
-
-    def read(order: list[str], paths: list[str] | str) -> DataFrame:
-        # Another header than the expected one is an error, not a silent shift.
-        reader = spark.read.schema(T.StructType([schema[c] for c in order]))
-        reader = reader.option("header", True).option("nullValue", "NA").option("enforceSchema", False)
-        if isinstance(paths, str):
-            reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-        return reader.csv(paths).select(*[F.col(f"`{f.name}`") for f in schema])
-
-    if len(orders) == 1:
-        return read(orders[0]["fields"], folder)
+        raise FileNotFoundError(f"no file like {glob} below {folder}")
     tables = []
-    for order in orders:  # file names only, which planning a scan lists on the driver anyway
-        files = heads.where(F.col("fields") == F.array(*[F.lit(c) for c in order["fields"]]))
-        paths = [r[0] for r in files.select("file_path").distinct().collect()]
-        tables.append(read(order["fields"], paths))
+    for order, paths in orders.items():
+        # Without pruning of columns, as a row is only checked where all of it is read.
+        reader = spark.read.schema(T.StructType([*[schema[c] for c in order], T.StructField(CORRUPT, T.StringType())]))
+        reader = reader.options(header=True, nullValue="NA", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        reader = reader.option("columnPruning", False)
+        if len(orders) == 1:
+            found = reader.options(recursiveFileLookup=True, pathGlobFilter=glob).csv(folder)
+        else:
+            found = reader.csv(paths)
+        kept = [F.col(f"`{f.name}`") for f in schema]
+        texts = F.from_csv(CORRUPT, ", ".join(f"`{c}` string" for c in order), {"nullValue": "NA"})
+        # A cell that could not be read is null in the row though its text is none.
+        lost = [F.when(F.col(f"`{f.name}`").isNull() & texts.getField(f.name).isNotNull(), f.name) for f in schema]
+        unread = F.when(F.col(CORRUPT).isNotNull(), F.array_compact(F.array(*lost)))
+        file = F.col("_metadata.file_path").alias("file")
+        tables.append(found.select(*kept, file, CORRUPT, unread.alias(UNREAD)))
     return reduce(DataFrame.unionByName, tables)
 
 
+def sound_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col(CORRUPT).isNull()).drop("file", CORRUPT, UNREAD)
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """Rows of ``checked_csv`` that do not fit: (file, line, reason). ``line`` is the raw
+    text; the reason is ``short`` or ``long`` (too few or too many cells) or ``value:`` with
+    the names of the columns, in order of the schema, whose cells could not be read."""
+    width = len(checked.columns) - 3
+    cells = F.length(F.regexp_replace(F.regexp_replace(CORRUPT, '"[^"]*"', ""), "[^,]", "")) + 1
+    return checked.where(F.col(CORRUPT).isNotNull()).select(
+        "file",
+        F.col(CORRUPT).alias("line"),
+        F.when(cells < width, "short")
+        .when(cells > width, "long")
+        .otherwise(F.concat(F.lit("value:"), F.array_join(UNREAD, ",")))
+        .alias("reason"),
+    )
+
+
+def scan_csv(spark: SparkSession, folder: str, schema: T.StructType = RAW_SCHEMA, glob: str = RAW_GLOB) -> DataFrame:
+    """The sound rows of every matching CSV below a folder as one table, in no order; the
+    others are in ``scan_csv_rejects``. See ``checked_csv``."""
+    return sound_rows(checked_csv(spark, folder, schema, glob))
+
+
+def scan_csv_rejects(
+    spark: SparkSession, folder: str, schema: T.StructType = RAW_SCHEMA, glob: str = RAW_GLOB
+) -> DataFrame:
+    """The rows that ``scan_csv`` leaves out: (file, line, reason)."""
+    return rejected_rows(checked_csv(spark, folder, schema, glob))
+
+
+def ingest_csv(
+    spark: SparkSession, folder: str, path: str, schema: T.StructType = RAW_SCHEMA, glob: str = RAW_GLOB
+) -> tuple[DataFrame, DataFrame]:
+    """Raw files to a table below ``path``, read once: (sound rows, rejected rows)."""
+    checked = checked_csv(spark, folder, schema, glob)
+    split = checked.withColumn("sound", F.col(CORRUPT).isNull())
+    split.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("sound").parquet(path)
+    stored = spark.read.schema(split.schema).parquet(path)
+    return sound_rows(stored.where("sound").drop("sound")), rejected_rows(stored.where("NOT sound").drop("sound"))
+
+
 def readings_from_raw(raw: DataFrame) -> DataFrame:
     """Event time from its four columns, the dotted target renamed, NaN as null."""
     return nan_as_null(raw).withColumn(S.TIME, C.event_time("year", "month", "day", "hour")).withColumnRenamed(
