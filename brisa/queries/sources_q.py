@@ -20,6 +20,8 @@ from brisa.session import scratch_path
 from brisa.sources import ledger as J
 from brisa.sources import readings as A
 from brisa.sources import sinks as K
+from brisa.sources import sketches as H
+from brisa.sources.versions import Versions, merged_print
 from brisa.sources.incoming import check_incoming, store_incoming
 
 MOMENT = dt.datetime(2024, 2, 1, 12, 0, 0)
@@ -144,6 +146,102 @@ def _snapshot(spark, sf_dir):
     return A.ensure_snapshot(spark, path, lambda: Q.lines(spark, sf_dir), "l_shipdate")
 
 
+@query(
+    "snapshot_versions",
+    f"WITH {Q.L} SELECT l_orderkey, l_linenumber, l_shipdate, price, '2' AS version FROM l WHERE l_linenumber <= 2",
+)
+def snapshot_versions(spark, sf_dir):
+    """Written twice; a third write fails in the middle. Readers are left with version 2."""
+    lines = Q.lines(spark, sf_dir)
+    versions = _versions(spark)
+    for most in (1, 2):
+        versions.publish(lines.where(F.col("l_linenumber") <= most), "l_shipdate")
+    broken = F.when(F.col("l_linenumber") == 3, F.raise_error(F.lit("a broken row"))).otherwise(F.col("price"))
+    try:
+        versions.publish(lines.withColumn("price", broken.cast("double")), "l_shipdate")
+    except Exception as error:
+        if "a broken row" not in str(error):
+            raise
+    else:
+        raise AssertionError("the third write was to fail")
+    found = versions.read().select("l_orderkey", "l_linenumber", "l_shipdate", "price")
+    return found.withColumn("version", F.lit(versions.version()))
+
+
+def _versions(spark):
+    path = scratch_path(spark, "versions")
+    return Versions(spark, f"{path}/data", J.Ledger(spark, f"{path}/ledger"), "lines")
+
+
+_MONTH = "strftime(l_shipdate, '%Y-%m')"
+
+
+@query(
+    "snapshot_changed_months",
+    f"WITH {Q.L}, b AS (SELECT {_MONTH} AS month, count(*) AS n_before FROM l WHERE year(l_shipdate) < 2001 GROUP BY 1), "
+    f"a AS (SELECT {_MONTH} AS month, count(*) AS n_after, bool_or(l_orderkey % 50 = 0 AND month(l_shipdate) = 3) AS other "
+    "FROM l WHERE year(l_shipdate) > 1995 AND (month(l_shipdate) <> 7 OR l_orderkey % 9 > 0) GROUP BY 1), "
+    "s AS (SELECT month, CASE WHEN n_before IS NULL THEN 'added' WHEN n_after IS NULL THEN 'removed' "
+    "WHEN n_before <> n_after OR other THEN 'changed' END AS status, n_before, n_after FROM b FULL JOIN a USING (month)) "
+    "SELECT * FROM s WHERE status IS NOT NULL",
+)
+def snapshot_changed_months(spark, sf_dir):
+    """Months in which two versions differ, told by what the ledger keeps of each."""
+    lines = Q.lines(spark, sf_dir)
+    versions, t = _versions(spark), F.col("l_shipdate")
+    first = versions.publish(lines.where(F.year(t) < 2001), "l_shipdate")
+    other = (F.col("l_orderkey") % 50 == 0) & (F.month(t) == 3)
+    turned = lines.withColumn("price", F.when(other, F.col("price") + 1).otherwise(F.col("price")))
+    gone = (F.month(t) == 7) & (F.col("l_orderkey") % 9 == 0)
+    second = versions.publish(turned.where((F.year(t) > 1995) & ~gone), "l_shipdate")
+    return versions.changed(first, second)
+
+
+@query(
+    "fingerprint_by_month",
+    f"WITH {Q.L}, m AS (SELECT {_MONTH} AS month, count(*) AS n, sum(CAST(concat('0x', substr(md5(concat("
+    + ", ".join(
+        Q.cell_sql(c)
+        for c in ("CAST(l_orderkey AS VARCHAR)", "CAST(l_linenumber AS VARCHAR)", "l_linestatus", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')")
+    )
+    + ")), 1, 15)) AS BIGINT)) AS h FROM l GROUP BY 1) "
+    "SELECT month, n AS n_rows, CAST(h AS VARCHAR) AS h FROM m UNION ALL "
+    "SELECT 'all', CAST(sum(n) AS BIGINT), concat(CAST(sum(n) AS VARCHAR), '-', CAST(sum(h) AS VARCHAR)) FROM m",
+)
+def fingerprint_by_month(spark, sf_dir):
+    """What the ledger keeps of a version's months, and the whole fingerprint that they add up to."""
+    names = ("l_orderkey", "l_linenumber", "l_linestatus", "l_shipdate")
+    versions = _versions(spark)
+    prints = versions.prints(versions.publish(Q.lines(spark, sf_dir).select(*names), "l_shipdate"))
+    whole = merged_print(prints).select(F.lit("all").alias("month"), "n_rows", F.col("fingerprint").alias("h"))
+    return prints.withColumn("h", F.col("h").cast("string")).unionByName(whole)
+
+
+_SPANS = {"first": ("1995-01", "1995-06"), "year": ("1996-01", "1996-12"), "most": ("1995-01", "2000-12"), "none": ("1990-01", "1990-12")}
+
+
+@query(
+    "distinct_by_span",
+    f"WITH {Q.L}, m AS (SELECT l_suppkey, {_MONTH} AS month FROM l), s(span, low, high) AS (VALUES "
+    + ", ".join(f"('{k}', '{a}', '{b}')" for k, (a, b) in _SPANS.items())
+    + ") SELECT span, count(month) AS n_rows, count(DISTINCT l_suppkey) AS n_exact, TRUE AS within_error "
+    "FROM s LEFT JOIN m ON month BETWEEN low AND high GROUP BY span",
+)
+def distinct_by_span(spark, sf_dir):
+    """Distinct entities of spans of months from stored sketches, beside the exact counts."""
+    lines = Q.lines(spark, sf_dir)
+    sketches = H.write_month_sketches(lines, scratch_path(spark, "sketches"), "l_suppkey", "l_shipdate")
+    out = None
+    month = F.date_format("l_shipdate", "yyyy-MM")
+    exact = lines.agg(*[F.count_distinct(F.when(month.between(a, b), F.col("l_suppkey"))).alias(k) for k, (a, b) in _SPANS.items()])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(k).alias("span"), F.col(k).alias("n_exact")) for k in _SPANS])))
+    for k, (a, b) in _SPANS.items():
+        found = H.distinct_entities(sketches, a, b).withColumn("span", F.lit(k))
+        out = found if out is None else out.unionByName(found)
+    near = F.abs(F.col("n_entities") - F.col("n_exact")) <= F.col("error") * F.col("n_exact")
+    return out.join(exact, "span").select("span", "n_rows", "n_exact", near.alias("within_error"))
+
+
 _PRINT = ["event_id", "micros", "user_id", "event_type", "value", "props"]
 
 
