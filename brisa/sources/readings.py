@@ -6,7 +6,7 @@ import csv
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,7 +76,8 @@ def checked_csv(
     empty cells are null. One read of the data.
 
     Columns are found by the header of each file, whatever their order. A file that lacks
-    one, has others, or is empty is an error, and so is a folder without matching files.
+    one or has others is an error, and so is a folder without matching files; files of no
+    bytes are passed over.
     """
     wanted = sorted(f.name for f in schema)
     orders: dict[tuple[str, ...], list[str]] = {}
@@ -108,7 +109,10 @@ def checked_csv(
 
 
 def sound_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col(CORRUPT).isNull()).drop("file", CORRUPT, UNREAD)
+    # Only cells that a query names are read as numbers, and a row is only known to be
+    # sound when all of them are: the filter names every column.
+    cells = [F.col(f"`{c}`").isNull().cast("int") for c in checked.columns if c not in ("file", CORRUPT, UNREAD)]
+    return checked.where(F.col(CORRUPT).isNull() & (reduce(Column.__add__, cells) >= 0)).drop("file", CORRUPT, UNREAD)
 
 
 def rejected_rows(checked: DataFrame) -> DataFrame:
