@@ -7,11 +7,10 @@ and a row may belong to both (comparing a partition with itself).
 from __future__ import annotations
 
 import math
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,9 +18,8 @@ from pyspark.sql import types as T
 from brisa import spec as S
 from brisa.functions.values import known, to_number
 from brisa.operators.partitions import in_range, resolve
-from brisa.operators.ranks import bucket_starts, fit_splitters, long_values
-from brisa.operators.sizes import direct_limit, join_checked
-from brisa.session import scratch_path
+from brisa.operators.ranks import fit_splitters, long_values
+from brisa.operators.sizes import direct_limit
 
 REF, PROD = "in_ref", "in_prod"
 NO_DRIFT, DRIFT, ERROR = "NO_DRIFT", "DRIFT", "ERROR"
@@ -65,18 +63,12 @@ def ks(
     numbers = samples.select(
         REF, PROD, *[to_number(F.col(c)).alias(c) if c in text else F.col(c) for c in columns]
     )
-    # The only pass over the rows; ties share a row from here on. Written, because
-    # several steps read it.
-    path = scratch_path(samples.sparkSession, "ks-counts")
-    counted = long_values(numbers, columns, keep=[REF, PROD]).drop("bucket")
-    counted = counted.groupBy("column", "value").agg(*_counts())
-    counted.write.partitionBy("column").parquet(path)
-    counted = samples.sparkSession.read.schema(counted.schema).parquet(path)
-    rows = counted.count()
-    if rows <= direct_limit(numbers):
-        found = _ks_direct(counted)
+    rows = numbers.count()
+    if rows * len(columns) <= direct_limit(numbers):
+        counted = long_values(numbers, columns, keep=[REF, PROD]).drop("bucket")
+        found = _ks_direct(counted.groupBy("column", "value").agg(*_counts()))
     else:
-        found = _ks_bucketed(counted, columns, rows)
+        found = _ks_bucketed(numbers, columns, rows)
     listed = samples.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
     found = listed.join(found, "column", "left")
     enough = (F.coalesce("n_ref", F.lit(0)) >= 2) & (F.coalesce("n_prod", F.lit(0)) >= 2)
@@ -127,61 +119,140 @@ def _ks_direct(counted: DataFrame) -> DataFrame:
     )
 
 
-def _ks_bucketed(counted: DataFrame, columns: list[str], rows: int) -> DataFrame:
-    """Exact KS over counted values that orders them only where the maximum can lie.
-
-    Totals per bucket give both distribution functions at every bucket edge. The
-    largest gap at an edge is a lower bound of the statistic. Inside a bucket the
-    gap cannot exceed what one function gains while the other stands still, so
-    buckets whose bound does not beat the edges need no look at their values.
+#: Buckets of a column, rows a bucket's edges are fitted on, values that the last look at
+#: open buckets may order, and scans that may narrow them before it.
+KS_BUCKETS, KS_FITTED_ROWS = 2_048, 20
+KS_OPEN_VALUES = 20_000_000
+KS_ROUNDS = 6
+
+
+@dataclass
+class _Curve:
+    """Both samples of one column, counted between edges: bucket i holds the values from
+    edge i - 1 on, below edge i. ``apart`` counts rows that are in one sample only."""
+
+    edges: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    apart: np.ndarray
+
+    def totals(self) -> tuple[int, int]:
+        return int(self.a.sum()), int(self.b.sum())
+
+    def best_and_open(self) -> tuple[float, np.ndarray]:
+        """The largest gap at an edge, and the buckets inside which a larger one can lie.
+
+        Inside a bucket the gap cannot exceed what one function gains while the other
+        stands still. There is nothing inside a bucket of one value, nor where rows are in
+        both samples alike and the samples are of one size: the functions move together.
+        """
+        na, nb = self.totals()
+        if not na or not nb:
+            return 0.0, np.zeros(len(self.a), bool)
+        upto_a, upto_b = np.cumsum(self.a), np.cumsum(self.b)
+        a1, b1 = upto_a / na, upto_b / nb
+        a0, b0 = (upto_a - self.a) / na, (upto_b - self.b) / nb
+        best = float(np.abs(a1 - b1).max())
+        bound = np.maximum(np.abs(a1 - b0), np.abs(a0 - b1))
+        single = np.zeros(len(self.a), bool)
+        single[1:-1] = np.nextafter(self.edges[:-1], np.inf) == self.edges[1:]
+        together = (self.apart == 0) & (na == nb)
+        return best, (bound > best) & ~single & ~together
+
+    def split(self, edges: list[float], open_: np.ndarray) -> tuple[_Curve, np.ndarray]:
+        """The curve with further edges inside its open buckets, whose parts have no counts
+        yet, and which buckets those parts are."""
+        new = np.setdiff1d(np.array(edges, "float64"), self.edges)
+        new = new[open_[np.searchsorted(self.edges, new, side="right")]]
+        joined = np.sort(np.concatenate((self.edges, new)))
+        low = np.concatenate(([-np.inf], joined))  # where every bucket begins
+        old = np.searchsorted(self.edges, low, side="right")
+        counts = [np.where(open_[old], 0, x[old]) for x in (self.a, self.b, self.apart)]
+        return _Curve(joined, *counts), open_[old]
+
+
+def _ks_bucketed(numbers: DataFrame, columns: list[str], rows: int) -> DataFrame:
+    """Exact KS that orders values only where the maximum can lie.
+
+    The first scan counts both samples between fitted edges, so tasks hand on a row for
+    each bucket and no value moves. Counts at the edges bound the gap inside every bucket;
+    only buckets that can hold a larger one than the edges show stay open. While those
+    hold too many values they are split and counted again. The last scan orders the values
+    of what is open, bucket by bucket. The driver has ``KS_BUCKETS`` rows a column and
+    round, whatever the input.
     """
-    parts = []
-    for c in columns:
-        own = counted.filter(F.col("column") == c)  # a folder of its own
-        edges = fit_splitters(own, ["value"], rows)["value"]
-        inf = float("inf")
-        cut = Bucketizer(splits=[-inf, *(edges or [0.0]), inf], inputCol="value", outputCol="bucket")
-        parts.append(cut.transform(own).withColumn("bucket", F.col("bucket").cast("int")))
-    values = reduce(DataFrame.unionByName, parts)
-    per_bucket = values.groupBy("column", "bucket").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    a0, b0 = F.col("a_before"), F.col("b_before")
-    a1, b1 = a0 + F.col("a"), b0 + F.col("b")
-    whole = Window.partitionBy("column")
-    edges = (
-        bucket_starts(per_bucket, ["column"], ["a", "b"])
-        .withColumn("edge", F.max(_gap(a1, b1)).over(whole))
-        .withColumn("bound", F.greatest(_gap(a1, b0), _gap(a0, b1)))
-    )
-    settled = edges.groupBy("column").agg(
-        F.max("a_total").alias("n_ref"),
-        F.max("b_total").alias("n_prod"),
-        F.max("edge").alias("edge"),
-    )
-    open_buckets = edges.filter(F.col("bound") > F.col("edge")).select(
-        "column", "bucket", "a_before", "b_before", "a_total", "b_total"
-    )
-    upto = (
-        Window.partitionBy("column", "bucket")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inside = (
-        join_checked(values, open_buckets, ["column", "bucket"])
-        .withColumns(
-            {
-                "a_upto": F.col("a_before") + F.sum("a").over(upto),
-                "b_upto": F.col("b_before") + F.sum("b").over(upto),
-            }
-        )
-        .groupBy("column")
-        .agg(F.max(_gap(F.col("a_upto"), F.col("b_upto"))).alias("inner"))
-    )
-    return settled.join(inside, "column", "left").select(
-        "column",
-        "n_ref",
-        "n_prod",
-        F.greatest("edge", F.coalesce("inner", F.lit(0.0))).alias("d"),
+    spark = numbers.sparkSession
+    edges = fit_splitters(numbers, columns, rows, KS_BUCKETS, KS_FITTED_ROWS)
+    start = {c: np.array(edges[c] or [0.0], "float64") for c in columns}
+    curves = {c: _Curve(e, *np.zeros((3, len(e) + 1), np.int64)) for c, e in start.items()}
+    _count_buckets(numbers, curves, {c: np.ones(len(e) + 1, bool) for c, e in start.items()})
+
+    def still_open() -> dict[str, np.ndarray]:
+        looks = {c: x.best_and_open()[1] for c, x in curves.items()}
+        return {c: o for c, o in looks.items() if o.any()}
+
+    for _ in range(KS_ROUNDS):
+        looks = still_open()
+        values = sum(int((curves[c].a + curves[c].b)[o].sum()) for c, o in looks.items())
+        if values <= KS_OPEN_VALUES:
+            break
+        within = _open_values(numbers, {c: curves[c] for c in looks}, looks)
+        wide = within.select(*[F.when(F.col("column") == c, F.col("value")).alias(c) for c in looks])
+        finer = fit_splitters(wide, list(looks), values, KS_BUCKETS, KS_FITTED_ROWS * len(looks))
+        parts = {c: curves[c].split(finer[c], o) for c, o in looks.items()}
+        if not any(len(x.edges) > len(curves[c].edges) for c, (x, _) in parts.items()):
+            break  # nothing left to split at
+        curves |= {c: x for c, (x, _) in parts.items()}
+        _count_buckets(numbers, {c: curves[c] for c in parts}, {c: o for c, (_, o) in parts.items()})
+    looks = still_open()
+    inner = _ks_inside(numbers, curves, looks) if looks else {}
+    found = []
+    for c, x in curves.items():
+        na, nb = x.totals()
+        found.append((c, na, nb, max(x.best_and_open()[0], inner.get(c, 0.0))))
+    return spark.createDataFrame(found, "column string, n_ref long, n_prod long, d double")
+
+
+def _open_values(numbers: DataFrame, curves: dict[str, _Curve], looks: dict[str, np.ndarray]) -> DataFrame:
+    """(in_ref, in_prod, column, bucket, value) of the values in the buckets to look at."""
+    columns = list(curves)
+    values = long_values(numbers, columns, {c: x.edges.tolist() for c, x in curves.items()}, keep=[REF, PROD])
+    if all(o.all() for o in looks.values()):
+        return values
+    # As many rows as there are buckets: some thousand a column.
+    wanted = [(c, int(i)) for c, o in looks.items() for i in np.flatnonzero(o)]
+    wanted = numbers.sparkSession.createDataFrame(wanted, "column string, bucket int")
+    return values.join(F.broadcast(wanted), ["column", "bucket"])
+
+
+def _count_buckets(numbers: DataFrame, curves: dict[str, _Curve], looks: dict[str, np.ndarray]) -> None:
+    """Count both samples in the buckets to look at, into the curves. One scan; what a task
+    hands on is a row for each column and bucket."""
+    values = _open_values(numbers, curves, looks)
+    apart = F.count_if(F.col(REF) != F.col(PROD)).alias("apart")
+    for r in values.groupBy("column", "bucket").agg(*_counts(), apart).collect():
+        x = curves[r.column]
+        x.a[r.bucket], x.b[r.bucket], x.apart[r.bucket] = r.a, r.b, r.apart
+
+
+def _ks_inside(numbers: DataFrame, curves: dict[str, _Curve], looks: dict[str, np.ndarray]) -> dict[str, float]:
+    """The largest gap inside the open buckets of every column."""
+    starts = []
+    for c, o in looks.items():
+        x = curves[c]
+        na, nb = x.totals()
+        a0, b0 = np.cumsum(x.a) - x.a, np.cumsum(x.b) - x.b
+        starts += [(c, int(i), int(a0[i]), int(b0[i]), na, nb) for i in np.flatnonzero(o)]
+    schema = "column string, bucket int, a_before long, b_before long, a_total long, b_total long"
+    starts = numbers.sparkSession.createDataFrame(starts, schema)
+    values = _open_values(numbers, {c: curves[c] for c in looks}, looks)
+    counted = values.groupBy("column", "bucket", "value").agg(*_counts())
+    upto = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    running = counted.join(F.broadcast(starts), ["column", "bucket"]).withColumns(
+        {"a_upto": F.col("a_before") + F.sum("a").over(upto), "b_upto": F.col("b_before") + F.sum("b").over(upto)}
     )
+    gaps = running.groupBy("column").agg(F.max(_gap(F.col("a_upto"), F.col("b_upto"))).alias("d"))
+    return {r.column: r.d for r in gaps.collect()}
 
 
 def ks_p_value(d: Column, n1: Column, n2: Column) -> Column:

@@ -38,7 +38,7 @@ FITTED_ROWS = 200
 
 
 def fit_splitters(
-    df: DataFrame, columns: list[str], rows: int, max_buckets: int = MAX_BUCKETS
+    df: DataFrame, columns: list[str], rows: int, buckets: int | None = None, fitted_rows: int = FITTED_ROWS
 ) -> dict[str, list[float]]:
     """Bucket edges per column for a table of ``rows`` rows, in one pass.
 
@@ -47,8 +47,8 @@ def fit_splitters(
     that fills more than one quantile gets a bucket of its own, so that every
     other bucket stays small.
     """
-    buckets = max(MIN_BUCKETS, min(max_buckets, math.ceil(rows / ROWS_PER_BUCKET)))
-    share = FITTED_ROWS * buckets / max(rows, 1)
+    buckets = buckets or max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(rows / ROWS_PER_BUCKET)))
+    share = fitted_rows * buckets / max(rows, 1)
     fitted = df.select(*columns)
     if share < 1:
         fitted = fitted.sample(share, seed=1)
@@ -264,7 +264,7 @@ def _value_at(values: DataFrame, rows: int, rank: int) -> tuple[float, int, int]
     """
     below, limit = 0, direct_limit(values)
     while rows > limit:
-        edges = fit_splitters(values, ["value"], rows, max_buckets=MIN_BUCKETS)
+        edges = fit_splitters(values, ["value"], rows, buckets=MIN_BUCKETS)
         counted = (
             long_values(values, ["value"], edges)
             .groupBy("bucket")

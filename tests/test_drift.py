@@ -147,3 +147,67 @@ def test_chi_square_tail_has_no_seam():
     for z in (-3.0, -1.0, 0.0, 1.0, 3.0):
         x = [n + z * (2 * n) ** 0.5 for n in (D.MAX_TERMS, D.MAX_TERMS + 1)]
         assert D.chi2_tail(x[0], D.MAX_TERMS) == pytest.approx(D.chi2_tail(x[1], D.MAX_TERMS + 1), abs=1e-4)
+
+
+@pytest.mark.parametrize("shift", [0, 1])
+def test_open_buckets_are_split_until_few_values_are_left(spark, distributed, monkeypatch, shift):
+    monkeypatch.setattr(D, "KS_BUCKETS", 40)
+    monkeypatch.setattr(D, "KS_OPEN_VALUES", 40)
+    looked = []
+    inside = D._ks_inside
+
+    def spied(numbers, curves, looks):
+        looked.append(sum(int((curves[c].a + curves[c].b)[o].sum()) for c, o in looks.items()))
+        return inside(numbers, curves, looks)
+
+    monkeypatch.setattr(D, "_ks_inside", spied)
+    a, b = normal(3, 100, n=900), normal(4, 100 + shift, n=1100)
+    a, b = a + [(99.5,)] * 200, b + [(99.5,)] * 210
+    both = samples(spark, [(x, -x) for (x,) in a], [(x, -x) for (x,) in b], "x double, y double")
+    for r in D.ks(both, ["x", "y"]).collect():
+        sign = 1 if r.column == "x" else -1
+        want = brute_ks([sign * v for (v,) in a], [sign * v for (v,) in b])
+        assert r.statistic == pytest.approx(want, abs=1e-12)
+    assert sum(looked) <= 40
+
+
+def test_a_sample_against_itself_moves_no_values(spark, distributed, monkeypatch):
+    def never(*_):
+        raise AssertionError("no bucket is to be looked into")
+
+    monkeypatch.setattr(D, "_ks_inside", never)
+    rows = spark.createDataFrame(normal(5, 10), "x double").withColumns({D.REF: F.lit(True), D.PROD: F.lit(True)})
+    row = D.ks(rows, ["x"]).first()
+    assert (row.n_ref, row.n_prod, row.statistic, row.drift) == (1000, 1000, 0.0, False)
+
+
+def test_tasks_hand_on_buckets_and_not_values(spark, distributed, monkeypatch):
+    """The counting scan shuffles a row for each task, column and bucket."""
+    df = spark.range(0, 200_000, 1, 4).select(F.rand(3).alias("x"), (F.col("id") % 2 == 0).alias(D.REF))
+    df = df.withColumn(D.PROD, ~F.col(D.REF))
+    curve = {"x": D._Curve(D.np.linspace(0.01, 0.99, 99), *D.np.zeros((3, 100), int))}
+    values = D._open_values(df, curve, {"x": D.np.ones(100, bool)})
+    counted = values.groupBy("column", "bucket").agg(*D._counts())
+    counted.collect()
+    written = [m for m in metrics(counted) if m[0] == "shuffle records written"]
+    assert [n for _, n in written] == [4 * 100]
+
+
+def metrics(df):
+    """(name, value) of the metrics of the plan that ran."""
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        found = node.metrics().iterator()
+        while found.hasNext():
+            pair = found.next()
+            out.append((pair._2().name().get(), pair._2().value()))
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        children = node.children().iterator()
+        while children.hasNext():
+            todo.append(children.next())
+    return out
