@@ -297,9 +297,11 @@ def op11_periodic_runs(spark, sf_dir):
     # The case of the tenth of the documents that are made periodic.
     a, n, g = F.col("g") % F.col("n"), F.col("n"), F.col("g")
     p = 1 + F.floor((n - a) / (3 + g % 8))
-    place = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
     w = F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")
-    made = F.array_join(F.transform(place, lambda i: F.get(w, i.cast("int"))), " ")
+    head, period = F.slice(w, 1, a.cast("int")), F.slice(w, (a + 1).cast("int"), p.cast("int"))
+    times = F.ceil((n - a) / p).cast("int")
+    rest = F.slice(F.flatten(F.array_repeat(period, times)), 1, (n - a).cast("int"))
+    made = F.array_join(F.concat(head, rest), " ")
     chosen = (F.col("h") % 10 == 0) & (n > 0)
     docs = docs.select("doc_id", F.when(chosen, made).otherwise(F.col("text")).alias("text"))
     found = runs.periodic_runs(docs)
