@@ -40,6 +40,11 @@ def slice_range(df: DataFrame, r: S.TimeSpan, time: str = S.TIME) -> DataFrame:
     return _covered(df, (r,), time)
 
 
+def slice_spans(df: DataFrame, spans: tuple[S.TimeSpan, ...], time: str = S.TIME) -> DataFrame:
+    """Rows inside any of the spans."""
+    return _covered(df, spans, time)
+
+
 def label_rows(
     df: DataFrame,
     ranges: tuple[S.TimeSpan, ...] = S.RANGES,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from brisa import spec as S
 from brisa.functions import calendar as C
 from brisa.functions.errors import relative_change
 from brisa.functions.values import nan_as_null
+from brisa.operators.partitions import MONTH_FOLDER, slice_spans
 from brisa.operators.ranks import exact_quantiles
 from brisa.operators.sizes import join_null_safe
 
@@ -185,6 +189,57 @@ def density(df: DataFrame, column: str, by: str, bins: int = 60) -> DataFrame:
     )
 
 
+#: Width of the fine bins of a density curve, in decades.
+CURVE_BIN = 1 / 256
+
+
+def density_curve(df: DataFrame, column: str, by: str, points: int = 200, cut: float = 3.0) -> DataFrame:
+    """Smooth density of the log10 of a column's positive values per group, on a grid.
+
+    A Gaussian kernel of Scott's bandwidth (n**(-1/5) standard deviations of the group)
+    over fine bins, each at the mean of its values; ``points`` grid points from ``cut``
+    bandwidths below the group's smallest value to as many above its largest. Every
+    group's area is 1. Rows: by, point, x, density. Groups of fewer than two different
+    values have no curve.
+
+    One scan that hands on a row for each group and bin; a group holds at most some
+    150,000 bins, for that is all there are between the smallest and largest double.
+    """
+    v = F.log10(F.col(column).cast("double"))
+    binned = (
+        df.where((F.col(column) > 0) & (F.col(column).cast("double") < F.lit(float("inf"))))
+        .select(by, v.alias("v"))
+        .groupBy(by, F.floor(F.col("v") / CURVE_BIN).alias("bin"))
+        .agg(
+            F.count("v").alias("n"),
+            F.avg("v").alias("m"),
+            F.var_pop("v").alias("var"),
+            F.min("v").alias("low"),
+            F.max("v").alias("high"),
+        )
+    )
+    total, mean = F.sum("n"), F.sum(F.col("n") * F.col("m")) / F.sum("n")
+    squares = F.sum(F.col("n") * (F.col("var") + F.col("m") * F.col("m")))
+    groups = binned.groupBy(by).agg(
+        total.alias("n"),
+        F.sqrt(F.greatest(F.lit(0.0), F.try_divide(squares - total * mean * mean, total - 1))).alias("sd"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.collect_list(F.struct("n", "m")).alias("bins"),
+    )
+    groups = groups.where("low < high").withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    first, last = F.col("low") - cut * F.col("bw"), F.col("high") + cut * F.col("bw")
+    listed = groups.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    listed = listed.withColumn("x", first + F.col("point") * (last - first) / (points - 1))
+
+    def kernel(acc: Column, b: Column) -> Column:
+        z = (F.col("x") - b["m"]) / F.col("bw")
+        return acc + b["n"] * F.exp(-0.5 * z * z)
+
+    area = F.col("n") * F.col("bw") * math.sqrt(2 * math.pi)
+    return listed.select(by, "point", "x", (F.aggregate("bins", F.lit(0.0), kernel) / area).alias("density"))
+
+
 def level_series(levels: tuple[str, ...], spark) -> DataFrame:
     """A fixed order of levels as (pos, level)."""
     return spark.range(1).select(F.posexplode(F.array(*[F.lit(x) for x in levels])).alias("pos", "level"))
@@ -225,40 +280,24 @@ def mean_by_level(df: DataFrame, column: str, levels: tuple[str, ...], value: st
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson matrix over pairwise complete rows, as (a, b, r) for every pair.
-
-    A row fans out to one row per column with the columns after it, so one small
-    aggregate serves all pairs and stays within compiled code.
-    """
+    """Pearson matrix over pairwise complete rows, as (a, b, r) for every pair: one row of
+    aggregates for each task. A column without two different values has no r."""
     columns = list(columns)
-    rest = len(columns) - 1
-    cells = [
-        F.struct(
-            F.lit(i).alias("i"),
-            F.col(a).cast("double").alias("x"),
-            F.array(*[F.col(b).cast("double") for b in columns[i + 1 :]]).cast("array<double>").alias("ys"),
-        )
-        for i, a in enumerate(columns)
-    ]
-    computed = (
-        df.select(F.inline(F.array(*cells)))
-        .groupBy("i")
-        .agg(
-            F.when(F.min("x") < F.max("x"), F.lit(1.0)).alias("own"),
-            *[F.corr("x", F.get("ys", F.lit(j))).alias(f"r{j}") for j in range(rest)],
-        )
-    )
-    names = F.array(*[F.lit(c) for c in columns])
-    a = F.get(names, F.col("i"))
-    entries = [F.struct(a.alias("a"), a.alias("b"), F.col("own").alias("r"))]
-    for j in range(rest):
-        b = F.get(names, F.col("i") + (j + 1))
-        entries.append(F.struct(a.alias("a"), b.alias("b"), F.col(f"r{j}").alias("r")))
-        entries.append(F.struct(b.alias("a"), a.alias("b"), F.col(f"r{j}").alias("r")))
-    return computed.select(F.inline(F.array(*entries))).filter(
-        F.col("a").isNotNull() & F.col("b").isNotNull()
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    computed = numbers.agg(
+        *[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"own{i}") for i, c in enumerate(columns)],
+        *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
     )
 
+    def cell(a: str, b: str, r: str) -> Column:
+        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(r).alias("r"))
+
+    cells = [cell(c, c, f"own{i}") for i, c in enumerate(columns)]
+    for i, (a, b) in enumerate(pairs):
+        cells += [cell(a, b, f"r{i}"), cell(b, a, f"r{i}")]
+    return computed.select(F.inline(F.array(*cells)))
+
 
 def correlations_with(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
     """Correlation of every column with the target, highest first."""
@@ -377,10 +416,25 @@ def hour_pivot(df: DataFrame, spec: S.ReadingSpec = S.READINGS) -> DataFrame:
     )
 
 
-def same_month_by_year(df: DataFrame, month: int, columns: list[str], time: str = S.TIME) -> DataFrame:
-    """Mean of a calendar month per year, and its change against the first year."""
+def same_month_by_year(
+    df: DataFrame, month: int, columns: list[str], time: str = S.TIME, years: tuple[int, int] | None = None
+) -> DataFrame:
+    """Mean of a calendar month per year, and its change against the first year.
+
+    The months of all years from the first to the last are named as literal ranges, so the
+    scan skips other files, and in a loaded snapshot other months' folders. ``years`` are
+    looked up where they are not given: in a snapshot by its folders' names.
+    """
+    if years is None:
+        year = F.substring(F.col(MONTH_FOLDER).cast("string"), 1, 4) if MONTH_FOLDER in df.columns else F.year(time)
+        found = df.agg(F.min(year.cast("int")).alias("first"), F.max(year.cast("int")).alias("last")).first()
+        years = (found["first"], found["last"]) if found["first"] is not None else (1, 0)
+    spans = []
+    for y in range(years[0], years[1] + 1):
+        after = dt.datetime(y + month // 12, month % 12 + 1, 1)
+        spans.append(S.TimeSpan(str(y), dt.datetime(y, month, 1), after))
     yearly = (
-        df.filter(F.month(time) == month)
+        slice_spans(df, tuple(spans), time)
         .groupBy(F.year(time).alias("year"))
         .agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)])
     )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from brisa import spec as S
 from brisa.operators import drift as D
@@ -39,7 +40,11 @@ def drift_check(
     spec: S.ReadingSpec = S.READINGS,
     threshold: float = S.MAX_DRIFT_SHARE,
 ) -> DriftCheck:
-    """Status of the check; unreadable input or an empty side is an error, not drift."""
+    """Status of the check; unreadable input or an empty side is an error, not drift.
+
+    The tests of all columns come to the driver, a row for each column, and are kept as a
+    local table: nothing is computed again for the report or the verdict.
+    """
     try:
         samples = D.two_partitions(readings, ref, prod, spec)
         sizes = D.sample_sizes(samples)
@@ -47,6 +52,18 @@ def drift_check(
         return DriftCheck(D.ERROR, None, None, str(error))
     if 0 in sizes:
         return DriftCheck(D.ERROR, None, None, f"rows: reference {sizes[0]}, production {sizes[1]}")
-    compared = drift_report(readings, ref, prod, spec).persist()
+    compared = drift_report(readings, ref, prod, spec)
+    compared = readings.sparkSession.createDataFrame(compared.collect(), compared.schema)
     verdict = D.verdict(compared, threshold)
     return DriftCheck(verdict.first()["status"], D.report(compared), verdict)
+
+
+def status_row(check: DriftCheck, spark: SparkSession) -> DataFrame:
+    """A check as one row: n_columns, n_drifting, share, drifting, status, detail. An error
+    has a detail and no figures."""
+    detail = F.lit(check.detail or None).cast("string").alias("detail")
+    if check.verdict is not None:
+        return check.verdict.select("n_columns", "n_drifting", "share", "drifting", "status", detail)
+    none = "CAST(NULL AS BIGINT) AS n_columns", "CAST(NULL AS BIGINT) AS n_drifting", "CAST(NULL AS DOUBLE) AS share"
+    row = spark.range(1).selectExpr(*none, "CAST(NULL AS STRING) AS drifting")
+    return row.select("*", F.lit(check.status).alias("status"), detail)

@@ -8,10 +8,13 @@ from brisa import spec as S
 from brisa.operators import drift as D
 from brisa.operators.features import build_features
 from brisa.operators.metrics import PREDICTION
-from brisa.plans.drift_check import drift_report
+from brisa.operators.partitions import label_rows, slice_label
+from brisa.plans.drift_check import drift_check, drift_report, status_row
 from brisa.queries import models as M
 from brisa.queries import tables as Q
 from brisa.queries.registry import query
+from brisa.session import scratch_path
+from brisa.sources import sketches as H
 
 _NUM = ["l_quantity", "l_discount", "l_tax", "price", "hora", "dia_semana"]
 _CAT = ["flag", "l_linestatus"]
@@ -141,6 +144,59 @@ def drift_verdict(spark, sf_dir):
     return D.verdict(compared).withColumn("share", F.round("share", 9))
 
 
+@query(
+    "drift_sketched",
+    f'{_BASE} SELECT "column", n_ref, n_prod, round(statistic, 9) AS exact, TRUE AS within_error, TRUE AS agrees FROM ks',
+)
+def drift_sketched(spark, sf_dir):
+    """Drift between two batches by the sketches stored with each, beside the exact
+    distance: it lies within the stated error, and so does the verdict where one is given."""
+    built = build_features(Q.lines(spark, sf_dir), Q.LINE_SPEC)
+    labelled = label_rows(built, Q.LINE_SPEC.ranges, "l_shipdate")
+    path = scratch_path(spark, "batch-sketches")
+    for label in ("train", "test", "produccion", "test"):  # a batch at a time, one of them twice
+        part = slice_label(labelled, label, Q.LINE_SPEC.ranges, "l_shipdate")
+        H.store_batch_sketches(part, F.col("particion"), _NUM, path)
+    told = H.sketched_drift(H.load_batch_sketches(spark, path), "train", "produccion")
+    exact = D.ks(_samples(spark, sf_dir), _NUM).select("column", F.col("statistic").alias("exact"))
+    both = told.join(exact, "column")
+    large = F.col("exact") >= S.MIN_EFFECT
+    return both.select(
+        "column",
+        "n_ref",
+        "n_prod",
+        F.round("exact", 9).alias("exact"),
+        (F.abs(F.col("statistic") - F.col("exact")) <= F.col("error")).alias("within_error"),
+        F.coalesce(F.col("drift") == large, F.lit(True)).alias("agrees"),
+    )
+
+
+_STATUS = (
+    "SELECT count(*) AS n_columns, count(*) FILTER (drift) AS n_drifting, "
+    "CASE WHEN avg(CASE WHEN drift THEN 1.0e0 ELSE 0.0e0 END) > 0.3 THEN 'DRIFT' ELSE 'NO_DRIFT' END AS status FROM cmp"
+)
+_EMPTY = S.days("vacia", "1901-01-01", "1901-12-31")
+_N_EMPTY = f"(SELECT count(*) FROM l WHERE {Q.range_sql(_EMPTY, 'l_shipdate')})"
+
+
+@query(
+    "drift_status",
+    f"SELECT 'train' AS ref, 'produccion' AS prod, * FROM ({_BASE}, {_COMPARED} {_STATUS}) UNION ALL "
+    f"SELECT 'train', 'train', * FROM ({_SELF}, {_COMPARED} {_STATUS}) UNION ALL "
+    f"SELECT 'train', 'vacia', NULL, NULL, CASE WHEN n = 0 THEN 'ERROR' END FROM (WITH {Q.L} SELECT {_N_EMPTY} AS n) UNION ALL "
+    "SELECT 'train', 'nadie', NULL, NULL, 'ERROR'",
+)
+def drift_status(spark, sf_dir):
+    """The status of whole checks: drift, none, an empty side, a partition nobody declared."""
+    spec = Q.LINE_SPEC.with_(ranges=(*Q.LINE_SPEC.ranges, _EMPTY))
+    out = None
+    for prod in ("produccion", "train", "vacia", "nadie"):
+        row = status_row(drift_check(Q.lines(spark, sf_dir), "train", prod, spec), spark)
+        row = row.select(F.lit("train").alias("ref"), F.lit(prod).alias("prod"), "n_columns", "n_drifting", "status")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 _PRED = (
     f"WITH {Q.R}, {Q.prepared_sql('train')}, {Q.prepared_sql('test')}, {Q.prepared_sql('produccion')}, "
     "e AS (SELECT station, avg(pm25) AS prediction FROM p_train GROUP BY station), "

@@ -12,6 +12,8 @@ from brisa.operators.partitions import label_rows
 from brisa.queries import models as M
 from brisa.queries import tables as Q
 from brisa.queries.registry import query
+from brisa.session import scratch_path
+from brisa.sources.readings import ensure_snapshot
 
 ALL = (*S.POLLUTANTS, *S.WEATHER)
 _WR = f"WITH {Q.R}"
@@ -142,6 +144,11 @@ def histogram(spark, sf_dir):
     return _round(O.histogram(Q.readings(spark, sf_dir), [*S.WEATHER, "pm25"], 60), "low", "high")
 
 
+@query("histogram_target", f"{_WR} " + _histogram_sql("r", "pm25", 80, "pm25", "pm25 IS NOT NULL"))
+def histogram_target(spark, sf_dir):
+    return _round(O.histogram(Q.readings(spark, sf_dir), ["pm25"], 80), "low", "high")
+
+
 @query(
     "histogram_log",
     f"{_WR} "
@@ -328,6 +335,26 @@ def density_by_partition(spark, sf_dir):
     return _round(O.density(rows, "price", "particion"), "low", "high", "density")
 
 
+_CURVE = (
+    "x AS (SELECT particion, log10(price) AS v FROM q WHERE price > 0 AND particion IS NOT NULL), "
+    "b AS (SELECT particion, floor(v * 256) AS bin, count(*) AS n, avg(v) AS m FROM x GROUP BY 1, 2), "
+    "g AS (SELECT particion, count(*) AS n, min(v) AS low, max(v) AS high, stddev_samp(v) * power(count(*), -0.2e0) AS bw FROM x GROUP BY 1), "
+    "p AS (SELECT particion, n, bw, i, low - 3 * bw + i * (high - low + 6 * bw) / 199 AS x FROM g CROSS JOIN range(200) s(i) WHERE low < high)"
+)
+
+
+@query(
+    "density_curve",
+    f"{_WL}, {_LABELLED_L}, {_CURVE} SELECT p.particion, CAST(i AS INT) AS point, round(x, 6) AS x, "
+    "round(sum(b.n * exp(-0.5e0 * power((x - m) / bw, 2))) / (any_value(p.n) * any_value(bw) * sqrt(2 * pi())), 6) AS density "
+    "FROM p JOIN b ON b.particion = p.particion GROUP BY p.particion, i, x",
+)
+def density_curve(spark, sf_dir):
+    """The curve of prices on a log scale, each partition's area 1."""
+    rows = label_rows(Q.lines(spark, sf_dir), Q.LINE_SPEC.ranges, "l_shipdate")
+    return _round(O.density_curve(rows, "price", "particion"), "x", "density")
+
+
 @query(
     "yoy_same_month",
     f"{_WL}, y AS (SELECT year(l_shipdate) AS year, avg(l_quantity) AS l_quantity, avg(price) AS price FROM l "
@@ -337,7 +364,10 @@ def density_by_partition(spark, sf_dir):
     'WINDOW w AS (PARTITION BY "column" ORDER BY year)',
 )
 def yoy_same_month(spark, sf_dir):
-    rows = O.same_month_by_year(Q.lines(spark, sf_dir), 1, ["l_quantity", "price"], "l_shipdate")
+    """Every January, from the folders of a snapshot that hold one."""
+    path = scratch_path(spark, "snapshot")
+    lines = ensure_snapshot(spark, path, lambda: Q.lines(spark, sf_dir), "l_shipdate")
+    rows = O.same_month_by_year(lines, 1, ["l_quantity", "price"], "l_shipdate")
     return rows.select(
         "year", "column", F.round("mean", 6).alias("mean"), (F.round("pct_change", 6) + 0.0).alias("pct_change")
     )

@@ -17,10 +17,9 @@ from brisa.functions.values import to_number
 
 #: Registers of a distinct sketch: 2 ** LG_K.
 LG_K = 14
-#: Size of a quantile sketch and its rank error at 99 percent, as the library states it
-#: for single ranks (the fixed coefficients of its normalized rank error).
+#: Size of a quantile sketch, and its rank error at 99 percent by the sketch's published fit.
 KLL_K = 2_048
-KLL_RANK_ERROR = 2.296 / KLL_K**0.9021
+KLL_RANK_ERROR = 2.446 / KLL_K**0.9433
 #: Cut points at which two batches' ranks are compared.
 POINTS = 512
 
@@ -90,6 +89,9 @@ def load_batch_sketches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("string"))
 
 
+_TOLD = (("statistic", "double"), ("error", "double"), ("drift", "boolean"))
+
+
 def sketched_drift(sketches: DataFrame, ref: str, prod: str, min_effect: float = S.MIN_EFFECT) -> DataFrame:
     """Distance of two batches by their sketches: (column, n_ref, n_prod, statistic, error,
     drift). ``statistic`` is the largest gap of the two distribution functions over cut
@@ -97,15 +99,25 @@ def sketched_drift(sketches: DataFrame, ref: str, prod: str, min_effect: float =
     of either sketch, and the share between two cut points). ``drift`` is whether the
     effect is large enough; null where the error leaves it open. Reads two rows a column."""
     sides = []
-    shares = F.transform(F.sequence(F.lit(0), F.lit(POINTS)), lambda i: i / F.lit(float(POINTS)))
+    shares = F.array(*[F.lit(i / POINTS) for i in range(POINTS + 1)])
     for label, side in ((ref, "ref"), (prod, "prod")):
         own = sketches.where((F.col("batch_id") == label) & (F.col("n") > 0)).select(
             "column", F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")
         )
         sides.append(own.withColumn(f"q_{side}", F.kll_sketch_get_quantile_double(f"s_{side}", shares)))
     both = sides[0].join(sides[1], "column")
-    both = both.withColumn("points", F.array_distinct(F.concat("q_ref", "q_prod")))
-    both = both.withColumns({f"r_{s}": F.kll_sketch_get_rank_double(f"s_{s}", "points") for s in ("ref", "prod")})
+    # Ranks are asked for at literals: 2 * (POINTS + 1) numbers a column come to the driver.
+    points = {r.column: sorted({*r.q_ref, *r.q_prod}) for r in both.select("column", "q_ref", "q_prod").collect()}
+    if not points:
+        return both.select("column", "n_ref", "n_prod", *[F.lit(None).cast(t).alias(c) for c, t in _TOLD])
+    ranks = {}
+    for side in ("ref", "prod"):
+        told = F
+        for c, values in points.items():
+            asked = F.kll_sketch_get_rank_double(f"s_{side}", F.array(*[F.lit(v) for v in values]))
+            told = told.when(F.col("column") == c, asked)
+        ranks[f"r_{side}"] = told
+    both = both.withColumns(ranks)
     gaps = F.zip_with("r_ref", "r_prod", lambda a, b: F.abs(a - b))
     # Either sketch errs at the point and where its cut points fall; small batches are whole.
     err = sum((F.when(F.col(f"n_{s}") > KLL_K, F.lit(3 * KLL_RANK_ERROR)).otherwise(0.0) for s in ("ref", "prod")), F.lit(0.0))
