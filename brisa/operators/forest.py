@@ -35,6 +35,9 @@ TRIALS = 20
 
 
 FEATURES = "features"
+#: Memory for the counts of the nodes that are split in one pass over the rows: passes
+#: are what growing many trees takes time for.
+NODE_MEMORY_MB = 1_024
 #: Most levels of a categorical that is one-hot encoded.
 MAX_LEVELS = 10_000
 
@@ -149,7 +152,13 @@ def _forest(spec: S.ReadingSpec, seed: int, overrides: dict) -> RandomForestRegr
     if "featureShare" in settings:
         settings["featureSubsetStrategy"] = str(settings.pop("featureShare"))
     return RandomForestRegressor(
-        featuresCol=FEATURES, labelCol=spec.target, predictionCol=PREDICTION, seed=seed, maxBins=64, **settings
+        featuresCol=FEATURES,
+        labelCol=spec.target,
+        predictionCol=PREDICTION,
+        seed=seed,
+        maxBins=64,
+        maxMemoryInMB=NODE_MEMORY_MB,
+        **settings,
     )
 
 
@@ -242,6 +251,78 @@ def tune_forest(
     return train.sparkSession.createDataFrame(found, schema)
 
 
+#: Rungs of successive halving: trials that enter one, and rows that their trees are grown
+#: from. The last ones see as many rows as the search's models are trained on.
+RUNGS = ((TRIALS, 1_500), (7, 8_000), (2, 50_000))
+
+
+def halve_forest(
+    train: DataFrame,
+    valid: DataFrame,
+    spec: S.ReadingSpec = S.READINGS,
+    rungs: tuple[tuple[int, int], ...] = RUNGS,
+    seed: int = S.SEED,
+    space: dict = SEARCH_SPACE,
+    parallel: int = 2,
+    *,
+    key: str | None = None,
+) -> DataFrame:
+    """The search of ``tune_forest`` by successive halving: one row per rung and trial with
+    (rung, trial, parameters, rows, n, errors, kept).
+
+    All trials grow their forests from a small sample; of each rung the best by ``mae``
+    (then by number) go on and are grown again from more rows. Samples are drawn by a hash
+    of the key, so a rung's rows are among the next one's. ``rows`` is how many there were
+    (all, where there are fewer), ``n`` the rows of ``valid`` that judge, ``kept`` whether
+    the trial went on; in the last rung that is the best one. Fills, levels and the largest
+    sample's vectors are made once.
+    """
+    train = _labelled(train, spec)
+    keys = list(spec.key) if key is None else [key]
+    encoder = fit_encoder(train, spec)
+    largest = _grown_from(train, spec, max(rows for _, rows in rungs), key)
+    grown = encoder.encode(largest).select(FEATURES, spec.target, *keys).persist()
+    later = encoder.encode(valid).select(FEATURES, spec.entity, F.col(spec.target).cast("double")).persist()
+    proposals = draw_trials(rungs[0][0], seed, space)
+
+    def run(i: int, seen: DataFrame) -> tuple:
+        scored = _forest(spec, seed, proposals[i]).fit(seen).transform(later)
+        row = global_metrics(scored, target=spec.target).first()
+        worst = worst_entity(entity_metrics(scored, spec), spec).first()["mae"]
+        return (i, *[proposals[i][p] for p in space], row["n"], row["mae"], row["rmse"], row["r2"], worst)
+
+    found, alive = [], list(range(len(proposals)))
+    try:
+        for rung, (_, rows) in enumerate(rungs):
+            seen = sample_rows(grown, rows, keys).select(FEATURES, spec.target).persist()
+            try:
+                n_rows = seen.count()
+                with ThreadPoolExecutor(parallel) as pool:
+                    told = list(pool.map(lambda i, s=seen: run(i, s), alive))
+            finally:
+                seen.unpersist()
+            mae = len(space) + 2
+            ranked = [t[0] for t in sorted(told, key=lambda t: (t[mae], t[0]))]
+            kept = set(ranked[: rungs[rung + 1][0] if rung + 1 < len(rungs) else 1])
+            width = len(space) + 1
+            found += [(rung, *t[:width], n_rows, *t[width:], t[0] in kept) for t in told]
+            alive = sorted(kept)
+    finally:
+        grown.unpersist()
+        later.unpersist()
+    kinds = {int: "bigint", float: "double"}
+    parameters = [f"{p} {kinds[k]}" for p, (k, _, _) in space.items()]
+    measures = ["n bigint", *[f"{m} double" for m in TRIAL_MEASURES]]
+    schema = ", ".join(["rung bigint", "trial bigint", *parameters, "rows bigint", *measures, "kept boolean"])
+    return train.sparkSession.createDataFrame(found, schema)
+
+
+def best_of_rungs(trials: DataFrame) -> dict:
+    """The parameters that the last rung kept."""
+    best = trials.where("kept").orderBy(F.desc("rung")).first().asDict()
+    return {k: v for k, v in best.items() if k not in ("rung", "trial", "rows", "n", "kept", *TRIAL_MEASURES)}
+
+
 #: Errors of a trial.
 TRIAL_MEASURES = ("mae", "rmse", "r2", "worst_entity_mae")
 

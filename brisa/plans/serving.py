@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from brisa import spec as S
 from brisa.operators.forest import Imputed
-from brisa.sources.ledger import Ledger, UnknownAlias
-from brisa.streaming.jobs import NoModel, score_stream
+from brisa.sources.ledger import Ledger, RegistryUnavailable, UnknownAlias
+from brisa.streaming.jobs import NoModel, score_stream_with
 
 
 def serve_champion(
@@ -27,12 +27,27 @@ def serve_champion(
 ) -> StreamingQuery:
     """Score a stream with the champion of the moment; never with a candidate.
 
-    The alias is resolved when the query starts, and its version is stored with
-    every row. Restart the query to pick up a new champion.
+    The alias is resolved for every micro-batch, and its version is stored with every row:
+    a new champion scores from the next batch on, without a restart. A version is loaded
+    once. Without a champion the query does not start; while the registry cannot be read,
+    the last champion goes on.
     """
+    loaded: dict[str, object] = {}
+
+    def resolve() -> tuple[str, object]:
+        try:
+            version = ledger.version_of(model, "champion")
+            if version not in loaded:
+                champion = load(ledger.uri_of(model, version))
+                loaded.clear()
+                loaded[version] = champion
+        except RegistryUnavailable:
+            if not loaded:
+                raise
+        return next(iter(loaded.items()))
+
     try:
-        version = ledger.version_of(model, "champion")
+        resolve()
     except UnknownAlias as error:
         raise NoModel(f"{model} has no champion") from error
-    champion = load(ledger.uri_of(model, version))
-    return score_stream(records, text, champion, version, out, spec, keep, trigger)
+    return score_stream_with(records, text, resolve, out, spec, keep, trigger)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from brisa.operators import gate as G
@@ -11,16 +12,19 @@ from brisa.operators import metrics as E
 from brisa import spec as S
 from brisa.operators.features import build_features
 from brisa.operators.forest import (
+    RUNGS,
     SEARCH_SPACE,
     TRIALS,
     Imputed,
     draw_trials,
     fit_encoder,
     fit_forest,
+    halve_forest,
     predict_with,
     tune_forest,
 )
 from brisa.operators.partitions import slice_label
+from brisa.operators.prepare import prepare_partition
 from brisa.plans.promotion import decide, promote
 from brisa.plans.scoring import batch_score
 from brisa.plans.training import train_and_evaluate, training_flow
@@ -274,9 +278,14 @@ def one_hot(spark, sf_dir):
 
 # Bounds on the rows that trees are grown from here, drawn by a hash of event_id; fills and levels come from all.
 FIT_ROWS = 500
+TOLD_ROWS = 3_000
 SEARCH_ROWS = 150
 
 
+# The search's space with fewer and lower trees, so that the last rung's 50,000 rows are soon grown from.
+_SMALL_TREES = {**SEARCH_SPACE, "numTrees": (int, 5, 20), "maxDepth": (int, 5, 12)}
+
+
 @query(
     "forest_predict",
     f"WITH {Q.R}, {Q.prepared_sql('test')} SELECT event_id, station, pm25, TRUE AS in_train_range, TRUE AS same_when_loaded FROM p_test",
@@ -350,6 +359,80 @@ def tune_forest_q(spark, sf_dir):
     return trials.select("trial", *SEARCH_SPACE, "n", sound.alias("sound"))
 
 
+# A target that the measures tell: forests are held to it, as a mean cannot follow it.
+_TOLD = "coalesce(coalesce(PM10 / 20, NO2 / 8) + 1, 1.0e0)"
+_TOLD_SQL = (
+    f"{Q.R}, y AS (SELECT * REPLACE ({_TOLD} AS pm25) FROM r), "
+    + ", ".join(Q.clean_sql(f"p_{label}", "y", Q.slice_sql(label)) for label in ("train", "valid", "test"))
+    + ", g AS (SELECT avg(pm25) AS mean FROM p_train)"
+)
+
+
+def _told(spark, sf_dir, label):
+    rows = Q.readings(spark, sf_dir).withColumn("pm25", F.expr(_TOLD))
+    return prepare_partition(rows, label, Q.EVENTS, as_of=Q.AS_OF)
+
+
+@query(
+    "tune_halving",
+    f"WITH {_TOLD_SQL}, b AS (SELECT avg(abs(pm25 - mean)) AS mae, count(*) AS n FROM p_valid, g) "
+    "SELECT CAST(rung AS BIGINT) AS rung, CAST(trials AS BIGINT) AS n_trials, least(most, (SELECT count(*) FROM p_train)) AS \"rows\", "
+    "b.n, TRUE AS best_went_on, CASE WHEN rung = 2 THEN round(b.mae, 6) END AS baseline_mae, CASE WHEN rung = 2 THEN TRUE END AS below_half "
+    f"FROM (VALUES {', '.join(f'({i}, {t}, {n})' for i, (t, n) in enumerate(RUNGS))}) v(rung, trials, most), b",
+)
+def tune_halving(spark, sf_dir):
+    """Successive halving on nested samples up to 50,000 rows: who went on was best in the rung
+    before, and the one that is left errs less than half as much as the mean does."""
+    train, valid = (_told(spark, sf_dir, label).persist() for label in ("train", "valid"))
+    try:
+        trials = halve_forest(train, valid, Q.EVENTS, parallel=4, key="event_id", space=_SMALL_TREES)
+        mean = train.agg(F.avg("pm25")).first()[0]
+        base = valid.agg(F.avg(F.abs(F.col("pm25") - mean))).first()[0]
+    finally:
+        train.unpersist()
+        valid.unpersist()
+    place = F.row_number().over(Window.partitionBy("rung").orderBy("mae", "trial"))
+    on = F.element_at(F.array(*[F.lit(n) for n in (*[t for t, _ in RUNGS[1:]], 1)]), F.col("rung").cast("int") + 1)
+    entered = F.lag("kept").over(Window.partitionBy("trial").orderBy("rung"))  # a few dozen rows
+    placed = trials.withColumns({"place": place, "entered": F.coalesce(entered, F.col("rung") == 0)})
+    rungs = placed.groupBy("rung").agg(
+        F.count("*").alias("n_trials"),
+        F.max("rows").alias("rows"),
+        F.max("n").alias("n"),
+        F.bool_and((F.col("kept") == (F.col("place") <= on)) & F.col("entered")).alias("best_went_on"),
+        F.min(F.when(F.col("kept"), F.col("mae"))).alias("mae"),
+    )
+    last = F.col("rung") == len(RUNGS) - 1
+    return rungs.select(
+        "rung", "n_trials", "rows", "n", "best_went_on",
+        F.when(last, F.round(F.lit(base), 6)).alias("baseline_mae"),
+        F.when(last, F.col("mae") < 0.5 * base).alias("below_half"),
+    )
+
+
+@query(
+    "train_evaluate_told",
+    f"WITH {_TOLD_SQL}, x AS (SELECT 'valid' AS split, station, pm25 FROM p_valid UNION ALL SELECT 'test', station, pm25 FROM p_test), "
+    "w AS (SELECT split, count(*) AS n, round(avg(abs(pm25 - mean)), 6) AS baseline_mae FROM x, g GROUP BY split) "
+    "SELECT *, TRUE AS below_half, TRUE AS explains_half, TRUE AS worst_below_baseline FROM w",
+)
+def train_evaluate_told(spark, sf_dir):
+    """A forest on later splits of a target that the measures tell: it errs less than half as
+    much as the mean, explains over half of the variance, and serves no entity worse than that."""
+    later = {label: _told(spark, sf_dir, label) for label in ("valid", "test")}
+    metrics, _, _ = train_and_evaluate(
+        _told(spark, sf_dir, "train"), later, Q.EVENTS, rows=TOLD_ROWS, key="event_id", numTrees=60
+    )
+    base, forest = (metrics.where(F.col("model") == m).drop("model") for m in ("baseline", "bosque"))
+    both = forest.join(base.select("split", F.col("mae").alias("base")), "split")  # a row for each split
+    return both.select(
+        "split", "n", F.round("base", 6).alias("baseline_mae"),
+        (F.col("mae") < 0.5 * F.col("base")).alias("below_half"),
+        (F.col("r2") > 0.5).alias("explains_half"),
+        (F.col("worst_entity_mae") < F.col("base")).alias("worst_below_baseline"),
+    )
+
+
 class Doubled:
     """A model of another library: any object with ``predict(frame)``."""
 

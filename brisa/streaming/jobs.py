@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from brisa import spec as S
 from brisa.operators.features import build_features
@@ -30,19 +32,34 @@ def score_stream(
     spec: S.ReadingSpec = S.READINGS,
     keep: list[str] = (),
     trigger: dict | None = None,
+) -> StreamingQuery:
+    """``score_stream_with`` one model and version for as long as the query runs."""
+    if model is None:
+        raise NoModel("no champion is set")
+    return score_stream_with(records, text, lambda: (version, model), out, spec, keep, trigger)
+
+
+def score_stream_with(
+    records: DataFrame,
+    text: str,
+    resolve: Callable[[], tuple[str, object]],
+    out: str,
+    spec: S.ReadingSpec = S.READINGS,
+    keep: list[str] = (),
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Check, score and store JSON readings as they arrive.
 
     Valid rows go to ``out/scored`` with the model version, others to
-    ``out/quarantine`` with their reasons. Every micro-batch owns one folder per
-    sink and replaces it when it is retried, so a restart repeats nothing.
+    ``out/quarantine`` with their reasons. ``resolve`` is asked for (version, model) once
+    for each micro-batch, so all of its rows have the same one. Every micro-batch owns one
+    folder per sink and replaces it when it is retried, so a restart repeats nothing.
     """
-    if model is None:
-        raise NoModel("no champion is set")
     checked = check_incoming(records, text, spec)
 
     def store(batch: DataFrame, epoch: int) -> None:
         own = f"query={query_id(batch.sparkSession, out)}/epoch={epoch}"
+        version, model = resolve()
         batch = batch.persist()
         try:
             valid, quarantined = split_incoming(batch)
@@ -104,10 +121,11 @@ def outcome_counts(
 def update_stream(
     counts: DataFrame, out: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Store the counts every micro-batch changed, one folder per batch."""
+    """Store the counts every micro-batch changed, one folder per query and batch."""
 
     def store(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/counts/epoch={epoch}")
+        own = f"query={query_id(batch.sparkSession, out)}/epoch={epoch}"
+        batch.write.mode("overwrite").parquet(f"{out}/counts/{own}")
 
     return (
         counts.writeStream.outputMode("update")
@@ -119,16 +137,55 @@ def update_stream(
 
 
 def latest_counts(stored: DataFrame) -> DataFrame:
-    """The newest count of every window and outcome."""
-    return stored.groupBy("day", "outcome").agg(F.max_by("n", "epoch").alias("n"))
+    """The newest count of every window and outcome, added up over queries: one that starts
+    with a new checkpoint counts what it reads from 0 on."""
+    newest = stored.groupBy("query", "day", "outcome").agg(F.max_by("n", "epoch").alias("n"))
+    return newest.groupBy("day", "outcome").agg(F.sum("n").alias("n"))
+
+
+def files_stream(spark, folder: str, schema, per_batch: int = 1) -> DataFrame:
+    """Parquet files below a folder as they come, the oldest first, so many a micro-batch."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    return reader.option("maxFilesPerTrigger", per_batch).parquet(folder)
+
+
+class Arrivals(StreamingQueryListener):
+    """Rows by what became of them in a query's stateful operators, batch by batch: read,
+    dropped as late by the watermark, dropped as repeats."""
+
+    def __init__(self):
+        self.batches: dict[str, dict[int, tuple[int, int, int]]] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, query: str) -> threading.Event:
+        return self._ended.setdefault(query, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.id))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        late = sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+        repeats = sum(int(o.customMetrics.get("numDroppedDuplicateRows", 0)) for o in p.stateOperators)
+        seen = self.batches.setdefault(str(p.id), {})
+        # A batch may be told of again, with nothing new to say.
+        if p.numInputRows or late or repeats or p.batchId not in seen:
+            seen[p.batchId] = (p.numInputRows, late, repeats)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.id)).set()
+
+    def totals(self, query: StreamingQuery, wait: float = 60.0) -> tuple[int, int, int]:
+        """(read, late, repeated) rows of a query that has ended; waits for its last report."""
+        if not self._end(str(query.id)).wait(wait):
+            raise TimeoutError(f"no last report of query {query.id}")
+        return tuple(sum(x) for x in zip(*self.batches.get(str(query.id), {0: (0, 0, 0)}).values(), strict=True))
 
 
 def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-
-
-def latest_metrics(query: StreamingQuery, pick: Callable[[dict], object]) -> object:
-    """A figure of the last progress report, such as rows dropped by the watermark."""
-    return pick(query.lastProgress) if query.lastProgress else None

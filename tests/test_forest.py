@@ -119,3 +119,24 @@ def test_a_bound_on_rows_leaves_fills_and_levels_whole(model_frame):
     assert (model.numeric, model.categorical) == (whole.numeric, whole.categorical)
     assert model.pipeline.stages[0].labelsArray == whole.pipeline.stages[0].labelsArray
     assert model.pipeline.stages[-1].getNumTrees == FAST["numTrees"]
+
+
+def test_halving_grows_the_best_again_from_more_rows(model_frame):
+    space = {"numTrees": (int, 2, 4), "maxDepth": (int, 1, 4), "minInstancesPerNode": (int, 1, 3), "featureShare": (float, 0.3, 1.0)}
+    rungs = ((5, 20), (3, 40), (2, 1_000))
+    trials = R.halve_forest(model_frame, model_frame, rungs=rungs, space=space, key="CO")
+    rows = trials.collect()
+    alive = set(range(5))
+    for rung, (entered, most) in enumerate(rungs):
+        own = [r for r in rows if r.rung == rung]
+        assert {r.trial for r in own} == alive and len(own) == entered
+        assert {r["rows"] for r in own} == {min(most, 64)} and {r.n for r in own} == {64}
+        best = sorted(own, key=lambda r: (r.mae, r.trial))[: rungs[rung + 1][0] if rung < 2 else 1]
+        alive = {r.trial for r in own if r.kept}
+        assert alive == {r.trial for r in best}
+    assert R.best_of_rungs(trials) == R.draw_trials(5, space=space)[alive.pop()]
+
+
+def test_samples_of_rungs_are_nested(model_frame):
+    small, large = (R.sample_rows(R.sample_rows(model_frame, 50, "CO"), n, "CO") for n in (10, 30))
+    assert {r.CO for r in small.collect()} < {r.CO for r in large.collect()} < {r.CO for r in R.sample_rows(model_frame, 50, "CO").collect()}
