@@ -75,7 +75,7 @@ def subgroup_metrics(
     Errors are summed per (season, band) first, so only those few rows feed both
     axes. Groups below ``min_rows`` are left out.
     """
-    error = F.abs(F.col(target) - F.col(prediction))
+    error = E.absolute_error(F.col(target), F.col(prediction))
     cells = df.groupBy(*by, F.col(S.SEASON).alias("s"), hour_band(F.col(S.HOUR)).alias("b")).agg(
         F.sum(error).alias("e"), F.count(error).alias("c")
     )

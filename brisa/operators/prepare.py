@@ -16,6 +16,7 @@ from brisa.operators.features import build_features
 from brisa.operators.partitions import label_rows, resolve, slice_label
 from brisa.operators.ranks import exact_quantiles, first_rows, rows_before_cut
 from brisa.operators.sizes import join_null_safe
+from brisa.session import written
 
 
 @dataclass(frozen=True)
@@ -137,12 +138,17 @@ def prepare_partition(
     key: str | Sequence[str] | None = None,
     validate: bool = True,
     as_of: str | None = None,
+    once: bool | None = None,
 ) -> DataFrame:
     """Slice, check raw contract, clean, optionally sample, derive, check again.
 
-    The sample is an option and off by default: Spark needs none to fit memory.
+    The sample is an option and off by default: Spark needs none to fit memory. Checks and
+    medians take several passes: with ``once`` (by default where checks are made) the
+    slice is written to the shared folder first, and the source read a single time.
     """
     part = slice_label(df, label, spec.ranges, spec.time)
+    if validate if once is None else once:
+        part = written(part, "slice")
     if validate:
         enforce(part, raw_contract(spec, as_of=as_of))
     part = clean(part, spec)
@@ -162,16 +168,19 @@ def prepare_labelled(
     validate: bool = True,
     as_of: str | None = None,
     name: str = "particion",
+    once: bool | None = None,
 ) -> DataFrame:
     """Several partitions prepared together, each row with its label.
 
     Both contracts, the medians and the features of all partitions take one job
     each, however many partitions there are. Every partition is held to its own
-    contract and filled with its own medians.
+    contract and filled with its own medians. ``once`` as in ``prepare_partition``.
     """
     ranges = tuple(r for label in labels for r in resolve(label, spec.ranges))
     _require_disjoint(ranges)
     rows = label_rows(df, ranges, spec.time, name)
+    if validate if once is None else once:
+        rows = written(rows, "slices")
     if validate:
         enforce_by(rows, raw_contract(spec, as_of=as_of), name, labels)
     rows = build_features(clean_by(rows, name, spec), spec)
@@ -195,7 +204,7 @@ def prepare_partitions(
     A sample size per partition asks for partition-wise work.
     """
     if options.get("rows") is None:
-        kept = {k: v for k, v in options.items() if k in ("validate", "as_of")}
+        kept = {k: v for k, v in options.items() if k in ("validate", "as_of", "once")}
         return prepare_labelled(df, labels, spec, **kept).drop("particion")
     parts = [prepare_partition(df, label, spec, **options) for label in labels]
     return reduce(lambda a, b: a.unionByName(b), parts)

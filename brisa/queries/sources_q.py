@@ -11,7 +11,7 @@ from brisa.functions import calendar as C
 from brisa.functions import values as V
 from brisa.operators.features import build_features, select_features
 from brisa.operators.partitions import label_rows, slice_label
-from brisa.operators.metrics import PREDICTION, global_metrics, metrics_long
+from brisa.operators.metrics import PREDICTION, global_metrics, measure_entities, metrics_long
 from brisa.operators.forest import Baseline
 from brisa.queries import models as M
 from brisa.queries import tables as Q
@@ -365,6 +365,28 @@ def metrics_long_q(spark, sf_dir):
     return spark.read.parquet(path).withColumn("value", F.round("value", 6))
 
 
+@query(
+    "run_records",
+    f"WITH {Q.models_sql('test')}, z AS (SELECT station, avg(abs(pm25 - candidate)) AS mae, count(*) AS n FROM s GROUP BY station) "
+    "SELECT 'run-1' AS run_id, 'entity' AS kind, station AS name, round(mae, 6) AS value, n FROM z UNION ALL "
+    "SELECT 'run-1', 'param', 'worst', round(max(mae), 6), NULL FROM z",
+)
+def run_records(spark, sf_dir):
+    """What a run leaves behind, read back: the error of every entity, and a parameter."""
+    path = scratch_path(spark, "runs")
+    scored = M.scored(spark, sf_dir, "test").withColumnRenamed("candidate", PREDICTION).withColumn("split", F.lit("test"))
+    total, entities = measure_entities(scored, "split", Q.EVENTS)
+    K.append_entities(entities.withColumn("model", F.lit("candidate")), f"{path}/entities", "run-1", Q.EVENTS)
+    K.append_params(spark, f"{path}/params", "run-1", {"worst": total.first()["worst_entity_mae"]})
+    kept = spark.read.parquet(f"{path}/entities").select(
+        "run_id", F.lit("entity").alias("kind"), F.col("entity").alias("name"), F.col("mae").alias("value"), "n"
+    )
+    params = spark.read.parquet(f"{path}/params").select(
+        "run_id", F.lit("param").alias("kind"), F.col("param").alias("name"), F.col("value").cast("double").alias("value")
+    )
+    return kept.unionByName(params, allowMissingColumns=True).withColumn("value", F.round("value", 6))
+
+
 # --- projections and predicates -----------------------------------------------
 
 _PARTS = {

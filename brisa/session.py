@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,3 +51,12 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one run below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """A table written once below the shared folder and read from there, for plans that
+    need several passes: the source is read once, and a lost executor costs no more."""
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

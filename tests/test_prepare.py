@@ -160,3 +160,53 @@ def test_partitions_prepared_together_equal_those_prepared_alone(spark, forced):
     finally:
         for key in ("brisa.directRows", "brisa.broadcastRows"):
             spark.conf.unset(key)
+
+
+def scans(spark, df):
+    """The table with a counter of its rows as they are read, again in every scan."""
+    from pyspark.sql.functions import udf
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(_):
+        seen.add(1)
+        return True
+
+    rows = df.count()
+    counted = df.filter(udf(count, "boolean").asNondeterministic()(F.lit(1)))
+    return counted, lambda: seen.value / rows
+
+
+def test_the_source_is_read_once(spark, distributed):
+    """Checks, medians by bucket, the sample and the result itself: one scan of the source."""
+    from brisa.queries import tables as Q
+
+    source, done = scans(spark, Q.readings(spark, "/root/testdata/sf0.001"))
+    R.prepare_partition(source, "train", Q.EVENTS, as_of=Q.AS_OF, rows=100, key="event_id").collect()
+    assert done() == 1
+    source, done = scans(spark, Q.readings(spark, "/root/testdata/sf0.001"))
+    R.prepare_partitions(source, ["train", "test"], Q.EVENTS, as_of=Q.AS_OF).collect()
+    assert done() == 1
+    source, done = scans(spark, Q.readings(spark, "/root/testdata/sf0.001"))
+    R.prepare_partition(source, "test", Q.EVENTS, validate=False, once=False).collect()
+    assert done() > 1
+
+
+def test_batches_and_training_read_the_source_at_most_thrice(spark, tmp_path):
+    from brisa.operators.forest import Baseline
+    from brisa.plans.scoring import batch_score
+    from brisa.plans.training import training_flow
+    from brisa.queries import tables as Q
+    from brisa.sources.ledger import Ledger
+
+    readings = Q.readings(spark, "/root/testdata/sf0.001")
+    readings = readings.withColumn("pm25", F.coalesce(F.col("PM10") / 20 + 1, F.col("NO2") / 8 + 1, F.lit(1.0)))
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    source, done = scans(spark, readings)
+    training_flow(source, ledger, str(tmp_path / "s"), "m", Q.EVENTS, as_of=Q.AS_OF, numTrees=5, maxDepth=4)
+    assert done() == 2  # the fingerprint and the slices
+    ledger.register("mean", "1", "u")
+    ledger.set_alias("mean", "champion", "1")
+    source, done = scans(spark, readings)
+    batch_score(source, "test", ledger, "mean", str(tmp_path / "p"), Q.EVENTS, as_of=Q.AS_OF, load=lambda _: Baseline(1.0))
+    assert done() == 1
