@@ -66,7 +66,9 @@ def test_pieces_tile_items_and_sequences():
 
 def test_coder_is_the_library(library):
     with open(PATH, encoding="utf-8") as file:
-        coder = packing.Coder(file.read(), cached=20)
+        spec = file.read()
+    assert packing.plain_steps(spec)
+    coder = packing.Coder(spec, True, cached=20)
     texts = [
         "", "<|endoftext|> a<|startoftext|>b", "It's don'T WE'RE 's x'd", "日本語 🙂 naïve café x̌", "İstanbul ΣΑΣ ΕΎΣ",
         "a b c\x1cd\x85e", "12 34 !!! ... a1b2 <a|b> <|", "é ́x Å K ﬁ", "a" * 5_000, "{~}|x",

@@ -14,6 +14,7 @@ import check
 import corpus_pipeline
 from brisa.llm import bpe, winnow
 from tests.llm import brute
+from tests.llm.test_alike import leaders
 
 
 def run(spark, sf, name):
@@ -119,8 +120,8 @@ def test_bpe(spark, sf):
 def test_pipeline(spark, sf):
     docs = sorted(brute.documents(sf), key=lambda d: d["doc_id"])
     docs = [d for d in docs if any(c.isalpha() for c in d["text"])]
-    first = brute.components([brute.simhash(d["text"]) for d in docs])
-    docs = [d for i, d in enumerate(docs) if first[i] == i]
+    kept_ids = leaders([d["text"] for d in docs])  # Jaccard of five-word shingles, as in test_alike
+    docs = [d for i, d in enumerate(docs) if i in kept_ids]
     kept = brute.kept_bytes([d["text"] for d in docs])
     rows = [(d["doc_id"], d["source"], k.decode("utf-8", "ignore")) for d, (k, _, _) in zip(docs, kept)]
     own, want = encoding(), Counter()

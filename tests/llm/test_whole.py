@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brisa.llm import langid, suffixes, tokens
+from brisa.llm import langid, mixing, simhash, suffixes, tokens
 
 
 def test_every_letter_has_a_vector(monkeypatch):
@@ -56,3 +56,30 @@ def test_frequent_pretokens_of_all_texts(spark, sf, monkeypatch):
     found = tokens.frequent_pretokens(df, "text")
     assert {"▁seldom", "▁often"} <= set(found) and len(found) <= 50
     assert tokens.frequent_pretokens(df.where("false"), "text") == []
+
+
+def test_rows_that_differ_in_one_column_are_mixed_each(spark, sf):
+    rows = [(1, "a b c", "en", "s", 5), (1, "a b c", "de", "s", 5), (1, "a b c", None, "s", 5), (2, "d e f", "en", "s", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = mixing.mixed_texts(df, share=1.0).collect()
+    assert sorted((r.doc_id, str(r.lang)) for r in found) == [(1, "None"), (1, "de"), (1, "en"), (2, "en")]
+
+
+def test_one_of_equal_texts_stays_whatever_the_order_of_reading(spark, sf):
+    rows = [(1, "same words", lang, "s", n) for lang in ("en", "de", None) for n in (1, 2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {tuple(simhash.leaders(df.repartition(n).orderBy(F.rand(n))).collect()) for n in (1, 2, 3)}
+    assert len(kept) == 1 and len(kept.pop()) == 1
+
+
+def test_a_huge_pretoken_stays_out_of_the_table(spark, sf):
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = ["x" * 300_000, "often " * 50 + "y" * 2_000, "y" * 2_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert max(map(len, tokens.frequent_pretokens(df, "text"))) <= tokens.LONGEST
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(df, path).collect()}
+    assert got == {i: len(sp.encode(t)) for i, t in enumerate(texts)}
