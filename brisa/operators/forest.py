@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from brisa import spec as S
 from brisa.operators.metrics import PREDICTION, entity_metrics, global_metrics, worst_entity
-from brisa.operators.prepare import Fill, fit_medians, fit_most_frequent, sample_rows
+from brisa.operators.prepare import Fill, fit_medians, sample_rows
 
 # --- fixed values -----------------------------------------------------------
 FOREST_DEFAULTS = {"numTrees": 300, "minInstancesPerNode": 3, "maxDepth": 15}
@@ -105,45 +106,64 @@ def _session():
     return SparkSession.getActiveSession()
 
 
-def encoder_stages(categoricals: list[str]) -> list:
-    """Index and one-hot encode text columns.
+def fit_levels(train: DataFrame, columns: list[str] | tuple[str, ...]) -> dict[str, tuple[str | None, list[str]]]:
+    """Most frequent value (the smallest on a tie) and sorted levels of text columns, from one
+    count of all their values. More than ``MAX_LEVELS`` of a column are an error, found on
+    the counted rows before any comes to the driver."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    counted = (
+        train.select(F.inline(F.array(*cells)))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    rows = counted.limit(MAX_LEVELS * len(columns) + 1).collect()
+    sizes = Counter(r["column"] for r in rows)
+    if large := {c: f"{n} or more" for c, n in sizes.items() if n > MAX_LEVELS}:
+        raise ValueError(f"too many levels for one-hot encoding: {large}")
+    own = {c: [r for r in rows if r["column"] == c] for c in columns}
+    most = {c: min(x, key=lambda r: (-r["n"], r["value"]))["value"] if x else None for c, x in own.items()}
+    return {c: (most[c], sorted(r["value"] for r in x)) for c, x in own.items()}
+
 
-    Levels are sorted; an unseen level falls in the dropped last slot, so its
-    vector is all zeros while every seen level keeps a slot of its own.
+def encoder_stages(levels: dict[str, list[str]]) -> list:
+    """Index and one-hot encode text columns of known levels.
+
+    An unseen level falls in the dropped last slot, so its vector is all zeros while
+    every seen level keeps a slot of its own.
     """
-    return [
-        StringIndexer(
-            inputCols=categoricals,
-            outputCols=[f"{c}__i" for c in categoricals],
-            handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ),
-        OneHotEncoder(
-            inputCols=[f"{c}__i" for c in categoricals],
-            outputCols=[f"{c}__v" for c in categoricals],
-            dropLast=True,  # the indexer's slot for unseen levels
-        ),
+    names = list(levels)
+    # A model for each column: levels of several columns in one call must be equally many.
+    indexers = [
+        StringIndexerModel.from_labels(levels[c], inputCol=c, outputCol=f"{c}__i", handleInvalid="keep") for c in names
     ]
+    encoder = OneHotEncoder(
+        inputCols=[f"{c}__i" for c in names],
+        outputCols=[f"{c}__v" for c in names],
+        dropLast=True,  # the indexer's slot for unseen levels
+    )
+    return [*indexers, encoder]
 
 
 def fit_encoder(train: DataFrame, spec: S.ReadingSpec = S.READINGS) -> Imputed:
     """Fills, one-hot encoding and feature vector learned from the training rows.
 
     Its ``transform`` gives the vector in ``features``; every level of a categorical is
-    a slot, so more than ``MAX_LEVELS`` of them are an error.
+    a slot, so more than ``MAX_LEVELS`` of them are an error. Beside the medians one count
+    of the text columns' values serves fills, levels and the bound.
     """
     numeric = fit_medians(train, spec.numeric_features)
-    categorical = fit_most_frequent(train, spec.categorical_features)
-    counts = train.agg(*[F.count_distinct(c).alias(c) for c in spec.categorical_features]).first()
-    if large := {c: n for c, n in counts.asDict().items() if n > MAX_LEVELS}:
-        raise ValueError(f"too many levels for one-hot encoding: {large}")
+    levels = fit_levels(train, spec.categorical_features)
+    categorical = Fill({c: most for c, (most, _) in levels.items()})
     texts = [f"__c_{c}" for c in spec.categorical_features]
     assembler = VectorAssembler(
         inputCols=[*[f"{c}__v" for c in texts], *[f"__n_{c}" for c in spec.numeric_features]],
         outputCol=FEATURES,
     )
     unfitted = Imputed(numeric, categorical, None, tuple(spec.numeric_features))
-    pipeline = Pipeline(stages=[*encoder_stages(texts), assembler]).fit(unfitted.prepare(train))
+    # The encoder takes its sizes from the indexer's levels: fitting reads no rows.
+    stages = encoder_stages({f"__c_{c}": names for c, (_, names) in levels.items()})
+    pipeline = Pipeline(stages=[*stages, assembler]).fit(unfitted.prepare(train))
     return Imputed(numeric, categorical, pipeline, tuple(spec.numeric_features))
 
 

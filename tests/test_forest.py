@@ -117,7 +117,8 @@ def test_a_bound_on_rows_leaves_fills_and_levels_whole(model_frame):
     whole = R.fit_encoder(rare)
     model = R.fit_forest(rare, rows=3, key="CO", **FAST)
     assert (model.numeric, model.categorical) == (whole.numeric, whole.categorical)
-    assert model.pipeline.stages[0].labelsArray == whole.pipeline.stages[0].labelsArray
+    for i in range(3):
+        assert model.pipeline.stages[i].labels == whole.pipeline.stages[i].labels
     assert model.pipeline.stages[-1].getNumTrees == FAST["numTrees"]
 
 
@@ -140,3 +141,12 @@ def test_halving_grows_the_best_again_from_more_rows(model_frame):
 def test_samples_of_rungs_are_nested(model_frame):
     small, large = (R.sample_rows(R.sample_rows(model_frame, 50, "CO"), n, "CO") for n in (10, 30))
     assert {r.CO for r in small.collect()} < {r.CO for r in large.collect()} < {r.CO for r in R.sample_rows(model_frame, 50, "CO").collect()}
+
+
+def test_the_encoder_is_fitted_in_few_scans(spark, model_frame):
+    from tests.test_prepare import scans
+
+    train, done = scans(spark, model_frame.withColumn("wd", F.when(F.col("mes") == 3, None).otherwise(F.col("wd"))))
+    encoder = R.fit_encoder(train)
+    assert done() == 3  # the count and the medians, and the levels
+    assert encoder.categorical.values["wd"] == "S" and list(encoder.pipeline.stages[2].labels) == ["N", "S"]

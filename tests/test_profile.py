@@ -75,3 +75,42 @@ def test_groups_without_a_name_are_described_too(spark, distributed):
     got = {r["g"]: (r["count"], r["q50"], r["max"]) for r in O.describe(df, ["v"], ["g"]).collect()}
     assert got == {"a": (2, 2.0, 3.0), None: (1, 5.0, 5.0)}
     assert {r["g"] for r in O.box_stats(df, "v", "g").collect()} == {"a", None}
+
+
+def test_one_month_of_every_year_opens_its_folders_only(spark, tmp_path):
+    from brisa.sources.readings import ensure_snapshot
+
+    df = spark.range(4_000).select(
+        F.expr("timestamp_ntz '2020-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id AS INT))").alias("datetime"),
+        F.when(F.col("id") < 366, 10.0).otherwise(15.0).alias("x"),
+    )
+    table = ensure_snapshot(spark, str(tmp_path / "s"), lambda: df)
+    for source in (table, df):
+        rows = O.same_month_by_year(source, 12, ["x"])
+        assert [(r.year, r["mean"]) for r in rows.orderBy("year").collect()] == [(2020, 10.0)] + [(y, 15.0) for y in range(2021, 2031)]
+    rows = O.same_month_by_year(table, 12, ["x"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in plan and "2025-12" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert O.same_month_by_year(table, 12, ["x"], years=(2021, 2022)).count() == 2
+    assert O.same_month_by_year(df.limit(0), 12, ["x"]).count() == 0
+
+
+def test_density_curves_have_area_one(spark):
+    import numpy as np
+
+    df = spark.createDataFrame(
+        [("a", 10.0 ** (i / 100)) for i in range(200)] + [("b", 10.0 ** (i % 7)) for i in range(50)] + [("c", 5.0), ("c", 5.0), ("d", -1.0)],
+        "g string, v double",
+    )
+    rows = O.density_curve(df, "v", "g", points=400).collect()
+    assert {r.g for r in rows} == {"a", "b"}
+    for g in ("a", "b"):
+        own = sorted((r.x, r.density) for r in rows if r.g == g)
+        x, d = np.array(own).T
+        assert np.trapezoid(d, x) == __import__("pytest").approx(1.0, abs=0.01)
+    values = np.log10([10.0 ** (i / 100) for i in range(200)])
+    bw = values.std(ddof=1) * 200**-0.2
+    for r in rows[:400:37]:
+        if r.g == "a":
+            want = np.exp(-0.5 * ((r.x - values) / bw) ** 2).sum() / (200 * bw * np.sqrt(2 * np.pi))
+            assert abs(r.density - want) < 1e-4
