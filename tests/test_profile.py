@@ -88,9 +88,11 @@ def test_one_month_of_every_year_opens_its_folders_only(spark, tmp_path):
     for source in (table, df):
         rows = O.same_month_by_year(source, 12, ["x"])
         assert [(r.year, r["mean"]) for r in rows.orderBy("year").collect()] == [(2020, 10.0)] + [(y, 15.0) for y in range(2021, 2031)]
-    rows = O.same_month_by_year(table, 12, ["x"])
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [((" in plan and "2025-12" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = O.same_month_by_year(table, 12, ["x"])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pruned = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert all(f"{y}-12" in pruned for y in range(2020, 2031))
     assert O.same_month_by_year(table, 12, ["x"], years=(2021, 2022)).count() == 2
     assert O.same_month_by_year(df.limit(0), 12, ["x"]).count() == 0
 
