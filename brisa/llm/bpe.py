@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.text import trim
+from brisa.llm.text import hold, trim, with_arrow
 
 #: Words of each of the two generations that a worker remembers.
 CACHED = 250_000
@@ -196,6 +196,7 @@ _coders: dict[str, Coder] = {}
 
 def _coder(data: bytes, pattern: str, cached: int = CACHED) -> Coder:
     """The worker's coder of a vocabulary; it outlives tasks."""
+    hold("bpe", _coders.clear)
     key = hashlib.md5(data + f"{cached} {pattern}".encode()).hexdigest()
     trim()
     if key not in _coders:
@@ -240,34 +241,32 @@ def encoded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", out:
     """
     shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))
 
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def encode(batches):
         coder = _coder(*shared.value)
-        for batch in batches:
+        for (batch,) in batches:
             values = batch.to_pylist()
             parts = []
             for a, b in _slices([len(v) if v else 0 for v in values], _BYTES):
                 parts += coder.encode(values[a:b])
-            yield _lists(parts)
+            yield [_lists(parts)]
 
-    return df.withColumn(out, encode(F.col(text)))
+    return with_arrow(df, [text], f"`{out}` array<int>", encode)
 
 
 def decoded(df: DataFrame, ranks: bytes, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add the bytes that token ids stand for; null ids count as none."""
     shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))
 
-    @F.arrow_udf("binary")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def decode(batches):
         coder = _coder(*shared.value)
-        for batch in batches:
+        for (batch,) in batches:
             values = [np.array(v or (), np.int32) for v in batch.to_pylist()]
             parts = []
             for a, b in _slices([len(v) for v in values], _BYTES // 4):
                 parts += coder.decode(values[a:b])
-            yield pa.array(parts, pa.binary())
+            yield [pa.array(parts, pa.binary())]
 
-    return df.withColumn(out, decode(F.col(ids)))
+    return with_arrow(df, [ids], f"`{out}` binary", decode)
 
 
 def ids_text(ids: str = "ids") -> Column:
@@ -281,21 +280,18 @@ def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached:
     words of a generation that a worker remembers: memory against time."""
     shared = df.sparkSession.sparkContext.broadcast((ranks, pattern, cached))
 
-    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
-    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def both(batches):
         coder = _coder(*shared.value)
-        for batch in batches:
+        for (batch,) in batches:
             values = batch.to_pylist()
             ids, data = [], []
             for a, b in _slices([len(v) if v else 0 for v in values], _BYTES):
                 some = coder.encode(values[a:b])
                 ids += some
                 data += coder.decode(some)
-            yield pa.StructArray.from_arrays([_lists(ids), pa.array(data, pa.binary())], ["ids", "decoded"])
+            yield [_lists(ids), pa.array(data, pa.binary())]
 
-    return df.withColumn("__c", both(F.col(text))).withColumns(
-        {c: F.col(f"__c.{c}") for c in ("ids", "decoded")}
-    ).drop("__c")
+    return with_arrow(df, [text], "ids array<int>, decoded binary", both)
 
 
 def round_trip(

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brisa.llm.text import hold, trim, with_arrow
+
 DIMENSIONS = 1_024
 #: Places of an n-gram's number: its letters' code points (21 bits each, 0 is a gap).
 LETTERS = 1 << 21
@@ -95,6 +97,15 @@ def _gram_rows(grams: np.ndarray) -> np.ndarray:
     return _bound[[_grams[g] for g in grams.tolist()]]
 
 
+def _forget() -> None:
+    """Drop what the worker has learnt."""
+    global _known, _bound
+    _known = _bound = None
+    _letters.clear()
+    _grams.clear()
+    _tables.clear()
+
+
 def _bind(grams: np.ndarray) -> np.ndarray:
     out = None
     for i in range(N):
@@ -151,6 +162,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_i
     chosen = rows.join(F.broadcast(shares), "lang").where(place < F.col("share")).select("text", "lang")
 
     def bundles(batches):
+        hold("langid", _forget)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for value, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -189,27 +201,26 @@ def identify(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text
         matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
     shared = df.sparkSession.sparkContext.broadcast((names, matrix, centre))  # at most MAX_LANGUAGES vectors
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts):
-        import pandas as pd
-
+    def predict(batches):
+        hold("langid", _forget)
         names, matrix, centre = shared.value
-        langs, scores = [], []
-        for value in texts:
-            v = vector(value) if names else None
-            if v is None:
-                langs.append(UNDETERMINED)
-                scores.append(0.0)
-                continue
-            v = v - centre
-            cosines = matrix @ v / max(float(np.linalg.norm(v)), 1e-12)
-            best = int(np.argmax(cosines))
-            langs.append(names[best])
-            scores.append(float(min(1.0, max(0.0, (1 + cosines[best]) / 2))))
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
-
-    both = df.withColumn("__p", predict(F.col(text)))
-    return both.withColumns({c: F.col(f"__p.{c}") for c in ("lang_pred", "score")}).drop("__p")
+        for (texts,) in batches:
+            langs, scores = [], []
+            for value in texts:
+                v = vector(value.as_py()) if names else None
+                if v is None:
+                    langs.append(UNDETERMINED)
+                    scores.append(0.0)
+                    continue
+                v = v - centre
+                cosines = matrix @ v / max(float(np.linalg.norm(v)), 1e-12)
+                best = int(np.argmax(cosines))
+                langs.append(names[best])
+                scores.append(float(min(1.0, max(0.0, (1 + cosines[best]) / 2))))
+            yield [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+        trim()
+
+    return with_arrow(df, [text], "lang_pred string, score double", predict)
 
 
 def held_out(key: str = "doc_id", folds: int = 5):

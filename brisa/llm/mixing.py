@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brisa.llm.text import stored, word_count, words
+from brisa.llm.text import row_mark, stored, word_count, words
 
 #: Words of a slot.
 BLOCK = 256
@@ -198,9 +198,10 @@ def mixed_texts(df: DataFrame, **options) -> DataFrame:
     """``df`` as the mix takes it: a row for every pass over a document, whose text is
     cut (words joined by one space) where the mix takes only some of its words.
 
-    Needs the columns doc_id, text, source; n_chars is brought up to date if there.
+    Needs the columns doc_id, text, source; n_chars is brought up to date if there. Every
+    row comes out with its own other columns, also beside rows of the same id and text.
     """
-    mark = F.xxhash64("text")
+    mark = row_mark(df)
     mixed = mix(df, carry={"mark": mark}, **options).where(F.col("slot").isNotNull())
     spans = mixed.groupBy("src", "cell", "nth", "pass").agg(
         F.first("doc_id").alias("id"),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm.components import components
-from brisa.llm.text import stored, trim
+from brisa.llm.text import row_mark, stored, trim
 from brisa.operators.sizes import join_checked
 
 SHINGLE = 4
@@ -270,7 +270,10 @@ def firsts(df: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
     best = best.withColumnRenamed("mark", "__best")
     marked = df.withColumn("__mark", F.xxhash64(text))
     same = marked[key].eqNullSafe(best.key) & (marked["__mark"] == best["__best"])
-    return marked.join(best, same, "left_semi").dropDuplicates([key, "__mark"]).drop("__mark")
+    # Of rows with one key and text, the one whose other columns hash least.
+    kept = marked.join(best, same, "left_semi").withColumn("__row", row_mark(df))
+    one = kept.groupBy(key, "__mark").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), "__row").alias("__r"))
+    return one.select("__r.*")
 
 
 def hexed(fp: str = "fp"):

@@ -6,11 +6,13 @@ import ctypes
 import gc
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brisa.session import scratch_path
 
@@ -63,6 +65,46 @@ def trim() -> None:
         pass
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, drop: Callable[[], None]) -> None:
+    """Of all operators only ``owner`` goes on to hold what it learnt in this worker; what
+    another one left is dropped by the function that it named. Workers serve one operator
+    after the other, and what each has learnt would add up."""
+    for name in [n for n in _held if n != owner]:
+        _held.pop(name)()
+    _held[owner] = drop
+
+
+def with_arrow(df: DataFrame, inputs: list[str], added: str, fn) -> DataFrame:
+    """``df`` with further columns (``added`` is a schema of them) that ``fn`` makes from an
+    iterator of lists of Arrow arrays, the columns ``inputs`` of a batch each: a list of
+    arrays for every batch. Columns of the added names are replaced. Workers load no pandas
+    for it, which an Arrow or pandas function of a column does."""
+    new = T.StructType.fromDDL(added)
+    kept = [c for c in df.columns if c not in new.names]
+    schema = T.StructType([*[T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(kept)], *new])
+    given = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
+    read = [F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(inputs) if c not in kept]
+    names = [f"c{kept.index(c)}" if c in kept else f"__in{i}" for i, c in enumerate(inputs)]
+    width = len(kept)
+
+    def mapped(batches):
+        now = None
+
+        def arrays():
+            nonlocal now
+            for now in batches:
+                yield [now.column(n) for n in names]
+
+        for columns in fn(arrays()):
+            yield pa.RecordBatch.from_arrays([*[now.column(i) for i in range(width)], *columns], schema.names)
+
+    found = df.select(*given, *read).mapInArrow(mapped, schema)
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *new.names)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table below the shared folder and read it back: the lineage is cut
     and a lost executor costs nothing that came before."""
@@ -71,6 +113,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_mark(df: DataFrame) -> Column:
+    """A hash of a whole row: rows that differ in any column (but maps, which have no
+    hash) have different ones."""
+    columns = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
