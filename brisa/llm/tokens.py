@@ -29,6 +29,9 @@ _SUMMARY = pa.schema([("w", pa.string()), ("n", pa.int64())])
 
 #: Most entries of the broadcast table.
 FREQUENT = 32_768
+#: Most code points of a pre-token in the table and in a cache: with that, both are bounded
+#: in bytes. Longer ones are encoded every time.
+LONGEST = 64
 #: Pre-tokens a task counts side by side; of more, the rarer half is forgotten.
 COUNTED = 4 * FREQUENT
 #: Tasks that merge the summaries, and so the tables that the driver gets.
@@ -92,7 +95,7 @@ def frequent_pretokens(df: DataFrame, text: str) -> list[str]:
         for batch in batches:
             for value in batch.column(0).to_pylist():
                 if value:
-                    seen.update(pretokens(value))
+                    seen.update(w for w in pretokens(value) if len(w) <= LONGEST)
                 if len(seen) > COUNTED:
                     seen = Counter(dict(seen.most_common(COUNTED // 2)))
         best = seen.most_common(FREQUENT)
@@ -119,6 +122,15 @@ def frequent_lengths(df: DataFrame, text: str, model: bytes) -> dict[str, int]:
 _worker: dict[str, tuple[object, dict[str, int]]] = {}
 
 
+def worker_cache(key: str, proto: bytes) -> tuple[object, dict[str, int]]:
+    """The worker's processor and cache of a vocabulary; they outlive tasks. (A module's
+    function finds the module's own store, a function sent with a task an empty copy.)"""
+    if key not in _worker:
+        _worker.clear()
+        _worker[key] = (_processor(proto), {})
+    return _worker[key]
+
+
 def count_tokens(df: DataFrame, model_path: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
     """Add the number of tokens that the vocabulary's own library gives for each whole
     text, without begin, end or added special tokens.
@@ -140,14 +152,12 @@ def count_tokens(df: DataFrame, model_path: str, text: str = "text", out: str =
     def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         joined, sizes, proto = shared.value
         frequent = dict(zip(joined.split("\n"), sizes, strict=True)) if sizes else {}
-        if key not in _worker:
-            _worker.clear()
-            _worker[key] = (_processor(proto), {})
-        sp, cache = _worker[key]
+        sp, cache = worker_cache(key, proto)
         for batch in batches:
             counts = []
             values = batch.to_list()
             for at in range(0, len(values), _TOGETHER):
+                huge: list[str] = []
                 split = [pretokens(v) if v else [] for v in values[at : at + _TOGETHER]]
                 misses = {w for ws in split for w in ws if w not in frequent and w not in cache}
                 if misses:
@@ -156,9 +166,12 @@ def count_tokens(df: DataFrame, model_path: str, text: str = "text", out: str =
                         misses = {w for ws in split for w in ws if w not in frequent}
                     todo = list(misses)
                     cache.update(zip(todo, _lengths(sp, todo), strict=True))
+                    huge = [w for w in todo if len(w) > LONGEST]
                 for v, ws in zip(values[at : at + _TOGETHER], split, strict=True):
                     breaks = v.count("\n") if v else 0
                     counts.append(breaks + sum(frequent[w] if w in frequent else cache[w] for w in ws))
+                for w in huge:
+                    cache.pop(w, None)
             yield pd.Series(counts, dtype="int64")
 
     return df.withColumn(out, lengths(F.col(text)))
