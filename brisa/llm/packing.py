@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,8 @@ GROUP_TOKENS = 1 << 20
 #: Bytes of text in a task, and the most tasks there are (their texts are streamed).
 PART_BYTES = 8 << 20
 MAX_PARTS = 20_000
-#: Words that a worker remembers, and words encoded in one call.
+#: Words and pieces of words of each of the two generations that a worker remembers (some
+#: 200 bytes each), and texts encoded in one call.
 CACHED = 300_000
 _TOGETHER = 64
 
@@ -104,78 +106,118 @@ def pack_lengths(
     return pieces, sequences
 
 
-# The steps in front of the merges that ``Coder`` can take by itself on plain words.
+# The steps in front of the merges that ``Coder`` can take by itself on plain texts.
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_PLAIN = re.compile(r"[!-&(-;=-{}-~]+")  # visible ASCII but for what begins a contraction or special token
-_PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Visible ASCII and the Latin letters of two bytes, which are composed and have one lower case.
+_PLAIN = re.compile(r"[\x09-\x0D\x20-~À-ÖØ-öø-ÿ]*")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
+_SPECIAL = "<|"
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters that byte-level vocabularies write bytes with: printable ones stand for
+    themselves, the others are numbered from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+def plain_steps(spec: str) -> bool:
+    """Whether a vocabulary drops white space, splits at it and takes the known steps."""
+    shape = json.loads(spec)
+    parts = (shape.get("normalizer") or {}).get("normalizers", [])
+    steps = (shape.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    added = shape.get("added_tokens", [])
+    return (
+        [p["type"] for p in parts] == _NORMAL
+        and parts[1]["pattern"] == {"Regex": r"\s+"}
+        and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+        and steps[0]["pattern"] == {"Regex": _SPLIT}
+        and (steps[0]["behavior"], steps[0]["invert"]) == ("Removed", True)
+        and not steps[1]["add_prefix_space"]
+        and not any(a[k] for a in added for k in ("lstrip", "rstrip", "single_word", "normalized"))
+        and all(a["content"].startswith(_SPECIAL) for a in added)
+    )
 
 
 class Coder:
     """Token ids of texts as the tokenizers library gives them, without special tokens
-    added. Where the vocabulary drops white space and splits at it, a word's ids do not
-    depend on its neighbours: new words are encoded once and remembered. Words of visible
-    ASCII skip the library's normalizer and splitter, which leave them as they are."""
+    added. With ``plain`` (see ``plain_steps``) the ids of a piece between splits do not
+    depend on its neighbours: new pieces are merged by the library once and remembered for
+    two generations, and so are the words they make up. Plain texts are split here, as
+    lower case and splits are simple for them; words with other characters go through the
+    whole library."""
 
-    def __init__(self, spec: str, cached: int = CACHED):
+    def __init__(self, spec: str, plain: bool, cached: int = CACHED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cached, self.known = cached, {}
-        shape = json.loads(spec)
-        parts = (shape.get("normalizer") or {}).get("normalizers", [])
-        steps = (shape.get("pre_tokenizer") or {}).get("pretokenizers", [])
-        self.by_word = (
-            [p["type"] for p in parts] == _NORMAL
-            and parts[1]["pattern"] == {"Regex": r"\s+"}
-            and [s["type"] for s in steps] == ["Split", "ByteLevel"]
-            and steps[0]["pattern"] == {"Regex": _SPLIT}
-            and (steps[0]["behavior"], steps[0]["invert"]) == ("Removed", True)
-            and not steps[1]["add_prefix_space"]
-            and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] for a in shape["added_tokens"])
-            and all(a["content"].startswith("<|") for a in shape["added_tokens"])
-        )
-
-    def _plain(self, word: str) -> list[int]:
-        ids = []
-        for piece in _PIECE.findall(word.lower()):
-            ids += [t.id for t in self.tokenizer.model.tokenize(piece)]
-        return ids
+        self.plain, self.cached, self.letters = plain, cached, _byte_letters()
+        self.merge = self.tokenizer.model.tokenize
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _made(self, key: str) -> bytes:
+        """Ids of a plain word or piece in lower case, or of any word with a tab in front."""
+        if key[0] == "\t":
+            ids = self.tokenizer.encode(key[1:], add_special_tokens=False).ids
+        else:
+            pieces = _PIECE.findall(key)
+            if len(pieces) > 1:
+                return b"".join([self._ids(p) for p in pieces])
+            letters = key if key.isascii() else key.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.merge(letters)]
+        return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _ids(self, key: str) -> bytes:
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is None:
+                found = self._made(key)
+            if len(self.new) >= self.cached:
+                self.old, self.new = self.new, {}
+            self.new[key] = found
+        return found
+
+    def _keys(self, text: str) -> list[str]:
+        if _PLAIN.fullmatch(text) and _SPECIAL not in text:
+            return text.lower().split()
+        plain = {w: _PLAIN.fullmatch(w) and _SPECIAL not in w for w in set(_WORD.findall(text))}
+        return [w.lower() if plain[w] else "\t" + w for w in _WORD.findall(text)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.by_word:
+        if not self.plain:
             found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(e.ids, "<u4") for e in found]
-        known = self.known
-        split = [_WORD.findall(t) for t in texts]
-        new = {w for ws in split for w in ws if w not in known}
-        if len(known) + len(new) > self.cached:
-            known.clear()
-            new = {w for ws in split for w in ws}
-        other = []
-        for w in new:
-            if _PLAIN.fullmatch(w):
-                known[w] = self._plain(w)
-            else:
-                other.append(w)
-        if other:
-            for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-                known[w] = e.ids
         out = []
-        for ws in split:
-            ids: list[int] = []
-            for w in ws:
-                ids += known[w]
-            out.append(np.array(ids, "<u4"))
+        for text in texts:
+            keys = self._keys(text)
+            ids = list(map(self.new.get, keys))
+            if None in ids:
+                ids = [self._ids(k) if x is None else x for k, x in zip(keys, ids, strict=True)]
+            out.append(np.frombuffer(b"".join(ids), "<u4"))
         return out
 
 
 _worker: dict[str, Coder] = {}
 
 
+def worker_coder(spec: str, plain: bool) -> Coder:
+    """The worker's coder of a vocabulary; it outlives tasks. (A module's function finds the
+    module's own store, a function sent with a task would bring an empty copy.)"""
+    name = hashlib.sha256(spec.encode()).hexdigest()
+    if name not in _worker:
+        _worker.clear()
+        _worker[name] = Coder(spec, plain)
+    return _worker[name]
+
+
 def grouped(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, text) dealt to parts at random, in random order. A row's number salts the
     hash, so repeated rows spread like all others. Null texts are empty."""
@@ -211,18 +253,14 @@ def pack(
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = file.read()
     shared = df.sparkSession.sparkContext.broadcast(spec)
-    slack = capacity // 64 if slack is None else slack
+    slack, plain = capacity // 64 if slack is None else slack, plain_steps(spec)
     rows = grouped(df, key, text)
     fields = ["start", "length", "doc_tokens", "sequence_id", "offset"]
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = hashlib.sha256(shared.value.encode()).hexdigest()
-        if name not in _worker:
-            _worker.clear()
-            _worker[name] = Coder(shared.value)
-        coder = _worker[name]
+        coder = worker_coder(shared.value, plain)
         context = TaskContext.get()
         first = (context.partitionId() if context else 0) << 40
         keys: list = []
