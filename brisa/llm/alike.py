@@ -1,12 +1,14 @@
-"""Near duplicates by the Jaccard similarity of whole texts: distinct five-word shingles,
-alike from 0.8 on.
-
-Texts with equal sets of shingles collapse to one node. Candidates are nodes with an equal
-band of min-hashes: with ``BANDS`` bands of ``ROWS`` a pair of similarity s shares none
-with probability (1 - s**ROWS)**BANDS, 7 in a million at 0.8 and less above. Candidates only say
-which texts are held against each other: every link that joins two texts was verified on
-their whole sets. What candidates connect is compared in one place, a large group in
-pairs of blocks.
+"""Near duplicates: SimHash fingerprints of distinct five-word shingles matched by Golay-code
+fuzzy hashing, verified by the Jaccard similarity of the whole texts, alike from 0.8 on.
+
+Texts with equal sets of shingles collapse to one node. Candidates are nodes whose
+fingerprints share a fuzzy key (see ``simhash``) and differ in at most ``REACH`` bits. Up to 4
+bits the keys miss none; at 0.8 pairs differ in some 10 bits, where they miss many. So
+nodes with an equal band of min-hashes are candidates too: with ``BANDS`` bands of ``ROWS`` a
+pair of similarity s shares none with probability (1 - s**ROWS)**BANDS, 7 in a million at 0.8 and
+less above. Candidates only say which texts are held against each other: every link that
+joins two texts was verified on their whole sets. What candidates connect is compared in
+one place, a large group in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -25,6 +27,9 @@ SHINGLE = 5
 SEED = 42
 #: Least similarity, as a fraction.
 ALIKE = (4, 5)
+#: Differing bits up to which fingerprints that share a key make candidates. Of two unrelated
+#: texts 1 pair in 100 million is that near, so such links stay few in large tables.
+REACH = 10
 #: Bands of min-hashes, and min-hashes in each.
 BANDS, ROWS = 30, 5
 #: Nodes, and bytes of their sets, of one group that are compared in one place; more are
@@ -45,6 +50,11 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in found], np.uint64))
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of a set of shingles; 0 without shingles."""
+    return simhash.majority(hashes[at : at + 65_536] for at in range(0, len(hashes), 65_536))
+
+
 def bands(hashes: np.ndarray) -> np.ndarray:
     """A key for each band: hash of its number and its min-hashes. No bands without shingles."""
     import xxhash
@@ -90,28 +100,31 @@ def alike_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _hashed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, mark, node, n, bands) of every row: ``node`` hashes the set of ``n`` shingles."""
+    """(key, mark, node, n, fp, bands) of every row: ``node`` hashes the set of ``n`` shingles,
+    ``fp`` is its fingerprint."""
     rows = df.select(F.col(key).alias(key), F.xxhash64(text).alias("mark"), F.col(text).alias("__t"))
 
     def hashed(batches):
         import xxhash
 
         for (texts,) in batches:
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, fps, keys = [], [], [], []
             for t in texts:
                 s = shingles(t.as_py())
                 nodes.append(xxhash.xxh64_intdigest(s.tobytes(), SEED))
                 sizes.append(len(s))
+                fps.append(fingerprint(s))
                 keys.append(bands(s))
             yield [
                 pa.array(np.array(nodes, np.uint64).view(np.int64)),
                 pa.array(sizes, pa.int32()),
+                pa.array(np.array(fps, np.uint64).view(np.int64)),
                 pa.array(keys, pa.list_(pa.int64())),
             ]
         trim()
 
-    found = with_arrow(rows, ["__t"], "node long, n int, bands array<long>", hashed)
-    return found.select(key, "mark", "node", "n", "bands")
+    found = with_arrow(rows, ["__t"], "node long, n int, fp long, bands array<long>", hashed)
+    return found.select(key, "mark", "node", "n", "fp", "bands")
 
 
 def _verified(df: DataFrame, rows: DataFrame, near: DataFrame, key: str, text: str, block: int) -> DataFrame:
@@ -166,14 +179,32 @@ def _verified(df: DataFrame, rows: DataFrame, near: DataFrame, key: str, text: s
     return dealt.sortWithinPartitions("component", "cell").mapInArrow(linked, "u long, v long")
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """(node, component): what shared bands connect. Every node of a band is linked to the
+def near_fingerprints(rows: DataFrame) -> DataFrame:
+    """Links (u, v) between nodes by their fingerprints. Nodes of one fingerprint are linked
+    to the smallest of them, which stands for all in the links to others."""
+    nodes = stored(rows.select("fp", "node").distinct(), "fingerprinted")
+    first = stored(nodes.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints")
+    near = simhash.near_links(first, REACH, beyond=True)
+    for end in ("u", "v"):
+        named = first.select(F.col("fp").alias(end), F.col("first").alias(f"n{end}"))
+        near = join_checked(near, named, [end])
+    same = join_checked(nodes, first, ["fp"]).where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    return near.select(F.col("nu").alias("u"), F.col("nv").alias("v")).unionByName(same)
+
+
+def shared_bands(rows: DataFrame) -> DataFrame:
+    """Links (u, v) between nodes by their bands. Every node of a band is linked to the
     band's smallest one, so links grow with the rows."""
     keyed = rows.select("node", F.explode("bands").alias("band")).distinct()
     least = keyed.groupBy("band").agg(F.min("node").alias("v"), F.count("*").alias("nodes"))
     least = stored(least.where("nodes > 1").select("band", "v"), "bands")
     links = join_checked(keyed, least, ["band"]).where("node <> v")
-    return components(links.select(F.col("node").alias("u"), "v"))
+    return links.select(F.col("node").alias("u"), "v")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(node, component): what near fingerprints or shared bands connect."""
+    return components(near_fingerprints(rows).unionByName(shared_bands(rows)))
 
 
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:

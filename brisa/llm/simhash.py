@@ -13,13 +13,15 @@ for each distinct fingerprint, and those that meet are verified bit by bit.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm.components import components
-from brisa.llm.text import row_mark, stored, trim
+from brisa.llm.text import hold, row_mark, stored, trim
 from brisa.operators.sizes import join_checked
 
 SHINGLE = 4
@@ -48,14 +50,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     ends = np.concatenate((gaps, [len(joined)]))
     n = max(1, len(words) - shingle + 1)
     first, last = starts[:n].tolist(), ends[len(words) - n :].tolist()
-    ones = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
-    for at in range(0, n, _HASHED):
-        hashes = [
-            digest(joined[a:b], seed) for a, b in zip(first[at : at + _HASHED], last[at : at + _HASHED], strict=True)
-        ]
-        raw = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return majority(
+        [digest(joined[a:b], seed) for a, b in zip(first[at : at + _HASHED], last[at : at + _HASHED], strict=True)]
+        for at in range(0, n, _HASHED)
+    )
+
+
+def majority(parts: Iterable) -> int:
+    """SimHash of 64-bit hashes that come in parts: the bits that over half of them have set."""
+    n, ones = 0, np.zeros(64, np.int64)
+    for hashes in parts:
+        raw = np.asarray(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(raw)
     bits = (2 * ones > n).astype(np.uint8)
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
 
@@ -65,6 +73,7 @@ _golay: list[np.ndarray] = []
 
 def decoder() -> np.ndarray:
     """Number of the codeword within three bits of every 23-bit word."""
+    hold("golay", _golay.clear)
     if not _golay:
         data = np.arange(4096, dtype=np.uint32) << 11
         rest = data.copy()
@@ -157,14 +166,15 @@ def group_links(keys: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarra
     return pairs[0], pairs[1]
 
 
-def near_links(fps: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
+def near_links(fps: DataFrame, bits: int = BITS, block: int = BLOCK, beyond: bool = False) -> DataFrame:
     """Links (u, v) between distinct fingerprints (column ``fp``, long) that differ in at
-    most ``bits`` <= 4 bits: enough of them to connect all that are linked.
+    most ``bits`` <= 4 bits: enough of them to connect all that are linked. More bits are
+    allowed with ``beyond``: of the pairs over 4 bits apart those are found that share a key.
 
     A key with more than ``block`` fingerprints is dealt out as pairs of blocks, so a
     task never holds more than two blocks of a key.
     """
-    if bits > 4:
+    if bits > 4 and not beyond:
         raise ValueError("the keys guarantee links of up to 4 bits only")
 
     def keyed(batches):

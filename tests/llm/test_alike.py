@@ -107,6 +107,37 @@ def test_recall_of_bands():
     assert not len(alike.bands(alike.shingles("")))
 
 
+def test_fingerprint_of_a_set():
+    text = "One two  three four five six one TWO three four five"
+    assert alike.fingerprint(alike.shingles("")) == 0
+    hashes = alike.shingles(text).tolist()
+    assert len(hashes) == 6 and len(five(text)) == 6
+    want = sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > 6)
+    assert alike.fingerprint(alike.shingles(text)) == want
+    again = text + " six one two three four five"  # only repeats: the same set
+    assert alike.fingerprint(alike.shingles(again)) == want
+
+
+def test_candidates_by_fingerprints(spark, sf, monkeypatch):
+    """Golay keys alone lead to near copies: no pair within 4 bits is missed, most up to REACH."""
+    monkeypatch.setattr(alike, "shared_bands", lambda rows: spark.createDataFrame([], "u long, v long"))
+    rng = random.Random(4)
+    texts = []
+    for _ in range(40):
+        words = prose(rng, 400)
+        texts += [" ".join(words), " ".join("edit" if k in (90, 300) else w for k, w in enumerate(words))]
+    fps = [alike.fingerprint(alike.shingles(t)) for t in texts]
+    apart = [(fps[i] ^ fps[i + 1]).bit_count() for i in range(0, len(texts), 2)]
+    got = {r.doc_id for r in alike.leaders(table(spark, texts)).collect()}
+    assert {2 * i for i in range(40)} <= got
+    missed = [d for i, d in enumerate(apart) if 2 * i + 1 in got]
+    assert not [d for d in missed if d <= simhash.BITS] and len(missed) < 4
+    assert any(d > simhash.BITS for d in apart)
+    # Different sets of one fingerprint are candidates as well.
+    rows = spark.createDataFrame([(1, 7), (2, 7), (3, 7), (3, 7), (4, -1)], "node long, fp long")
+    assert {(r.u, r.v) for r in alike.near_fingerprints(rows).collect()} == {(2, 1), (3, 1)}
+
+
 def test_every_near_copy_of_the_table(spark, sf):
     docs = sorted(brute.documents(sf), key=lambda d: d["doc_id"])
     kept = {docs[i]["doc_id"] for i in leaders([d["text"] for d in docs])}
