@@ -66,6 +66,7 @@ def numbered(df: DataFrame) -> DataFrame:
         F.floor(F.col("turn") / CELL).alias("cell"),
     )
     order = [F.asc_nulls_first("turn"), F.col("a"), F.col("b")]
+    rows = stored(rows, "trie-hashed")
     return _running(rows, "conv_id", "cell", order, {"pos": (F.sum, F.lit(1), add)}).select("conv_id", "pos", "a", "b", "len")
 
 
@@ -88,6 +89,7 @@ def rebuilt(turns: DataFrame, group: int, head: Column, most: int) -> tuple[Data
     convs = convs.select(
         "conv_id", F.when(same, 0).otherwise(F.col("head")).alias("skip"), pre.alias("pre"), "own", "base"
     ).withColumn("n", F.col("pre") + F.greatest(F.col("own") - F.col("skip"), F.lit(0)))
+    convs = stored(convs, "trie-convs")
     shift = convs.select(F.col("conv_id").alias("c"), "skip", "pre")
     own = turns.join(shift, turns.conv_id.eqNullSafe(shift.c)).where(F.col("pos") >= F.col("skip"))
     own = own.select("conv_id", (F.col("pos") - F.col("skip") + F.col("pre") + 1).alias("depth"), "a", "b", "len")
@@ -115,7 +117,7 @@ def blocks(turns: DataFrame, convs: DataFrame) -> DataFrame:
     ids = convs.select(F.col("conv_id").alias("c"), "n")
     rows = ids.join(rows, rows.conv_id.eqNullSafe(ids.c), "left").drop("conv_id").withColumnRenamed("c", "conv_id")
     rows = rows.withColumn("block", F.coalesce("block", F.lit(0)))
-    rows = rows.withColumn("cell", F.floor(F.col("block") / CELL))
+    rows = stored(rows.withColumn("cell", F.floor(F.col("block") / CELL)), "trie-turns-of-blocks")
     sums = {f"p{x}": (F.bit_xor, F.col(f"h{x}"), Column.bitwiseXOR) for x in "ab"}
     return _running(rows, "conv_id", "cell", [F.col("block")], sums).drop("ha", "hb", "cell")
 
@@ -154,6 +156,7 @@ def _digests(ends: DataFrame) -> DataFrame:
     span; a node with more spans than one is hashed span after span as they stream by."""
     ids = F.array_join(F.array_sort(F.collect_list("conv_id")), ",")
     lists = ends.groupBy("ka", "kb", F.floor(F.col("conv_id") / SPAN).alias("span")).agg(ids.alias("ids"))
+    lists = stored(lists, "trie-ends")
     each = lists.groupBy("ka", "kb").agg(
         F.count("*").alias("spans"), F.min("span").alias("first"), F.max("span").alias("last")
     )
@@ -180,7 +183,7 @@ def _digests(ends: DataFrame) -> DataFrame:
 
     many = rows.where("spans > 1").repartition("ka", "kb").sortWithinPartitions("ka", "kb", "span")
     many = many.mapInArrow(streamed, "ka long, kb long, ends_sha256 string")
-    return one.unionByName(many)
+    return stored(one.unionByName(many), "trie-digests")
 
 
 def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
@@ -194,6 +197,8 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     about 1 of 2**128 / nodes**2 tables; they are no defence against texts made up for it.
     No conversations, no nodes, not even a root.
     """
+    # Every step is written, so that no plan holds more than a few shuffles: the driver keeps
+    # the plan and code of whatever runs, and the steps are read two to four times.
     rows = stored(blocks(turns, convs), "trie-blocks")
     # Null ids sort last: the smallest member is an id where there is one.
     levels = range(BLOCK + 1)
@@ -202,7 +207,7 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         {"conv_id": "min(conv_id)", "n_convs": "count(*)", **{f"e{j}": f"count_if(end = {j})" for j in levels}},
     )
     ended = F.element_at(F.array(*[f"e{j}" for j in levels]), F.col("level") + 1)
-    level = F.col("level")
+    level, before = F.col("level"), F.col("block") * BLOCK
     nodes = first.select(
         "conv_id",
         "depth",
@@ -216,20 +221,25 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         F.max("leaf").alias("leaf"),
         F.min_by(F.struct("qa", "qb"), "depth").alias("parent"),
     )
+    owners = stored(owners, "trie-owners")
     above = nodes.select(F.col("conv_id").alias("above"), F.col("ka").alias("xa"), F.col("kb").alias("xb"))
     top = owners.where("own = 0").withColumn("above", F.lit(None).cast("long"))
     lower = owners.where("own > 0").join(above, [F.col("parent.qa") == F.col("xa"), F.col("parent.qb") == F.col("xb")])
     owners = top.select("conv_id", "own", "leaf", "above").unionByName(lower.select("conv_id", "own", "leaf", "above"))
+    ends = rows.withColumn("level", (F.col("n") - before).cast("int"))
+    last = (F.col("level") > 0) & (F.col("level") <= BLOCK) | (F.col("n") == 0)
+    ends = ends.where(last & F.col("conv_id").isNotNull())
+    ends = ends.select("conv_id", *[_key(level, x).alias(f"k{x}") for x in "ab"])
+    digests = _digests(ends)
     owners = owners.withColumnRenamed("conv_id", "c")
     rows = rows.join(owners, rows.conv_id.eqNullSafe(owners.c), "left").drop("c")
     own = F.coalesce("own", F.col("n") + 1)
-    before = F.col("block") * BLOCK
     lens = [F.coalesce(F.col(f"t{j}.len"), F.lit(0)) for j in range(BLOCK)]
     spare = [F.when(before + j + 1 < own, lens[j]).otherwise(0) for j in range(BLOCK)]
     # Spare bytes of the blocks behind this one: of the whole conversation, less those up to here.
     here = sum(spare[1:], spare[0])
     rows = rows.withColumns({"leaf": F.coalesce("leaf", F.lit(0)), "own": own, "here": here})
-    rows = rows.withColumn("cell", F.floor(-F.col("block") / CELL))
+    rows = stored(rows.withColumn("cell", F.floor(-F.col("block") / CELL)), "trie-owned")
     rows = _running(rows, "conv_id", "cell", [F.desc("block")], {"behind": (F.sum, F.col("here"), add)})
     left = {f"u{BLOCK}": F.col("behind")}
     for j in reversed(range(BLOCK)):
@@ -262,11 +272,7 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         at_level(["u0", *[f"u{j}" for j in range(BLOCK)]]).alias("saved_tokens"),
         *[_key(level, x).alias(f"k{x}") for x in "ab"],
     )
-    ends = rows.withColumn("level", (F.col("n") - before).cast("int"))
-    last = (F.col("level") > 0) & (F.col("level") <= BLOCK) | (F.col("n") == 0)
-    ends = ends.where(last & F.col("conv_id").isNotNull())
-    ends = ends.select("conv_id", *[_key(level, x).alias(f"k{x}") for x in "ab"])
-    out = second.join(_digests(ends), ["ka", "kb"], "left")
+    out = stored(second, "trie-summed").join(digests, ["ka", "kb"], "left")
     nobody = F.lit(hashlib.sha256(b"").hexdigest())
     return out.withColumn("ends_sha256", F.coalesce("ends_sha256", nobody)).drop("ka", "kb")
 

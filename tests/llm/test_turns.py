@@ -92,3 +92,19 @@ def test_odd_rows(spark, sf):
     extra = table(spark, rows).selectExpr("*", "1 AS block", "2 AS level", "'x' AS t0", "3 AS depth", "4 AS pos")
     assert found(extra) == plain(rows)
     assert found(table(spark, [])) == []
+
+
+def test_plans_stay_small(spark, sf, monkeypatch):
+    """The driver holds the plan of what runs: no step has more than a few shuffles."""
+    shuffles = {}
+
+    def count(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    def counted(df, name, stored=turns.stored):
+        shuffles[name] = count(df)
+        return stored(df, name)
+
+    monkeypatch.setattr(turns, "stored", counted)
+    out = turns.prefix_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
+    assert max(*shuffles.values(), count(out)) <= 8 and max(shuffles.values()) >= 2
