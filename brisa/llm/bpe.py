@@ -6,9 +6,11 @@ query joins neighbouring rows with the merge table and contracts, in every word,
 leftmost pair of least rank, until no pair of any word is left. Decoding joins the
 ids with the vocabulary and puts the pieces together by an ordered aggregation.
 
-One round contracts every occurrence of the least rank (from the left, not
-overlapping) where the merged token can form no pair of lesser rank with anything:
-the leftmost-first order would come to the same occurrences next.
+One round contracts every sure pair of a word: nothing of lesser or equal rank can ever take
+one of its two tokens away, and the merged token can form no pair of lesser rank with
+anything. Whatever merges come first leave such a pair alone, so the order of ranks comes to
+it as it stands. Of each word's least rank a round contracts every occurrence (from the left,
+not overlapping) if the merged token can form no pair of lesser rank, else the leftmost one.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -28,37 +31,43 @@ from brisa.llm.text import hold, trim, with_arrow
 #: Words of each of the two generations that a worker remembers.
 CACHED = 250_000
 #: Bytes of new words that one recursion takes on, and the rows it may pile up.
-TOGETHER = 150_000
+TOGETHER = 300_000
 ROWS = 3_000_000
 
 # A row's key is its word and its place in it, so one order serves all words.
 _ROUNDS = """
-WITH RECURSIVE t(round, key, tok) AS (
-    SELECT 0, key, tok FROM start
+WITH RECURSIVE t(round, key, tok, done) AS (
+    SELECT 0, key, tok, false FROM start
     UNION ALL
     (WITH p AS MATERIALIZED (
         SELECT round, key >> 32 AS w, key, tok, lead(tok) OVER o AS next, lead(key) OVER o >> 32 AS nextw,
             row_number() OVER o AS i
-        FROM t WHERE round < {rounds} WINDOW o AS (ORDER BY key)),
+        FROM t WHERE round < {rounds} AND NOT done WINDOW o AS (ORDER BY key)),
+    q AS (
+        SELECT p.w, p.i, g.rank, g.safe, g.by_right, g.by_left
+        FROM p JOIN merges g ON g.l = p.tok AND g.r = p.next WHERE p.nextw = p.w),
     m AS MATERIALIZED (
-        SELECT p.w, p.i, g.rank, g.safe FROM p JOIN merges g ON g.l = p.tok AND g.r = p.next WHERE p.nextw = p.w),
-    least AS MATERIALIZED (SELECT w, min(rank) AS rank FROM m GROUP BY w),
+        SELECT w, i, rank, safe, safe
+            AND (lead(i) OVER o IS DISTINCT FROM i + 1 OR lead(by_right) OVER o > rank)
+            AND (lag(i) OVER o IS DISTINCT FROM i - 1 OR lag(by_left) OVER o > rank) AS sure
+        FROM q WINDOW o AS (ORDER BY i)),
+    least AS MATERIALIZED (SELECT w, min(rank) AS rank FROM m WHERE rank IS NOT NULL GROUP BY w),
     c AS (
         SELECT m.w, m.i, m.rank, m.safe, row_number() OVER (PARTITION BY m.w ORDER BY m.i) AS nth
-        FROM m JOIN least l ON l.w = m.w AND l.rank = m.rank),
+        FROM m JOIN least l ON l.w = m.w AND l.rank = m.rank WHERE NOT m.sure),
     best AS MATERIALIZED (
+        SELECT i, rank FROM m WHERE sure
+        UNION ALL
         SELECT i, rank FROM (
             SELECT *, row_number() OVER (PARTITION BY w, i - nth ORDER BY i) AS inrun FROM c)
         WHERE nth = 1 OR (safe AND inrun % 2 = 1)),
     -- The left row of a pair becomes the merged token, the right one goes.
     e AS (SELECT i, rank FROM best UNION ALL SELECT i + 1, NULL FROM best)
-    SELECT p.round + 1, p.key, CASE WHEN e.i IS NULL THEN p.tok ELSE e.rank END
-    FROM p SEMI JOIN least l ON l.w = p.w LEFT JOIN e ON e.i = p.i
+    -- A word without pairs is handed on once more, as done.
+    SELECT p.round + 1, p.key, CASE WHEN e.i IS NULL THEN p.tok ELSE e.rank END, l.w IS NULL
+    FROM p LEFT JOIN least l ON l.w = p.w LEFT JOIN e ON e.i = p.i
     WHERE e.i IS NULL OR e.rank IS NOT NULL))
-SELECT t.key >> 32 AS w, t.tok, e.last
-FROM t JOIN (SELECT key >> 32 AS w, max(round) AS last FROM t GROUP BY ALL) e
-    ON e.w = t.key >> 32 AND e.last = t.round
-ORDER BY t.key
+SELECT key >> 32 AS w, tok, done FROM t WHERE done OR round = {rounds} ORDER BY key
 """
 
 _DECODE = """
@@ -74,24 +83,51 @@ def ranks_of(data: bytes) -> dict[bytes, int]:
 
 
 def merge_table(ranks: dict[bytes, int]) -> pa.Table:
-    """(l, r, rank, safe) for every way to put a token together from two others. A
-    merged token is unsafe if with a neighbour it can be a token of lesser rank."""
-    rows, unsafe = [], set()
+    """(l, r, rank, safe, by_right, by_left) of neighbouring tokens. ``rank`` is that of the
+    token they make, null if none. It is unsafe if that token can make one of lesser rank with a
+    neighbour. ``by_right`` is the least rank of a token made of l and any token that begins
+    with r, ``by_left`` of any token that ends with l, and r; pairs that could hold back no
+    merge are left out."""
+    none = 2**31 - 1
+    rank_of, right, left, unsafe = {}, {}, {}, set()
+    # The greatest rank of a token whose right, or left, part is this token.
+    as_right, as_left = {}, {}
     for token, rank in ranks.items():
         for cut in range(1, len(token)):
             l, r = ranks.get(token[:cut]), ranks.get(token[cut:])
-            if l is not None and r is not None:
-                rows.append((l, r, rank))
-                unsafe.update(x for x in (l, r) if x > rank)
-    l, r, rank = (pa.array(c, pa.int32()) for c in (zip(*rows, strict=True) if rows else ([], [], [])))
-    safe = pa.array([x not in unsafe for _, _, x in rows], pa.bool_())
-    return pa.table({"l": l, "r": r, "rank": rank, "safe": safe})
+            if l is None or r is None:
+                continue
+            rank_of[l, r] = rank
+            unsafe.update(x for x in (l, r) if x > rank)
+            as_right[r] = max(rank, as_right.get(r, rank))
+            as_left[l] = max(rank, as_left.get(l, rank))
+            for end in range(cut + 1, len(token) + 1):
+                first = ranks.get(token[cut:end])
+                if first is not None and right.get((l, first), none) > rank:
+                    right[l, first] = rank
+            for begin in range(cut):
+                last = ranks.get(token[begin:cut])
+                if last is not None and left.get((last, r), none) > rank:
+                    left[last, r] = rank
+    pairs = list(rank_of)
+    pairs += [k for k in right if k not in rank_of and right[k] <= as_right.get(k[0], -1)]
+    held = set(pairs)
+    pairs += [k for k in left if k not in held and left[k] <= as_left.get(k[1], -1)]
+    columns = {
+        "l": [l for l, _ in pairs],
+        "r": [r for _, r in pairs],
+        "rank": [rank_of.get(k) for k in pairs],
+        "by_right": [right.get(k, none) for k in pairs],
+        "by_left": [left.get(k, none) for k in pairs],
+    }
+    table = pa.table({name: pa.array(c, pa.int32()) for name, c in columns.items()})
+    return table.append_column("safe", pa.array([rank_of[k] not in unsafe if k in rank_of else None for k in pairs], pa.bool_()))
 
 
 class Coder:
     """A worker's DuckDB with the merge table and the vocabulary, and its word cache."""
 
-    def __init__(self, data: bytes, pattern: str, cached: int = CACHED):
+    def __init__(self, data: bytes, pattern: str, cached: int = CACHED, merges: pa.Table | None = None):
         import duckdb
         import regex
 
@@ -110,8 +146,7 @@ class Coder:
         self.db = duckdb.connect(
             config={"threads": 1, "memory_limit": "350MB", "temp_directory": "", "preserve_insertion_order": False}
         )
-        table = merge_table(self.ranks)
-        self.db.register("given", table)
+        self.db.register("given", merge_table(self.ranks) if merges is None else merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")
         table = pa.table(
@@ -134,7 +169,7 @@ class Coder:
             self.db.register("start", pa.table({"key": word << 32 | place, "tok": token}))
             found = self.db.execute(_ROUNDS.format(rounds=rounds)).fetchnumpy()
             self.db.unregister("start")
-            open_ = found["last"] == rounds
+            open_ = ~found["done"]
             word, token = found["w"][~open_], found["tok"][~open_].astype(np.int32)
             cuts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1], [True]))) if len(word) else []
             data = token.tobytes()
@@ -194,20 +229,20 @@ class Coder:
 _coders: dict[str, Coder] = {}
 
 
-def _coder(data: bytes, pattern: str, cached: int = CACHED) -> Coder:
+def _coder(data: bytes, pattern: str, merges: pa.Table, cached: int = CACHED) -> Coder:
     """The worker's coder of a vocabulary; it outlives tasks."""
     hold("bpe", _coders.clear)
     key = hashlib.md5(data + f"{cached} {pattern}".encode()).hexdigest()
     trim()
     if key not in _coders:
         _coders.clear()
-        _coders[key] = Coder(data, pattern, cached)
+        _coders[key] = Coder(data, pattern, cached, merges)
     return _coders[key]
 
 
 #: Texts and bytes handled at once inside a batch.
-_TEXTS = 256
-_BYTES = 1 << 20
+_TEXTS = 1_024
+_BYTES = 2 << 20
 
 
 def _slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -233,13 +268,19 @@ def vocabulary(path: str) -> bytes:
         return file.read()
 
 
+@lru_cache(maxsize=2)
+def _merges(ranks: bytes) -> pa.Table:
+    """The merge table, made once by the driver."""
+    return merge_table(ranks_of(ranks))
+
+
 def encoded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add the token ids (array<int>) of each whole text, without special tokens.
 
     Null and empty texts have none. Repeated rows stay rows; an existing column called
     ``out`` is replaced, all others are kept; an empty table stays empty.
     """
-    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))
+    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern, _merges(ranks)))
 
     def encode(batches):
         coder = _coder(*shared.value)
@@ -255,7 +296,7 @@ def encoded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", out:
 
 def decoded(df: DataFrame, ranks: bytes, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add the bytes that token ids stand for; null ids count as none."""
-    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))
+    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern, _merges(ranks)))
 
     def decode(batches):
         coder = _coder(*shared.value)
@@ -278,7 +319,7 @@ def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached:
     """Add ``ids`` and ``decoded`` as ``encoded`` and ``decoded`` do, in one worker: the
     ids go to the decoder without a way over the executor. ``cached`` is the number of
     words of a generation that a worker remembers: memory against time."""
-    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern, cached))
+    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern, _merges(ranks), cached))
 
     def both(batches):
         coder = _coder(*shared.value)

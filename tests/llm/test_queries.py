@@ -1,6 +1,8 @@
 """Every registered query of the subpackage, against SQL or a plain version."""
 
+import base64
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -117,6 +119,59 @@ def test_bpe(spark, sf):
     assert {tuple(r) for r in run(spark, sf, "op10_bpe")} == want
 
 
+def plain_bpe(ranks, word):
+    """Ids of a word: the leftmost pair of least rank is merged until there is none."""
+    parts = [bytes([b]) for b in word]
+    while len(parts) > 1:
+        rank, i = min((ranks.get(a + b, 10**9), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+        if rank == 10**9:
+            break
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return [ranks[p] for p in parts]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_bpe_of_made_vocabularies(seed):
+    """Ranks in any order, so that merged tokens often make tokens of lesser rank."""
+    rng = random.Random(seed)
+    tokens = [bytes([b]) for b in range(256)]
+    for _ in range(150):
+        made = b"".join(rng.choices(tokens[-60:] if rng.random() < 0.6 else [b"a", b"b", b"c"], k=2))
+        if made not in tokens and len(made) < 9:
+            tokens.append(made)
+    made = {bytes(t) for t in tokens[256:]} | {bytes(rng.choices(b"abc", k=rng.randrange(2, 5))) for _ in range(60)}
+    order = sorted(made, key=lambda t: (len(t) * (seed % 2), rng.random()))
+    ranks = {t: i for i, t in enumerate([bytes([b]) for b in range(256)] + order)}
+    words = list({"".join(rng.choices("abc", k=rng.randrange(1, 30))) for _ in range(400)})
+    data = b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks.items())
+    got = bpe.Coder(data, r"\S+").encode(words)
+    for word, ids in zip(words, got, strict=True):
+        whole = ranks.get(word.encode())
+        assert ids.tolist() == ([whole] if whole is not None else plain_bpe(ranks, word.encode()))
+
+
+def test_bpe_rounds(monkeypatch):
+    """A round contracts all that is sure, not one rank of a word."""
+    monkeypatch.setattr(bpe, "ROWS", 0)  # four rounds a query
+    coder = bpe.Coder(bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")), r"\S+")
+
+    class Counted:
+        db, queries = coder.db, 0
+
+        def __getattr__(self, name):
+            return getattr(self.db, name)
+
+        def execute(self, sql):
+            self.queries += 1
+            return self.db.execute(sql)
+
+    coder.db = Counted()
+    text = "counterrevolutionaryinstitutionalizationmisunderstandingsextraordinarilyphotosynthesiscommunication"
+    (ids,) = coder.encode([text])
+    assert ids.tolist() == plain_bpe(coder.ranks, text.encode())
+    assert coder.db.queries <= 10
+
+
 def test_pipeline(spark, sf):
     docs = sorted(brute.documents(sf), key=lambda d: d["doc_id"])
     docs = [d for d in docs if any(c.isalpha() for c in d["text"])]
