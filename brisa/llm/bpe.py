@@ -245,10 +245,10 @@ _TEXTS = 1_024
 _BYTES = 2 << 20
 
 
-def _slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+def _slices(sizes: list[int], most: int, texts: int = _TEXTS) -> Iterator[tuple[int, int]]:
     at = total = 0
     for i, n in enumerate(sizes):
-        if i > at and (total + n > most or i - at >= _TEXTS):
+        if i > at and (total + n > most or i - at >= texts):
             yield at, i
             at, total = i, 0
         total += n
@@ -315,10 +315,13 @@ def ids_text(ids: str = "ids") -> Column:
     return F.array_join(F.col(ids).cast("array<string>"), " ")
 
 
-def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached: int = CACHED) -> DataFrame:
+def coded(
+    df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached: int = CACHED, texts: int = _TEXTS
+) -> DataFrame:
     """Add ``ids`` and ``decoded`` as ``encoded`` and ``decoded`` do, in one worker: the
     ids go to the decoder without a way over the executor. ``cached`` is the number of
-    words of a generation that a worker remembers: memory against time."""
+    words of a generation that a worker remembers, ``texts`` the number of texts that it
+    handles at once: memory against time."""
     shared = df.sparkSession.sparkContext.broadcast((ranks, pattern, _merges(ranks), cached))
 
     def both(batches):
@@ -326,7 +329,7 @@ def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached:
         for (batch,) in batches:
             values = batch.to_pylist()
             ids, data = [], []
-            for a, b in _slices([len(v) if v else 0 for v in values], _BYTES):
+            for a, b in _slices([len(v) if v else 0 for v in values], _BYTES * texts // _TEXTS, texts):
                 some = coder.encode(values[a:b])
                 ids += some
                 data += coder.decode(some)
@@ -336,10 +339,10 @@ def coded(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached:
 
 
 def round_trip(
-    df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached: int = CACHED
+    df: DataFrame, ranks: bytes, pattern: str, text: str = "text", cached: int = CACHED, texts: int = _TEXTS
 ) -> DataFrame:
     """Encode each text and decode its ids: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
-    return coded(df.select("doc_id", text), ranks, pattern, text, cached).select(
+    return coded(df.select("doc_id", text), ranks, pattern, text, cached, texts).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids_text().cast("binary"), 256).alias("ids_sha256"),

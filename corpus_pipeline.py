@@ -57,8 +57,9 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, as count and digests, and of what they decode to."""
     settled(spark)
     ranks = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    # Workers also hold what the other stages left: they remember fewer words here.
-    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, cached=20_000)
+    # Workers also hold what the other stages left: they remember fewer words and handle
+    # fewer texts at once here.
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, cached=20_000, texts=256)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
