@@ -153,37 +153,39 @@ def _key(level: Column, part: str) -> Column:
 
 def _digests(ends: DataFrame) -> DataFrame:
     """(ka, kb, ends_sha256) of nodes at which conversations end. Ids are listed span by
-    span; a node with more spans than one is hashed span after span as they stream by."""
+    span; a node's lists are hashed one after the other as they stream by.
+
+    The lists are dealt out straight from where they were written. After a join or grouping
+    by the same key Spark leaves out the repartition, and is then free to read the join's
+    shuffle in other pieces: nothing but a repartition keeps a node's rows in one task."""
     ids = F.array_join(F.array_sort(F.collect_list("conv_id")), ",")
     lists = ends.groupBy("ka", "kb", F.floor(F.col("conv_id") / SPAN).alias("span")).agg(ids.alias("ids"))
     lists = stored(lists, "trie-ends")
-    each = lists.groupBy("ka", "kb").agg(
-        F.count("*").alias("spans"), F.min("span").alias("first"), F.max("span").alias("last")
-    )
-    rows = lists.join(each, ["ka", "kb"])
-    one = rows.where("spans = 1").select("ka", "kb", F.sha2(F.col("ids").cast("binary"), 256).alias("ends_sha256"))
 
     def streamed(batches):
-        sha = None
+        def out(done):
+            columns = zip(*done, strict=True) if done else ([], [], [])
+            types = (pa.int64(), pa.int64(), pa.string())
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, ["ka", "kb", "ends_sha256"])
+
+        node = sha = None
         for batch in batches:
-            done = ([], [], [])
-            columns = [batch.column(c).to_pylist() for c in ("ka", "kb", "span", "first", "last", "ids")]
-            for ka, kb, span, first, last, text in zip(*columns, strict=True):
-                if span == first:
-                    sha = hashlib.sha256(text.encode())
-                else:
+            done = []
+            columns = [batch.column(c).to_pylist() for c in ("ka", "kb", "ids")]
+            for ka, kb, text in zip(*columns, strict=True):
+                if node == (ka, kb):
                     sha.update(b"," + text.encode())
-                if span == last:
-                    for c, x in zip(done, (ka, kb, sha.hexdigest()), strict=True):
-                        c.append(x)
-            types = (pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(done, types, strict=True)], ["ka", "kb", "ends_sha256"]
-            )
+                    continue
+                if node:
+                    done.append((*node, sha.hexdigest()))
+                node, sha = (ka, kb), hashlib.sha256(text.encode())
+            yield out(done)
+        if node:
+            yield out([(*node, sha.hexdigest())])
 
-    many = rows.where("spans > 1").repartition("ka", "kb").sortWithinPartitions("ka", "kb", "span")
-    many = many.mapInArrow(streamed, "ka long, kb long, ends_sha256 string")
-    return stored(one.unionByName(many), "trie-digests")
+    dealt = lists.repartition("ka", "kb").sortWithinPartitions("ka", "kb", "span")
+    return stored(dealt.mapInArrow(streamed, "ka long, kb long, ends_sha256 string"), "trie-digests")
 
 
 def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:

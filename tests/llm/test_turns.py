@@ -108,3 +108,27 @@ def test_plans_stay_small(spark, sf, monkeypatch):
     monkeypatch.setattr(turns, "stored", counted)
     out = turns.prefix_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
     assert max(*shuffles.values(), count(out)) <= 8 and max(shuffles.values()) >= 2
+
+
+def test_digests_when_joins_are_replanned(spark, sf, monkeypatch):
+    """A node's lists of ends stay in one task, whatever becomes of joins as they run."""
+    monkeypatch.setattr(turns, "SPAN", 8)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "128k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    members = defaultdict(list)
+    for c in range(100_000):
+        members[c % 35 if c % 5 == 0 else 0].append(str(c))
+    ends = spark.range(100_000).selectExpr("id AS conv_id", "if(id % 5 = 0, id % 35, 0) AS ka", "0L AS kb")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = {r.ka: r.ends_sha256 for r in turns._digests(ends).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {k: hashlib.sha256(",".join(m).encode()).hexdigest() for k, m in members.items()}
