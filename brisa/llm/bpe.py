@@ -4,7 +4,8 @@ A text is cut into words by the vocabulary's pattern. The distinct words that a
 worker has not met become token-position rows, at first one row a byte. A recursive
 query joins neighbouring rows with the merge table and contracts, in every word, the
 leftmost pair of least rank, until no pair of any word is left. Decoding joins the
-ids with the vocabulary and puts the pieces together by an ordered aggregation.
+ids with the vocabulary and puts the pieces together by an ordered aggregation, one for
+all texts of a batch: one sort instead of a sort for every text.
 
 One round contracts every sure pair of a word: nothing of lesser or equal rank can ever take
 one of its two tokens away, and the merged token can form no pair of lesser rank with
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from brisa.llm.text import hold, trim, with_arrow
 
 #: Words of each of the two generations that a worker remembers.
-CACHED = 250_000
+CACHED = 500_000
 #: Bytes of new words that one recursion takes on, and the rows it may pile up.
 TOGETHER = 300_000
 ROWS = 3_000_000
@@ -70,11 +71,10 @@ WITH RECURSIVE t(round, key, tok, done) AS (
 SELECT key >> 32 AS w, tok, done FROM t WHERE done OR round = {rounds} ORDER BY key
 """
 
-_DECODE = """
-SELECT d.doc, string_agg(v.piece, '' ORDER BY d.at) AS hex
-FROM tokens d JOIN vocabulary v USING (id)
-GROUP BY d.doc
-"""
+# A byte of a piece is the character of its number; what ends a text is neither a byte's
+# character nor a token's id.
+_DECODE = "SELECT string_agg(v.piece, '' ORDER BY d.at) FROM tokens d JOIN vocabulary v USING (id)"
+_END = (1 << 32, "\u0100")
 
 
 def ranks_of(data: bytes) -> dict[bytes, int]:
@@ -149,10 +149,9 @@ class Coder:
         self.db.register("given", merge_table(self.ranks) if merges is None else merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")
-        table = pa.table(
-            {"id": pa.array(self.ranks.values(), pa.int32()), "piece": pa.array([t.hex() for t in self.ranks])}
-        )
-        self.db.register("given", table)
+        pieces = [(i, t.decode("latin-1")) for t, i in self.ranks.items()] + [_END]
+        ids, texts = zip(*pieces, strict=True)
+        self.db.register("given", pa.table({"id": pa.array(ids, pa.int64()), "piece": pa.array(texts)}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.db.unregister("given")
 
@@ -213,17 +212,14 @@ class Coder:
         return [np.frombuffer(b"".join([known[w] for w in ws]), "<i4") for ws in split]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        sizes = [len(x) for x in ids]
-        flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-        doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        rows = pa.table({"doc": doc, "at": np.arange(len(flat), dtype=np.int32), "id": flat.astype(np.int32)})
-        self.db.register("tokens", rows)
-        found = self.db.execute(_DECODE).fetchall()
+        if not ids:
+            return []
+        end = np.array([_END[0]], np.int64)
+        flat = np.concatenate([part for x in ids for part in (x, end)])
+        self.db.register("tokens", pa.table({"at": np.arange(len(flat), dtype=np.int32), "id": flat}))
+        ((text,),) = self.db.execute(_DECODE).fetchall()
         self.db.unregister("tokens")
-        out = [b""] * len(ids)
-        for d, text in found:
-            out[d] = bytes.fromhex(text)
-        return out
+        return [t.encode("latin-1") for t in text.split(_END[1])[:-1]]
 
 
 _coders: dict[str, Coder] = {}

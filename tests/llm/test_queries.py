@@ -150,6 +150,29 @@ def test_bpe_of_made_vocabularies(seed):
         assert ids.tolist() == ([whole] if whole is not None else plain_bpe(ranks, word.encode()))
 
 
+def test_bpe_remembers(monkeypatch):
+    """Half a million words that come round again are contracted once."""
+    coder = bpe.Coder(bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")), r"\S+")
+    contracted = []
+    monkeypatch.setattr(coder, "_contract", lambda raw: contracted.append(len(raw)) or [b""] * len(raw))
+    batches = [" ".join(f"z{i:07}" for i in range(a, a + 50_000)) for a in range(0, 500_000, 50_000)]
+    for text in batches + batches:
+        coder.encode([text])
+    assert sum(contracted) == 500_000
+
+
+def test_bpe_decodes():
+    """All bytes, texts without tokens in any place, ids that the vocabulary lacks."""
+    coder = bpe.Coder(bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")), r"\S+")
+    every = np.array([coder.ranks[bytes([b])] for b in range(256)], np.int32)
+    none = np.empty(0, np.int32)
+    strange = np.array([-1, 2**31 - 1, coder.ranks[b"a"], 2**31 - 1], np.int32)
+    back = every[::-1].copy()
+    got = coder.decode([none, every, none, strange, back, none])
+    assert got == [b"", bytes(range(256)), b"", b"a", bytes(range(255, -1, -1)), b""]
+    assert coder.decode([]) == [] and coder.decode([none]) == [b""]
+
+
 def test_bpe_rounds(monkeypatch):
     """A round contracts all that is sure, not one rank of a word."""
     monkeypatch.setattr(bpe, "ROWS", 0)  # four rounds a query
